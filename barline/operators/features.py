@@ -128,13 +128,25 @@ def resolve_feature_ts(features: DataFrame, explicit: str | None = None):
     return naive_utc(newest)
 
 
-def describe(df: DataFrame) -> DataFrame:
-    """Column names and types, in order."""
+def describe(df: DataFrame, counts: bool = False) -> DataFrame:
+    """Column names and types, in order; with ``counts`` also how many rows
+    have a value, counted in one pass over the table."""
     rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
+    described = df.sparkSession.createDataFrame(rows, "position int, column_name string, column_type string")
+    if not counts:
+        return described
+    filled = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"_{i}") for i, f in enumerate(df.schema.fields)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("position"), F.col(f"_{i}").alias("filled")) for i, _, _ in rows])
+    return described.join(filled.select(F.explode(pairs).alias("_e")).select("_e.*"), "position")
 
 
 def feature_parity(training: DataFrame, computed: DataFrame) -> list[str]:
     """Training columns (without time and ``y_*``) that were not computed."""
     return [c for c in training.columns
             if c not in ("timestamp", "series") and not c.startswith("y_") and c not in computed.columns]
+
+
+def missing_names(training: DataFrame, computed: DataFrame) -> DataFrame:
+    """The same over long feature rows: training names no computed row has."""
+    wanted = training.select("name").distinct().where(~F.col("name").startswith("y_"))
+    return wanted.join(computed.select("name").distinct(), "name", "left_anti")

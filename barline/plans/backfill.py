@@ -24,7 +24,7 @@ class Backfill:
 
     ``keep_valid`` scores the targets that have both a bar and features and
     leaves the rest for :func:`barline.operators.joins.consistency` to report.
-    ``at_most`` counts per model in every mode.
+    ``at_most`` counts per model, and per series unless ``per_series`` is off.
     """
 
     models: Sequence[TreeModel]
@@ -62,7 +62,7 @@ def select_targets(job: Backfill, bars: DataFrame, scores: DataFrame) -> DataFra
         else:
             raise ValueError(f"unknown mode {job.mode!r}")
         rows = rows.withColumn("model_path", F.explode(F.array(*[F.lit(p) for p in job.paths])))
-    return at_most(rows, job.at_most, ["ts", "series"], ["model_path"])
+    return at_most(rows, job.at_most, ["ts", "series"], [*(["series"] if job.per_series else []), "model_path"])
 
 
 def valid_targets(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def obv(spark, sf):
 def _lookback_sql(tf: str, step: int, n: int) -> str:
     return f"""
     SELECT t.series, '{tf}' AS timeframe, t.ts, count(*) AS n, min(q.bar_ts) AS first_bar, max(q.bar_ts) AS last_bar,
-      {rq("sum(q.volume)")} AS volume, {rq("avg(q.close)")} AS mean_close, max(q.high) AS high
+      {rq("sum(q.volume)")} AS volume, {rq("sum(q.close)")} AS sum_close, max(q.high) AS high
     FROM t JOIN (
       SELECT t.series, t.ts, time_bucket(interval '{step}' hour, b.ts, timestamp '1970-01-01') AS bar_ts,
         max(b.high) AS high, arg_max(b.close, b.ts) AS close, sum(b.volume) AS volume,
@@ -73,7 +73,7 @@ def lookback(spark, sf):
     rows = w.lookback(b, b, 72)
     return rows.groupBy("series", "timeframe", "ts").agg(
         F.count(F.lit(1)).alias("n"), F.min("bar_ts").alias("first_bar"), F.max("bar_ts").alias("last_bar"),
-        r6(F.sum("volume")).alias("volume"), r6(F.avg("close")).alias("mean_close"), F.max("high").alias("high"))
+        r6(F.sum("volume")).alias("volume"), r6(F.sum("close")).alias("sum_close"), F.max("high").alias("high"))
 
 
 @query("W12_trim_lookback", "bars", """
