@@ -36,6 +36,7 @@ class Cells:
     cuts: list[float]
     keys: list[str]
     value: str
+    empty: bool
 
     def tagged(self) -> DataFrame:
         """Rows joined with their cell's counts.
@@ -51,11 +52,12 @@ def default_cells(df: DataFrame) -> int:
     return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _quantiles(df: DataFrame, column: str, n_cells: int) -> list[float]:
-    """``n_cells - 1`` quantile estimates: one pass, merged from partial sketches."""
+def _quantiles(df: DataFrame, column: str, n_cells: int) -> list[float] | None:
+    """``n_cells - 1`` quantile estimates, None without rows: one pass, merged
+    from partial sketches."""
     probs = [i / n_cells for i in range(1, n_cells)]
     row = df.agg(F.percentile_approx(column, probs, max(10_000, 20 * n_cells)).alias("q")).first()
-    return [q for q in (row.q or []) if q is not None and abs(q) != INF]
+    return None if row.q is None else [q for q in row.q if abs(q) != INF]
 
 
 def _bucket(df: DataFrame, column: str, cuts: Sequence[float], out: str) -> DataFrame:
@@ -77,7 +79,8 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
     """
     keys = list(keys)
     n_cells = max(2, n_cells or default_cells(df))
-    quantiles = _quantiles(df.select(value), value, n_cells)
+    found = _quantiles(df.select(value), value, n_cells)
+    quantiles = found or []
     cuts = sorted(set(quantiles))
     rows = _bucket(df, value, cuts, "_cell")
     if not cuts:
@@ -91,7 +94,7 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
             rows = rows.withColumn("_sub", F.lit(0).cast("long"))
         else:
             ties = df.where(F.col(value).isin(heavy)).select(F.col(tie).cast("double").alias("_t"))
-            tie_cuts = sorted(set(_quantiles(ties, "_t", n_cells)))
+            tie_cuts = sorted(set(_quantiles(ties, "_t", n_cells) or []))
             rows = _bucket(rows.withColumn("_t", F.col(tie).cast("double")), "_t", tie_cuts, "_sub")
             rows = rows.withColumn("_sub", F.when(F.col(value).isin(heavy), F.col("_sub")).otherwise(0)).drop("_t")
 
@@ -101,7 +104,7 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
         "_ahead": F.coalesce(F.sum("_n").over(ordered), F.lit(0)),
         "_total": F.sum("_n").over(Window.partitionBy(*keys)),
     })
-    return Cells(rows, table, cuts, keys, value)
+    return Cells(rows, table, cuts, keys, value, found is None)
 
 
 def rank_first(df: DataFrame, value: str, tie: str, keys: Sequence[str] = (), *, name: str = "rank",

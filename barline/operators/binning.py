@@ -30,6 +30,8 @@ def _tag_bins(df: DataFrame, value: str, tie: str, n_bins: int, keys: Sequence[s
               ) -> DataFrame:
     """Rows with their equal-count ``bin``, ties in order of ``tie``."""
     cells = split_cells(df, value, tie, keys, n_cells)
+    if cells.empty:
+        raise ValueError("no values to make bins of")
     lo = F.expr(f"_ahead * {n_bins} div _total")
     hi = F.expr(f"(_ahead + _n - 1) * {n_bins} div _total")
     tagged = cells.tagged().withColumns({"_lo": lo, "_hi": hi})

@@ -49,6 +49,8 @@ def test_missing_values_are_left_out(spark):
 def test_no_bins_is_an_error(spark):
     with pytest.raises(ValueError):
         b.equal_count_bins(frame(spark, [1.0]), "v", "id", 0)
+    with pytest.raises(ValueError):
+        b.equal_count_bins(frame(spark, [None, float("nan")]), "v", "id", 3)
 
 
 def test_assign_edges_and_policies(spark):
