@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from barline.functions.columns import number
 from barline.functions.order_stats import rank_first, rank_ties, split_cells
+from barline.session import stack
 
 NEG_INF = float("-inf")
 
@@ -40,7 +41,7 @@ def _tag_bins(df: DataFrame, value: str, tie: str, n_bins: int, keys: Sequence[s
     inside = Window.partitionBy(*cells.keys, "_cell", "_sub").orderBy(value, tie)
     ranked = tagged.where("_lo < _hi").withColumn("_rank", F.col("_ahead") + F.row_number().over(inside))
     split = ranked.select(*columns, F.expr(f"(_rank - 1) * {n_bins} div _total").cast("int").alias("bin"))
-    return whole.unionByName(split)
+    return stack(whole, split)
 
 
 def equal_count_bins(df: DataFrame, value: str, tie: str, n_bins: int = 10, keys: Sequence[str] = (), *,
@@ -167,7 +168,7 @@ def rank_bins(df: DataFrame, value: str, tie: str, n_bins: int = 10, method: str
     spot = F.floor((F.col("_rank") - 1) * F.lit(n_bins) / F.col("_all"))
     bin_col = F.greatest(F.least(spot, F.lit(n_bins - 1)), F.lit(0)).cast("int")
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return sized.select(*columns, bin_col.alias("bin")).unionByName(absent.select(*columns, F.lit(-1).alias("bin")))
+    return stack(sized.select(*columns, bin_col.alias("bin")), absent.select(*columns, F.lit(-1).alias("bin")))
 
 
 def calibration(df: DataFrame, value: str, y: str, tie: str, n_bins: int = 10, method: str = "first",

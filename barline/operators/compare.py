@@ -18,7 +18,7 @@ from barline.functions.scans import DEFAULT_CHUNK_HOURS
 from barline.operators.features import explode_features
 from barline.operators.joins import SERIES_TS, nearest_ts
 from barline.operators.series import obv
-from barline.session import cut
+from barline.session import cut, stack
 
 SCORE_KEY = ("series", "ts", "model_path")
 
@@ -193,7 +193,7 @@ def frames_identical(a: DataFrame, b: DataFrame) -> DataFrame:
     if [(f.name, f.dataType) for f in a.schema] != [(f.name, f.dataType) for f in b.schema]:
         zero = a.sparkSession.range(1)
         return zero.select(F.lit(-1).cast("long").alias("n_different"), F.lit(False).alias("identical"))
-    tagged = a.withColumn("_side", F.lit(1)).unionByName(b.withColumn("_side", F.lit(-1)))
+    tagged = stack(a.withColumn("_side", F.lit(1)), b.withColumn("_side", F.lit(-1)))
     balance = tagged.groupBy(*a.columns).agg(F.sum("_side").alias("_d")).agg(
         F.coalesce(F.sum(F.abs("_d")), F.lit(0)).alias("n_different"))
     return balance.withColumn("identical", F.col("n_different") == 0)
@@ -246,7 +246,7 @@ def explain_mismatch(sources: dict[str, DataFrame], generated: str, names: Seque
             continue
         pair = compare_maps(_listed(rows, names), _listed(base, names), on, tol)
         pair = pair.where("status <> 'equal'").withColumn("pair", F.lit(f"{label}_vs_{generated}"))
-        out = pair if out is None else out.unionByName(pair)
+        out = pair if out is None else stack(out, pair)
     if first is None:
         return out
     w = Window.partitionBy("pair", *on).orderBy("name")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import col, epoch_micros, hours
 from barline.functions.scans import DEFAULT_CHUNK_HOURS, running
 from barline.operators.targets import key_filter
+from barline.session import stack
 
 SERIES_TS = ("series", "ts")
 
@@ -34,17 +35,16 @@ def consistency(targets: DataFrame, bars: DataFrame, features: DataFrame, featur
     """Status per target: ``ok``, ``missing_features``, ``missing_bar``.
 
     Targets with neither a bar nor features are left out. Both stores are cut
-    down to the targets by a semi-join first; then each side only sets a flag,
-    so copies collapse map-side.
+    down to the targets by a semi-join first, and all joins share one
+    partitioning on series and time.
     """
     on = list(on)
-    wanted = targets.select(*on)
-    stored = bars.select(*on).join(wanted, on, "left_semi")
-    known = key_filter(features, feature_key).select(*on).join(wanted, on, "left_semi")
-    union = (stored.select(*on, F.lit(True).alias("_b"), F.lit(False).alias("_f"))
-             .unionByName(known.select(*on, F.lit(False).alias("_b"), F.lit(True).alias("_f"))))
-    seen = union.groupBy(*on).agg(F.max("_b").alias("_b"), F.max("_f").alias("_f"))
-    status = F.when(F.col("_b") & F.col("_f"), "ok").when(F.col("_b"), "missing_features").otherwise("missing_bar")
+    wanted = targets.select(*on).distinct()
+    stored = bars.select(*on).join(wanted, on, "left_semi").distinct().withColumn("_b", F.lit(True))
+    known = (key_filter(features, feature_key).select(*on).join(wanted, on, "left_semi").distinct()
+             .withColumn("_f", F.lit(True)))
+    seen = wanted.join(stored, on, "left").join(known, on, "left").where("_b or _f")
+    status = (F.when(F.col("_b") & F.col("_f"), "ok").when(F.col("_b"), "missing_features").otherwise("missing_bar"))
     return seen.select(*on, status.alias("status"))
 
 
@@ -154,11 +154,10 @@ def nearest_ts(targets: DataFrame, stored: DataFrame, keys: Sequence[str] = ("se
     stored time before and after each target.
     """
     keys = list(keys)
-    distinct = targets.select(*keys, ts).distinct()
-    line = (distinct.select(*keys, ts, F.lit(True).alias("_target"), F.lit(None).cast("timestamp_ntz").alias("_s"))
-            .unionByName(stored.select(*keys, ts).distinct()
-                         .select(*keys, ts, F.lit(False).alias("_target"), F.col(ts).alias("_s")))
-            .groupBy(*keys, ts).agg(F.max("_target").alias("_target"), F.max("_s").alias("_s")))
+    line = stack(
+        targets.select(*keys, ts, F.lit(True).alias("_target"), F.lit(None).cast("timestamp_ntz").alias("_s")),
+        stored.select(*keys, ts, F.lit(False).alias("_target"), F.col(ts).alias("_s")),
+    ).groupBy(*keys, ts).agg(F.max("_target").alias("_target"), F.max("_s").alias("_s"))
     both = running(line, keys, [ts], lasts={"_before": F.col("_s")}, nexts={"_after": F.col("_s")},
                    chunk_hours=chunk_hours)
     back = epoch_micros(ts) - epoch_micros("_before")
@@ -169,7 +168,7 @@ def nearest_ts(targets: DataFrame, stored: DataFrame, keys: Sequence[str] = ("se
 
 
 def ts_union(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.unionByName(b).distinct()
+    return stack(a, b).distinct()
 
 
 def ts_intersect(a: DataFrame, b: DataFrame) -> DataFrame:

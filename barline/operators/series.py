@@ -13,6 +13,7 @@ from barline.functions.columns import (
 )
 from barline.functions.scans import DEFAULT_BLOCK_ROWS, DEFAULT_CHUNK_HOURS, over_rows, positions, running
 from barline.operators.targets import Stamp
+from barline.session import stack
 from barline.sources.tables import in_range
 
 
@@ -152,10 +153,10 @@ def lookback(bars: DataFrame, targets: DataFrame, window_hours: int = 720,
             .where((F.col("_pos") < F.col("_end")) & (F.col("_pos") > F.col("_end") - n))
             .select(*keys, "ts", "bar_ts", *BAR_COLUMNS)
         )
-        rows = earlier.unionByName(ends.select(*keys, "ts", "bar_ts", *BAR_COLUMNS))
+        rows = stack(earlier, ends.select(*keys, "ts", "bar_ts", *BAR_COLUMNS))
         rows = rows.select(*keys, F.lit(timeframe).alias("timeframe"), ts_key("ts").alias("ts_key"), "ts", "bar_ts",
                            *BAR_COLUMNS)
-        out = rows if out is None else out.unionByName(rows)
+        out = rows if out is None else stack(out, rows)
     return out
 
 
@@ -196,17 +197,15 @@ def continuity(bars: DataFrame, targets: DataFrame, window_hours: int, keys: Seq
     one count.
     """
     keys = list(keys)
-    hourly = bars.groupBy(*keys, floor_hour("ts").alias("hour")).agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("ts") == floor_hour("ts")).alias("_on"))
-    good = ((F.col("_n") == 1) & (F.col("_on") == 1)).cast("long")
-    marks = hourly.select(*keys, F.col("hour").alias("ts"), good.alias("_good"))
     wanted = targets.select(*keys, "ts").distinct()
+    hour, none = floor_hour("ts"), F.lit(0)
+    bar_rows = bars.select(*keys, hour.alias("ts"), F.lit(1).alias("_n"), (F.col("ts") == hour).cast("int").alias("_on"))
     # Points at which the running count is read: each target, and the hour
     # just before its window.
-    points = (wanted.select(*keys, "ts")
-              .unionByName(wanted.select(*keys, (F.col("ts") - hours(window_hours)).alias("ts"))).distinct())
-    line = (marks.unionByName(points.select(*keys, "ts", F.lit(0).cast("long").alias("_good")))
-            .groupBy(*keys, "ts").agg(F.sum("_good").alias("_good")))
+    ends = targets.select(*keys, "ts", none.alias("_n"), none.alias("_on"))
+    starts = ends.withColumn("ts", F.col("ts") - hours(window_hours))
+    seen = stack(bar_rows, ends, starts).groupBy(*keys, "ts").agg(F.sum("_n").alias("_n"), F.sum("_on").alias("_on"))
+    line = seen.select(*keys, "ts", ((F.col("_n") == 1) & (F.col("_on") == 1)).cast("long").alias("_good"))
     counted = running(line, keys, ["ts"], sums={"_seen": F.col("_good")}, chunk_hours=chunk_hours)
     upto = counted.select(*keys, "ts", F.col("_seen").alias("_upto"))
     before = counted.select(*keys, (F.col("ts") + hours(window_hours)).alias("ts"), F.col("_seen").alias("_before"))

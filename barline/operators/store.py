@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions.columns import parse_ts
 from barline.operators.joins import DuplicateKeys, duplicate_keys, require_unique
-from barline.session import scratch_path
+from barline.session import scratch_path, stack
 
 SCORE_SCHEMA = ("series string, ts timestamp_ntz, model_path string, y_pred double, feature_key string, "
                 "dataset string, created_at timestamp_ntz")
@@ -52,7 +53,12 @@ class Store:
         if not self.exists():
             self._write(self.spark.createDataFrame([], self.schema), "append")
             return self
-        have = self.spark.read.parquet(self.path).columns
+        try:
+            have = self.spark.read.parquet(self.path).columns
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return self  # created, and still without rows
         lacking = [c for c in self.key if c not in have]
         if lacking:
             raise BadRows(f"table at {self.path} has no column {lacking}; recreate it with the current schema")
@@ -178,13 +184,13 @@ def append_check(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> Dat
     key = list(key)
     twice = duplicate_keys(batch, key, None).select(*key, F.lit("twice_in_batch").alias("reason"))
     known = batch.join(stored.select(*key), key, "left_semi").select(*key, F.lit("stored").alias("reason")).distinct()
-    return twice.unionByName(known)
+    return stack(twice, known)
 
 
 def replaced(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """The table after a delete-and-insert of ``batch``."""
     kept = stored.join(batch.select(*key), list(key), "left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True).select(*stored.columns)
+    return stack(kept, batch, allow_missing=True).select(*stored.columns)
 
 
 def without_dataset(stored: DataFrame, label: str) -> DataFrame:

@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+UNION_PARTITIONING = "spark.sql.unionOutputPartitioning"
+
 
 def build_session(app_name: str = "barline", master: str | None = None,
                   shuffle_partitions: int | None = None) -> SparkSession:
@@ -23,7 +26,7 @@ def build_session(app_name: str = "barline", master: str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.sql.parquet.filterPushdown", "true")
+        .config(UNION_PARTITIONING, "false")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
@@ -32,13 +35,34 @@ def build_session(app_name: str = "barline", master: str | None = None,
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Naive timestamps mean UTC, so casts between zoned and naive must use UTC."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the operators need in a session made elsewhere.
+
+    Naive timestamps mean UTC, so casts between zoned and naive must use UTC.
+    For the union setting see :func:`stack`.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    _plain_unions(spark)
     return spark
 
 
+def _plain_unions(spark: SparkSession) -> None:
+    if spark.conf.get(UNION_PARTITIONING, "false") != "false":
+        spark.conf.set(UNION_PARTITIONING, "false")
+
+
+def stack(*frames: DataFrame, allow_missing: bool = False) -> DataFrame:
+    """The rows of all frames, columns matched by name.
+
+    Spark 4.1 can plan a union of equally partitioned inputs as if it kept
+    their partitioning, and then not keep it where an exchange is reused: rows
+    of one key end up apart. The setting is switched off for the session.
+    """
+    _plain_unions(frames[0].sparkSession)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), frames)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` where the
     cluster names one, else (local runs and tests) a new temporary folder."""

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barline.functions.columns import BAR_COLUMNS, coerce_numeric, number, parse_ts, require_columns, ts_lit
+from barline.session import stack
 
 # Accepted names of the time column and of the score column.
 TIME_NAMES = ("timestamp", "time", "datetime", "date")
@@ -143,10 +144,7 @@ def union_splits(spark: SparkSession, folder: str, pattern: str = "pred_*.csv",
             F.monotonically_increasing_id().alias("_row")))
     if not frames:
         raise FileNotFoundError(f"no usable score files in {folder}")
-    union = frames[0]
-    for frame in frames[1:]:
-        union = union.unionByName(frame)
-    rows = union.dropna(subset=["y_pred"])
+    rows = stack(*frames).dropna(subset=["y_pred"])
     return dedup(rows, [*keys, "timestamp"], [F.desc("_file"), F.desc("_start"), F.desc("_row")]).select(
         *keys, "timestamp", "y_pred")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import hours
 from barline.operators.scoring import TreeModel, load_models
 from barline.operators.series import ticks_to_bars
-from barline.session import use_utc
+from barline.session import prepare
 
 NOW = "2024-01-20 10:25:00"
 CUTOFF = "2024-01-20 09:00:00"
@@ -233,7 +233,7 @@ REGISTRY: dict[str, Query] = {}
 def query(name: str, views: str = "", sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return fn(use_utc(spark), sf)
+            return fn(prepare(spark), sf)
 
         if name in REGISTRY:
             raise ValueError(f"query {name} registered twice")
