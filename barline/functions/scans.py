@@ -60,27 +60,30 @@ def running(
     per_chunk += [F.min_by(e, F.when(e.isNotNull(), stamp)).alias(f"_c_{n}") for n, e in nexts.items()]
     chunks = chunked.groupBy(*keys, CHUNK).agg(*per_chunk)
 
-    over_chunks = Window.partitionBy(*keys).orderBy(CHUNK)
-    before = over_chunks.rowsBetween(Window.unboundedPreceding, -1)
-    after = over_chunks.rowsBetween(1, Window.unboundedFollowing)
+    # Looking ahead is looking back in the opposite order: a frame that starts
+    # at the current row would be added up anew for every row.
+    before = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*keys).orderBy(F.desc(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
     carry = chunks.select(
         *keys, CHUNK,
         *[F.sum(f"_c_{n}").over(before).alias(f"_c_{n}") for n in sums],
         *[F.last(f"_c_{n}", ignorenulls=True).over(before).alias(f"_c_{n}") for n in lasts],
-        *[F.first(f"_c_{n}", ignorenulls=True).over(after).alias(f"_c_{n}") for n in nexts],
+        *[F.last(f"_c_{n}", ignorenulls=True).over(after).alias(f"_c_{n}") for n in nexts],
     )
 
     in_chunk = Window.partitionBy(*keys, CHUNK).orderBy(*order_cols)
     through = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    back = through if include_current else in_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    ahead = in_chunk.rowsBetween(Window.currentRow if include_current else 1, Window.unboundedFollowing)
+    newest = Window.currentRow if include_current else -1
+    back = in_chunk.rowsBetween(Window.unboundedPreceding, newest)
+    ahead = (Window.partitionBy(*keys, CHUNK).orderBy(*[c.desc() for c in order_cols])
+             .rowsBetween(Window.unboundedPreceding, newest))
     out = {}
     for n, e in sums.items():
         out[n] = F.coalesce(F.sum(e).over(through), F.lit(0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0))
     for n, e in lasts.items():
         out[n] = F.coalesce(F.last(e, ignorenulls=True).over(back), F.col(f"_c_{n}"))
     for n, e in nexts.items():
-        out[n] = F.coalesce(F.first(e, ignorenulls=True).over(ahead), F.col(f"_c_{n}"))
+        out[n] = F.coalesce(F.last(e, ignorenulls=True).over(ahead), F.col(f"_c_{n}"))
     joined = chunked.join(carry, [*keys, CHUNK], "left")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[e.alias(n) for n, e in out.items()])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import hours
 from barline.operators.scoring import TreeModel, load_models
 from barline.operators.series import ticks_to_bars
-from barline.session import prepare
+from barline.session import prepare, scratch_path
 
 NOW = "2024-01-20 10:25:00"
 CUTOFF = "2024-01-20 09:00:00"
@@ -28,12 +29,40 @@ def r6(c: Column | str) -> Column:
 
 # --- views ---------------------------------------------------------------
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(build: Callable[[SparkSession, str], DataFrame]):
+    """A view kept as a table: written once per session to the shared folder,
+    like the bar and score tables the operators are meant for."""
+
+    @functools.wraps(build)
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, build.__name__)
+        if key not in _STORED:
+            path = scratch_path(spark, f"view-{build.__name__}")
+            build(spark, sf).write.parquet(path)
+            _STORED[key] = path
+        return spark.read.parquet(_STORED[key])
+
+    return read
+
+
+@stored
 def bars(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_type", "ts", "event_id", "value")
     made = ticks_to_bars(events, series="event_type", order=("ts", "event_id"))
     return made.withColumn("volume", F.round("volume", 6))
 
 
+@stored
+def user_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars per user: many short series instead of a few long ones."""
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user_id"), "ts", "event_id", "value")
+    return ticks_to_bars(events, series="user_id", order=("ts", "event_id"))
+
+
+@stored
 def bars_b(spark: SparkSession, sf: str) -> DataFrame:
     """A second feed: close off by a half at hour 3, hour 4 absent."""
     close = F.when(F.hour("ts") == 3, F.col("close") + 0.5).otherwise(F.col("close"))
@@ -44,6 +73,7 @@ def _cents(c: Column) -> Column:
     return F.round(c * 100).cast("long").cast("string")
 
 
+@stored
 def features(spark: SparkSession, sf: str) -> DataFrame:
     b = bars(spark, sf)
     columns = ["feature_key", "series", "ts", "features", "created_at"]
@@ -59,6 +89,7 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return v1.unionByName(v2).select(*columns)
 
 
+@stored
 def features_b(spark: SparkSession, sf: str) -> DataFrame:
     """Features of the second feed: no range, a volume instead."""
     return bars_b(spark, sf).select(
@@ -68,6 +99,7 @@ def features_b(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("ts") + hours(1)).alias("created_at"))
 
 
+@stored
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     return bars(spark, sf).where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")).select(
         "series", "ts", F.lit("m1").alias("model_path"),
@@ -75,6 +107,7 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("base").alias("dataset"), (F.col("ts") + hours(3)).alias("created_at"))
 
 
+@stored
 def predictions_b(spark: SparkSession, sf: str) -> DataFrame:
     moved = F.when(F.hour("ts") % 7 == 0, F.col("y_pred") + 1e-5).otherwise(F.col("y_pred"))
     return predictions(spark, sf).withColumn("y_pred", moved)
@@ -141,6 +174,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                                    ORDER BY ts DESC, event_id DESC) AS z
               FROM events) x
         GROUP BY series, h"""),
+    "user_bars": ((), """
+        SELECT cast(user_id AS varchar) AS series, date_trunc('hour', ts) AS ts, arg_min(value, (ts, event_id)) AS open,
+               max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, sum(value) AS volume
+        FROM events GROUP BY ALL"""),
     "bars_b": (("bars",), """
         SELECT series, ts, open, high, low, CASE WHEN hour(ts) = 3 THEN close + 0.5 ELSE close END AS close, volume
         FROM bars WHERE hour(ts) <> 4"""),

@@ -14,6 +14,7 @@ from barline.session import scratch_path
 from barline.sources.models import feature_names
 from suite.base import (
     CUTOFF, NOW, bars, bars_b, features, features_b, lines, model_trees, models, predictions, query, r6, rq, table,
+    user_bars,
 )
 
 # The fixture models written out by hand for SQL.
@@ -145,6 +146,23 @@ def backfill_window(spark, sf):
     return backfill_scores(job, bars(spark, sf), features(spark, sf), predictions(spark, sf))
 
 
+@query("M6_backfill_by_user", "user_bars", f"""
+    WITH f AS (SELECT series, ts, concat('{{"close":', cast(cast(round(close * 100) AS bigint) AS varchar), ',"range":',
+      cast(cast(round((high - low) * 100) AS bigint) AS varchar), '}}') AS features FROM user_bars WHERE ts <= timestamp '{CUTOFF}')
+    SELECT f.series, f.ts, 'm1' AS model_path, {_m(_M1, 'f')} AS y_pred, 'v1' AS feature_key, CAST(NULL AS varchar) AS dataset
+    FROM f""")
+def backfill_by_user(spark, sf):
+    """Every closed bar of every user, none scored before."""
+    b = user_bars(spark, sf)
+    stored = b.select(F.lit("v1").alias("feature_key"), "series", "ts", F.concat(
+        F.lit('{"close":'), F.round(F.col("close") * 100).cast("long").cast("string"), F.lit(',"range":'),
+        F.round((F.col("high") - F.col("low")) * 100).cast("long").cast("string"), F.lit("}")).alias("features"),
+        F.col("ts").alias("created_at"))
+    none = spark.createDataFrame([], st.SCORE_SCHEMA)
+    job = Backfill(models(spark, "m1"), NOW, start="2024-01-01", on_inconsistent="keep_valid")
+    return backfill_scores(job, b, stored, none)
+
+
 @query("M7_merge_and_score", "bars bars_b", f"""
     SELECT a.series, a.ts AS "timestamp", cast({_M3.format(c="a.close", v="b.volume")} AS double) AS y_pred
     FROM bars a JOIN bars_b b USING (series, ts)
