@@ -12,7 +12,7 @@ copied per target; both are window computations over the bars.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -66,8 +66,10 @@ def _ema(x: Column, span: int, w: WindowSpec) -> Column:
 
 
 def ema_columns(df: DataFrame, value: str, spans: Sequence[int], keys: Sequence[str], order: Sequence[str],
-                chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
-    """Add ``_ema_<span>`` of ``value`` for each span, from each key's first row.
+                chunk_hours: int = DEFAULT_CHUNK_HOURS, *,
+                also: Callable[[WindowSpec], Mapping[str, Column]] | None = None) -> DataFrame:
+    """Add ``_ema_<span>`` of ``value`` for each span, from each key's first row,
+    and the columns of ``also`` in the same pass.
 
     Blocks of rows overlap by as many rows as an average remembers. Spans too
     different to share one block size are computed one after the other.
@@ -75,16 +77,22 @@ def ema_columns(df: DataFrame, value: str, spans: Sequence[int], keys: Sequence[
     context = max(_forget_rows(s) for s in spans)
     block = min(min(_largest_block(s) for s in spans) - context, DEFAULT_BLOCK_ROWS)
     if len(spans) > 1 and block < 4 * context:
-        for s in spans:
-            df = ema_columns(df, value, [s], keys, order, chunk_hours)
+        for i, s in enumerate(spans):
+            df = ema_columns(df, value, [s], keys, order, chunk_hours, also=None if i else also)
         return df
 
     def columns(w: WindowSpec) -> dict[str, Column]:
-        return {f"_ema_{s}": _ema(F.col(value), s, w) for s in spans}
+        return {**{f"_ema_{s}": _ema(F.col(value), s, w) for s in spans}, **(also(w) if also else {})}
 
     return over_rows(df, keys, order, columns, before=context, block_rows=block, chunk_hours=chunk_hours)
 
 
+def _step(w: WindowSpec) -> dict[str, Column]:
+    """The close before and the move from it."""
+    prev = F.lag("close").over(w)
+    return {"_prev_close": prev, "_step": F.col("close") - prev}
+
+
 def _mean_of_last(total: Column, count: Column, n: int) -> Column:
     return F.when(count == n, total / n)
 
@@ -105,30 +113,26 @@ def indicators(bars: DataFrame, timeframe: str = "1H", spec: IndicatorSpec = Ind
     fast, slow = spec.macd
 
     def averages(w: WindowSpec) -> dict[str, Column]:
-        step = F.col("close") - F.lag("close").over(w)
-        made = {"_step": step}
+        made = {}
         for n in spec.sma:
             f = w.rowsBetween(1 - n, 0)
             made[f"close_sma_{n}_{timeframe}"] = _mean_of_last(F.sum("close").over(f), F.count("close").over(f), n)
         f = w.rowsBetween(1 - spec.volume_ma, 0)
         made[f"volume_ma_{spec.volume_ma}_{timeframe}"] = _mean_of_last(
             F.sum("volume").over(f), F.count("volume").over(f), spec.volume_ma)
-        return made
-
-    def strength(w: WindowSpec) -> dict[str, Column]:
         f = w.rowsBetween(1 - spec.rsi, 0)
         gain = F.sum(F.greatest(F.col("_step"), F.lit(0.0))).over(f)
         loss = F.sum(F.greatest(-F.col("_step"), F.lit(0.0))).over(f)
         full = F.count("_step").over(f) == spec.rsi
-        return {f"close_rsi_{spec.rsi}_{timeframe}": F.when(full, rsi_value(gain, loss))}
+        made[f"close_rsi_{spec.rsi}_{timeframe}"] = F.when(full, rsi_value(gain, loss))
+        return made
 
     placed = positions(slim, keys, ["ts"], chunk_hours=chunk_hours)
-    stepped = over_rows(placed, keys, ["ts"], averages, before=spec.reach)
-    ranged = over_rows(stepped, keys, ["ts"], strength, before=spec.rsi)
-    smoothed = ema_columns(ranged, "close", spec.macd, keys, ["ts"])
+    smoothed = ema_columns(placed, "close", spec.macd, keys, ["ts"], also=_step)
+    made = over_rows(smoothed, keys, ["ts"], averages, before=spec.reach)
     macd = (F.col(f"_ema_{fast}") - F.col(f"_ema_{slow}")).alias(f"close_macd_{timeframe}")
-    drop = {"_step", f"_ema_{fast}", f"_ema_{slow}", "close", "volume", POSITION}
-    return smoothed.select(*[F.col(c) for c in smoothed.columns if c not in drop], macd)
+    drop = {"_step", "_prev_close", f"_ema_{fast}", f"_ema_{slow}", "close", "volume", POSITION}
+    return made.select(*[F.col(c) for c in made.columns if c not in drop], macd)
 
 
 def lag_features(bars: DataFrame, columns: Sequence[str] = ("close",), lags: int = 14, timeframe: str = "1H",
@@ -150,10 +154,10 @@ def _history(full: DataFrame, spec: IndicatorSpec, keys: Sequence[str], rows: in
     the newest ``rows`` bars only, the newest one included."""
     fast, slow = spec.macd
     placed = positions(full, keys, ["bar_ts"], chunk_hours=chunk_hours)
-    smoothed = ema_columns(placed, "close", spec.macd, keys, ["bar_ts"])
+    smoothed = ema_columns(placed, "close", spec.macd, keys, ["bar_ts"], also=_step)
 
     def sums(w: WindowSpec) -> dict[str, Column]:
-        made = {"_prev_close": F.lag("close").over(w), "_step": F.col("close") - F.lag("close").over(w)}
+        made = {}
         for n in spec.sma:
             f = w.rowsBetween(max(1 - n, 1 - rows), -1)
             made[f"_sum_{n}"], made[f"_cnt_{n}"] = F.sum("close").over(f), F.count("close").over(f)
@@ -165,19 +169,16 @@ def _history(full: DataFrame, spec: IndicatorSpec, keys: Sequence[str], rows: in
             keep = (1.0 - _alpha(s)) ** max(rows - 2, 0)
             start = F.lag(f"_ema_{s}", rows - 1).over(w) - F.lag("close", rows - 1).over(w)
             made[f"_past_{s}"] = F.lag(f"_ema_{s}").over(w) - F.coalesce(start * keep, F.lit(0.0))
-        return made
-
-    def moves(w: WindowSpec) -> dict[str, Column]:
         # The first bar in view has no bar to move from.
         f = w.rowsBetween(max(1 - spec.rsi, min(2 - rows, -1)), -1)
-        return {"_gain": F.sum(F.greatest(F.col("_step"), F.lit(0.0))).over(f),
-                "_loss": F.sum(F.greatest(-F.col("_step"), F.lit(0.0))).over(f),
-                "_moves": F.count("_step").over(f)}
+        made["_gain"] = F.sum(F.greatest(F.col("_step"), F.lit(0.0))).over(f)
+        made["_loss"] = F.sum(F.greatest(-F.col("_step"), F.lit(0.0))).over(f)
+        made["_moves"] = F.count("_step").over(f)
+        return made
 
     reach = max(spec.reach, rows)
-    stepped = over_rows(smoothed, keys, ["bar_ts"], sums, before=reach)
-    moved = over_rows(stepped, keys, ["bar_ts"], moves, before=spec.rsi)
-    return moved.drop("open", "high", "low", "close", "volume", "_step", POSITION, *[f"_ema_{s}" for s in spec.macd])
+    made = over_rows(smoothed, keys, ["bar_ts"], sums, before=reach)
+    return made.drop("open", "high", "low", "close", "volume", "_step", POSITION, *[f"_ema_{s}" for s in spec.macd])
 
 
 def recompute_features(bars: DataFrame, targets: DataFrame, base_hours: int = 720, buffer_hours: int = 6,

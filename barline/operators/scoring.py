@@ -267,7 +267,8 @@ def score_many(df: DataFrame, models: Iterable[TreeModel], features: str = "feat
         staged = score_maps(staged, model, features, out=f"_y{i}", num_iteration=num_iteration, method=method)
         lacks = F.size(strict_columns(F.col(features), model)["missing_features"]) > 0
         results.append(F.when(~lacks, F.struct(F.lit(model.path).alias("model_path"), F.col(f"_y{i}").alias("y_pred"))))
-    scored = staged.where(F.size(features) > 0).withColumn("_s", F.explode(F.array_compact(F.array(*results))))
+    # A row without features lacks every feature, so it gives no element here.
+    scored = staged.withColumn("_s", F.explode(F.array_compact(F.array(*results))))
     columns = [F.col(f"`{c}`") for c in df.columns if c not in ("model_path", "y_pred")]
     return scored.select(*columns, "_s.model_path", "_s.y_pred")
 

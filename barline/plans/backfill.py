@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,9 @@ from barline.operators.features import latest_features
 from barline.operators.joins import consistency, consistency_gate, skip_existing
 from barline.operators.scoring import TreeModel, score_many, with_feature_map
 from barline.operators.store import Store
-from barline.operators.targets import Stamp, at_most, select_incremental, select_ts_list, select_window
+from barline.operators.targets import (
+    Stamp, at_most, key_filter, select_incremental, select_ts_list, select_window,
+)
 
 ON = ("series", "ts")
 
@@ -39,7 +41,15 @@ class Backfill:
     per_series: bool = True
     on_inconsistent: str = "fail"
     num_iteration: int | None = None
-    method: str = field(default="auto")
+    method: str = "auto"
+
+    def __post_init__(self) -> None:
+        if self.mode not in ("window", "last_from_predictions", "ts_list"):
+            raise ValueError(f"unknown mode {self.mode!r}")
+        if self.mode == "ts_list" and self.stamps is None:
+            raise ValueError("mode ts_list needs stamps")
+        if self.on_inconsistent not in ("fail", "keep_valid"):
+            raise ValueError(f"unknown on_inconsistent {self.on_inconsistent!r}")
 
     @property
     def paths(self) -> list[str]:
@@ -55,12 +65,8 @@ def select_targets(job: Backfill, bars: DataFrame, scores: DataFrame) -> DataFra
     else:
         if job.mode == "window":
             rows = select_window(keys, job.now, job.start, job.end)
-        elif job.mode == "ts_list":
-            if job.stamps is None:
-                raise ValueError("mode ts_list needs stamps")
-            rows = select_ts_list(keys, job.stamps, job.now)
         else:
-            raise ValueError(f"unknown mode {job.mode!r}")
+            rows = select_ts_list(keys, job.stamps, job.now)
         rows = rows.withColumn("model_path", F.explode(F.array(*[F.lit(p) for p in job.paths])))
     return at_most(rows, job.at_most, ["ts", "series"], [*(["series"] if job.per_series else []), "model_path"])
 
@@ -85,20 +91,24 @@ def dry_run(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFra
 def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame) -> DataFrame:
     """New score rows ``series, ts, model_path, y_pred, feature_key, dataset``.
 
-    One plan: choose targets, keep the consistent ones, leave out what is
-    scored, take the newest features of those bars only, and score them with
-    all models in one pass. Bars whose features do not fit a model give no row
-    for it.
+    One plan: choose targets, leave out what is scored, take the newest
+    features of those bars only, and score them with all models in one pass.
+    Bars whose features do not fit a model give no row for it. Targets come
+    from the bars, so joining them with the features keeps the consistent ones.
+
+    The models a bar still needs travel with it as a list (at most one entry
+    per model of the job), so that nothing is selected twice.
     """
-    todo = skip_existing(valid_targets(job, bars, features, scores), scores)
-    wanted = features.join(todo.select(*ON), list(ON), "left_semi")
-    newest = latest_features(wanted, job.feature_key)
-    mapped = with_feature_map(newest.select(*ON, "feature_key", "features")).drop("features")
+    targets = select_targets(job, bars, scores)
+    if job.on_inconsistent == "fail":
+        consistency_gate(targets.select(*ON).distinct(), bars, features, job.feature_key)
+    todo = skip_existing(targets, scores).groupBy(*ON).agg(F.collect_set("model_path").alias("_models"))
+    stored = key_filter(features, job.feature_key).select(*ON, "feature_key", "features", "created_at")
+    newest = latest_features(stored.join(todo, list(ON)))
+    mapped = with_feature_map(newest).select(*ON, "feature_key", "feature_map", "_models")
     scored = score_many(mapped, job.models, num_iteration=job.num_iteration, method=job.method)
-    if len(job.models) > 1 or job.mode == "last_from_predictions":
-        scored = scored.join(todo, [*ON, "model_path"], "left_semi")
-    return scored.select(*ON, "model_path", "y_pred", "feature_key",
-                         F.lit(job.dataset).cast("string").alias("dataset"))
+    return scored.where(F.array_contains("_models", F.col("model_path"))).select(
+        *ON, "model_path", "y_pred", "feature_key", F.lit(job.dataset).cast("string").alias("dataset"))
 
 
 def run_backfill(job: Backfill, bars: DataFrame, features: DataFrame, store: Store) -> int:
