@@ -193,9 +193,10 @@ def recompute_features(bars: DataFrame, targets: DataFrame, base_hours: int = 72
     keys = list(keys)
     on = [*keys, "ts"]
     clean = bars.where(number("close").isNotNull())
-    wanted = targets.select(*on).distinct().join(clean.select(*on), on, "left_semi")
+    asked = targets.select(*on).distinct()
+    wanted = asked
     if require_gapless:
-        whole = continuity(bars, wanted, base_hours + max(0, buffer_hours), keys, chunk_hours)
+        whole = continuity(bars, asked, base_hours + max(0, buffer_hours), keys, chunk_hours)
         wanted = whole.where("continuous").select(*on)
     fast, slow = spec.macd
     frames = [wanted]
@@ -203,7 +204,7 @@ def recompute_features(bars: DataFrame, targets: DataFrame, base_hours: int = 72
         rows = max(2, base_hours // TIMEFRAME_HOURS[timeframe])
         full = resample_bars(clean, timeframe, keys).withColumnRenamed("ts", "bar_ts")
         past = _history(full, spec, keys, rows, chunk_hours)
-        now = partial_bars(clean, timeframe, keys).join(wanted, on, "left_semi")
+        now = partial_bars(clean, timeframe, keys).join(asked, on, "left_semi")
         seen = now.join(past, [*keys, "bar_ts"])
         close, volume = F.col("close"), F.col("volume")
         step = close - F.col("_prev_close")

@@ -32,16 +32,18 @@ def ticks_to_bars(ticks: DataFrame, *, series: str = "series", ts: str = "ts", v
     )
 
 
+def _longer_bars(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per longer bar (column ``bar_ts``), combined map-side first."""
+    return placed.groupBy(*keys, "bar_ts").agg(
+        F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume"))
+
+
 def resample_bars(bars: DataFrame, timeframe: str, keys: Sequence[str] = ("series",)) -> DataFrame:
     """Bars of a longer timeframe, labelled by their start; a last bar that is
-    not full yet is kept. Every bar combines map-side."""
-    step = TIMEFRAME_HOURS[timeframe]
-    return (
-        bars.groupBy(*keys, floor_timeframe("ts", step).alias("bar_ts"))
-        .agg(F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
-             F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume"))
-        .withColumnRenamed("bar_ts", "ts")
-    )
+    not full yet is kept."""
+    placed = bars.withColumn("bar_ts", floor_timeframe("ts", TIMEFRAME_HOURS[timeframe]))
+    return _longer_bars(placed, keys).withColumnRenamed("bar_ts", "ts")
 
 
 def target_name(horizon: int, log: bool = True, label: str | None = None) -> str:
@@ -110,19 +112,31 @@ def obv(bars: DataFrame, keys: Sequence[str] = ("series",), chunk_hours: int = D
     return summed.select(*keys, "ts", "obv")
 
 
+def _by_timeframe(bars: DataFrame, timeframes: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Each bar once per timeframe, with the start of the longer bar it is in."""
+    places = F.array(*[F.struct(F.lit(tf).alias("timeframe"), floor_timeframe("ts", TIMEFRAME_HOURS[tf]).alias("bar_ts"))
+                       for tf in timeframes])
+    slim = bars.select(*keys, "ts", *BAR_COLUMNS, F.explode(places).alias("_p"))
+    return slim.select(*keys, "_p.timeframe", "ts", "_p.bar_ts", *BAR_COLUMNS)
+
+
+def _so_far(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The longer bar of each row as known at the row's time. Groups hold the
+    rows of one longer bar."""
+    w = Window.partitionBy(*keys, "bar_ts").orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return placed.select(
+        *keys, "ts", "bar_ts", F.first("open").over(w).alias("open"), F.max("high").over(w).alias("high"),
+        F.min("low").over(w).alias("low"), "close", F.sum("volume").over(w).alias("volume"))
+
+
 def partial_bars(bars: DataFrame, timeframe: str, keys: Sequence[str] = ("series",)) -> DataFrame:
     """For every bar, the longer bar it falls in as known at that time:
-    ``keys, ts, bar_ts, open..volume``. Groups hold one longer bar each."""
+    ``keys, ts, bar_ts, open..volume``."""
     step = TIMEFRAME_HOURS[timeframe]
-    w = (Window.partitionBy(*keys, "bar_ts").orderBy("ts")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     slim = bars.select(*keys, "ts", *BAR_COLUMNS)
     if step == 1:
         return slim.select(*keys, "ts", F.col("ts").alias("bar_ts"), *BAR_COLUMNS)
-    labelled = slim.withColumn("bar_ts", floor_timeframe("ts", step))
-    return labelled.select(
-        *keys, "ts", "bar_ts", F.first("open").over(w).alias("open"), F.max("high").over(w).alias("high"),
-        F.min("low").over(w).alias("low"), "close", F.sum("volume").over(w).alias("volume"))
+    return _so_far(slim.withColumn("bar_ts", floor_timeframe("ts", step)), keys)
 
 
 def lookback(bars: DataFrame, targets: DataFrame, window_hours: int = 720,
@@ -131,33 +145,30 @@ def lookback(bars: DataFrame, targets: DataFrame, window_hours: int = 720,
     """The trailing ``window_hours / timeframe`` bars of each target time, the
     last of them only as far as the target itself.
 
-    Long form: ``keys, timeframe, ts_key, ts, bar_ts, open..volume``. Bars are
-    numbered per series; a bar joins the targets of its own and the next block
-    of positions, so the rows a join looks at are at most twice its output.
+    Long form: ``keys, timeframe, ts_key, ts, bar_ts, open..volume``. All
+    timeframes go through one plan. Bars are numbered per series and timeframe;
+    a bar joins the targets of its own and the next block of positions, so the
+    rows a join looks at are at most twice its output.
     """
     keys = list(keys)
-    out = None
+    frame_keys = [*keys, "timeframe"]
+    sizes = {tf: max(1, window_hours // TIMEFRAME_HOURS[tf]) for tf in timeframes}
+    n = F.element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), F.col("timeframe"))
+    placed = _by_timeframe(bars, timeframes, keys)
+    full = positions(_longer_bars(placed, frame_keys), frame_keys, ["bar_ts"], chunk_hours=chunk_hours)
     wanted = targets.select(*keys, "ts").distinct()
-    for timeframe in timeframes:
-        n = max(1, window_hours // TIMEFRAME_HOURS[timeframe])
-        full = positions(resample_bars(bars, timeframe, keys).withColumnRenamed("ts", "bar_ts"), keys, ["bar_ts"],
-                         chunk_hours=chunk_hours)
-        current = partial_bars(bars, timeframe, keys).join(wanted, [*keys, "ts"], "left_semi")
-        place = full.select(*keys, "bar_ts", F.col("_pos").alias("_end"))
-        ends = current.join(place, [*keys, "bar_ts"])
-        blocks = (full.withColumn("_block", F.explode(F.array(F.floor(F.col("_pos") / n), F.floor(F.col("_pos") / n) + 1)))
-                  .select(*keys, "_block", "_pos", "bar_ts", *BAR_COLUMNS))
-        earlier = (
-            ends.select(*keys, "ts", "_end", F.floor(F.col("_end") / n).alias("_block"))
-            .join(blocks, [*keys, "_block"])
-            .where((F.col("_pos") < F.col("_end")) & (F.col("_pos") > F.col("_end") - n))
-            .select(*keys, "ts", "bar_ts", *BAR_COLUMNS)
-        )
-        rows = stack(earlier, ends.select(*keys, "ts", "bar_ts", *BAR_COLUMNS))
-        rows = rows.select(*keys, F.lit(timeframe).alias("timeframe"), ts_key("ts").alias("ts_key"), "ts", "bar_ts",
-                           *BAR_COLUMNS)
-        out = rows if out is None else stack(out, rows)
-    return out
+    current = _so_far(placed, frame_keys).join(wanted, [*keys, "ts"], "left_semi")
+    ends = current.join(full.select(*frame_keys, "bar_ts", F.col("_pos").alias("_end")), [*frame_keys, "bar_ts"])
+    block = F.floor(F.col("_pos") / n)
+    blocks = full.withColumn("_block", F.explode(F.array(block, block + 1)))
+    earlier = (
+        ends.select(*frame_keys, "ts", "_end", F.floor(F.col("_end") / n).alias("_block"))
+        .join(blocks, [*frame_keys, "_block"])
+        .where((F.col("_pos") < F.col("_end")) & (F.col("_pos") > F.col("_end") - n))
+    )
+    columns = [*frame_keys, "ts", "bar_ts", *BAR_COLUMNS]
+    rows = stack(earlier.select(*columns), ends.select(*columns))
+    return rows.select(*frame_keys, ts_key("ts").alias("ts_key"), "ts", "bar_ts", *BAR_COLUMNS)
 
 
 def trim_lookback(store: DataFrame, base_hours: int = 720) -> DataFrame:
