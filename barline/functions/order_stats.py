@@ -18,7 +18,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barline.session import stack
+
 INF = float("inf")
+# A value is cut by ties when it fills at least this many cells.
+HEAVY_CELLS = 4
+MAX_BROADCAST_CELLS = 200_000
 
 
 @dataclass(frozen=True)
@@ -37,14 +42,16 @@ class Cells:
     keys: list[str]
     value: str
     empty: bool
+    max_cells: int
 
     def tagged(self) -> DataFrame:
         """Rows joined with their cell's counts.
 
-        Without keys the table has a number of rows fixed by the cell count, so
-        it is broadcast; with keys it grows with them and Spark decides.
+        The table is broadcast where its size is bounded by the cell count and
+        small; with keys it grows with them, and Spark decides.
         """
-        table = self.table if self.keys else F.broadcast(self.table)
+        small = not self.keys and self.max_cells <= MAX_BROADCAST_CELLS
+        table = F.broadcast(self.table) if small else self.table
         return self.rows.join(table, [*self.keys, "_cell", "_sub"])
 
 
@@ -80,7 +87,7 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
     keys = list(keys)
     n_cells = max(2, n_cells or default_cells(df))
     found = _quantiles(df.select(value), value, n_cells)
-    quantiles = found or []
+    quantiles, heavy = found or [], []
     cuts = sorted(set(quantiles))
     rows = _bucket(df, value, cuts, "_cell")
     if not cuts:
@@ -89,7 +96,7 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
         cut_at = F.element_at(F.array(*[F.lit(c) for c in cuts]), F.greatest(F.col("_cell"), F.lit(1)).cast("int"))
         at_cut = (F.col("_cell") > 0) & (F.col(value) == cut_at)
         rows = rows.withColumn("_cell", 2 * F.col("_cell") - at_cut.cast("long"))
-        heavy = sorted(q for q, times in Counter(quantiles).items() if times > 1)
+        heavy = sorted(q for q, times in Counter(quantiles).items() if times >= HEAVY_CELLS)
         if tie is None or not heavy:
             rows = rows.withColumn("_sub", F.lit(0).cast("long"))
         else:
@@ -99,12 +106,27 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
             rows = rows.withColumn("_sub", F.when(F.col(value).isin(heavy), F.col("_sub")).otherwise(0)).drop("_t")
 
     counts = rows.groupBy(*keys, "_cell", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-    ordered = Window.partitionBy(*keys).orderBy("_cell", "_sub").rowsBetween(Window.unboundedPreceding, -1)
-    table = counts.withColumns({
-        "_ahead": F.coalesce(F.sum("_n").over(ordered), F.lit(0)),
+    split = tie is not None and bool(heavy)
+    cells = counts.groupBy(*keys, "_cell").agg(F.sum("_n").alias("_n")) if split else counts
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    # At most 2 * n_cells rows per key go through this window.
+    table = cells.withColumns({
+        "_ahead": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
         "_total": F.sum("_n").over(Window.partitionBy(*keys)),
     })
-    return Cells(rows, table, cuts, keys, value, found is None)
+    if split:
+        inside = Window.partitionBy(*keys, "_cell").orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+        table = counts.join(table.drop("_n"), [*keys, "_cell"]).withColumn(
+            "_ahead", F.col("_ahead") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return Cells(rows, table, cuts, keys, value, found is None, (2 + len(heavy)) * n_cells)
+
+
+def time_cells(df: DataFrame, ts: str, out: str, n_cells: int | None = None) -> DataFrame:
+    """Add the cell of a time column: like time chunks, but cut so that each
+    holds a like share of the rows, however they crowd in time."""
+    placed = df.withColumn("_micros", F.unix_micros(F.col(ts).cast("timestamp")).cast("double"))
+    cuts = _quantiles(placed, "_micros", max(2, n_cells or default_cells(df))) or []
+    return _bucket(placed, "_micros", sorted(set(cuts)), out).drop("_micros")
 
 
 def rank_first(df: DataFrame, value: str, tie: str, keys: Sequence[str] = (), *, name: str = "rank",
@@ -145,10 +167,16 @@ def rank_ties(df: DataFrame, value: str, method: str, keys: Sequence[str] = (),
         high = F.col("_ahead") + F.col("_less") + F.col("_same")
         rank = {"min": low, "max": high, "average": (low + high) / 2.0}[method]
     values = values.select(*cell_keys, value, rank.cast("double").alias(name))
-    # One rank row per distinct value. A value with very many rows meets its
-    # rank row by a skew join, which AQE splits on the row side.
-    ranked = cells.rows.join(values, [*cell_keys, value], "left")
-    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], name)
+    # Values with many rows have a cell of their own. There are at most n_cells
+    # of those (per key), so their ranks are broadcast where there are no keys.
+    single = F.col("_cell") % 2 == 1
+    hot_ranks = values.where(single).drop(value)
+    if not cells.keys and cells.max_cells <= MAX_BROADCAST_CELLS:
+        hot_ranks = F.broadcast(hot_ranks)
+    hot = cells.rows.where(single).join(hot_ranks, cell_keys)
+    rest = cells.rows.where(~single).join(values.where(~single), [*cell_keys, value])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return stack(hot.select(*columns, name), rest.select(*columns, name))
 
 
 def medians(df: DataFrame, value: str, keys: Sequence[str] = (), *, name: str = "median",

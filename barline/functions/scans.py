@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barline.functions.columns import col, epoch_seconds
+from barline.functions.order_stats import time_cells
 
 DEFAULT_CHUNK_HOURS = 16_384
 DEFAULT_BLOCK_ROWS = 8_192
@@ -22,7 +23,12 @@ CHUNK = "_chunk"
 POSITION = "_pos"
 
 
-def add_chunk(df: DataFrame, ts: str, chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+def add_chunk(df: DataFrame, ts: str, chunk_hours: int | None = DEFAULT_CHUNK_HOURS) -> DataFrame:
+    """Add the chunk of a row. Chunks of fixed length suit bars, of which there
+    is one per hour; ``None`` cuts by quantiles of the time instead (one small
+    job now), for times that may crowd."""
+    if chunk_hours is None:
+        return time_cells(df, ts, CHUNK)
     step = int(chunk_hours) * 3600
     return df.withColumn(CHUNK, F.floor(epoch_seconds(ts) / step).cast("long"))
 
@@ -36,7 +42,7 @@ def running(
     lasts: Mapping[str, Column] | None = None,
     nexts: Mapping[str, Column] | None = None,
     include_current: bool = True,
-    chunk_hours: int = DEFAULT_CHUNK_HOURS,
+    chunk_hours: int | None = DEFAULT_CHUNK_HOURS,
 ) -> DataFrame:
     """Add running sums and nearest non-null values along ``order`` per ``keys``.
 

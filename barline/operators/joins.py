@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.functions.columns import col, epoch_micros, hours
-from barline.functions.scans import DEFAULT_CHUNK_HOURS, running
+from barline.functions.scans import running
 from barline.operators.targets import key_filter
 from barline.session import stack
 
@@ -147,11 +147,12 @@ def join_one_to_one(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES_TS,
 
 
 def nearest_ts(targets: DataFrame, stored: DataFrame, keys: Sequence[str] = ("series",), ts: str = "ts",
-               out: str = "nearest_ts", chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+               out: str = "nearest_ts", chunk_hours: int | None = None) -> DataFrame:
     """The stored time closest to each target; the earlier one wins ties.
 
     Both sides are put on one time line, which is scanned in chunks for the
-    stored time before and after each target.
+    stored time before and after each target. Targets may crowd in time, so
+    the chunks are cut by quantiles unless a length is given.
     """
     keys = list(keys)
     line = stack(

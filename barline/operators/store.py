@@ -9,7 +9,8 @@ by side.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -83,44 +84,55 @@ class Store:
         full = rows.withColumns({c: v.cast(types[c]) for c, v in absent.items()}) if absent else rows
         return full.select(*[F.col(c).cast(types[c]).alias(c) for c in self.columns])
 
-    def append_unique(self, rows: DataFrame) -> int:
-        """Add rows; a key that is stored already, or twice in the batch, fails
-        the whole batch. Returns the number of rows.
-
-        The batch is written to a staging folder first, so that it is computed
-        once and the checked rows are the stored rows.
-        """
+    @contextmanager
+    def _staged(self, rows: DataFrame) -> Iterator[DataFrame]:
+        """The conformed rows, written once to a staging folder: the batch is
+        computed a single time, and the checked rows are the stored rows."""
         staging = scratch_path(self.spark, "staging")
         try:
             self.conform(rows).write.parquet(staging)
-            batch = self.spark.read.schema(self.schema).parquet(staging)
+            yield self.spark.read.schema(self.schema).parquet(staging)
+        finally:
+            self._remove(staging)
+
+    def _stored_near(self, batch: DataFrame) -> DataFrame:
+        """Stored rows, with their day, between the first and last day of the
+        batch; other partitions are not read."""
+        days = batch.agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi")).first()
+        stored = self.spark.read.schema(f"{self.schema}, {DAY} date").parquet(self.path)
+        return stored.where(F.col(DAY).between(F.lit(days.lo), F.lit(days.hi)))
+
+    def append_unique(self, rows: DataFrame) -> int:
+        """Add rows; a key that is stored already, or twice in the batch, fails
+        the whole batch. Returns the number of rows."""
+        with self._staged(rows) as batch:
+            n = batch.count()
+            if not n:
+                return 0
             require_unique(batch, self.key, "batch")
-            clash = batch.join(self.read().select(*self.key), self.key, "left_semi").limit(5).collect()
+            known = self._stored_near(batch).select(*self.key)
+            clash = batch.join(known, self.key, "left_semi").limit(5).collect()
             if clash:
                 raise DuplicateKeys(f"already stored: {[tuple(r[k] for k in self.key) for r in clash]}")
-            n = batch.count()
-            if n:
-                self._write(batch, "append")
+            self._write(batch, "append")
             return n
-        finally:
-            self._remove(staging)
-
-    def _remove(self, folder: str) -> None:
-        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
     def append_missing(self, rows: DataFrame) -> None:
-        """Add only rows whose key is not stored yet."""
-        batch = self.conform(rows).dropDuplicates(self.key)
-        self._write(batch.join(self.read().select(*self.key), self.key, "left_anti"), "append")
+        """Add only rows whose key is not stored yet, one per key."""
+        with self._staged(rows) as batch:
+            if batch.limit(1).count():
+                fresh = batch.join(self._stored_near(batch).select(*self.key), self.key, "left_anti")
+                self._write(fresh.dropDuplicates(self.key), "append")
 
     def replace_by_key(self, rows: DataFrame) -> None:
-        """Replace rows of the same key. Only the days of ``rows`` are rewritten."""
-        batch = self.conform(rows)
-        days = batch.select(F.to_date("ts").alias(DAY)).distinct()
-        touched = (self.spark.read.schema(f"{self.schema}, {DAY} date").parquet(self.path)
-                   .join(days, [DAY], "left_semi").drop(DAY))
-        self._write(replaced(touched, batch, self.key), "overwrite")
+        """Replace rows of the same key. Only the days of ``rows`` are rewritten;
+        a key that is twice in ``rows`` fails the batch."""
+        with self._staged(rows) as batch:
+            if batch.limit(1).count():
+                require_unique(batch, self.key, "batch")
+                days = batch.select(F.to_date("ts").alias(DAY)).distinct()
+                touched = self._stored_near(batch).join(days, [DAY], "left_semi").drop(DAY)
+                self._write(replaced(touched, batch, self.key), "overwrite")
 
     def delete_dataset(self, label: str) -> None:
         """Remove the rows of a dataset, rewriting only the days it is on.
@@ -130,13 +142,16 @@ class Store:
         """
         stored = self.spark.read.schema(f"{self.schema}, {DAY} date").parquet(self.path)
         days = stored.where(F.col("dataset") == label).select(DAY).distinct()
-        touched = stored.join(days, [DAY], "left_semi")
-        kept = without_dataset(touched, label)
+        kept = without_dataset(stored.join(days, [DAY], "left_semi"), label)
         emptied = [r[DAY] for r in days.join(kept.select(DAY).distinct(), [DAY], "left_anti").collect()]
         self._write(kept.drop(DAY), "overwrite")
         for day in emptied:
             self._remove(f"{self.path.rstrip('/')}/{DAY}={day.isoformat()}")
 
+    def _remove(self, folder: str) -> None:
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
 
 def score_store(spark: SparkSession, path: str, key: Sequence[str] = SCORE_KEY) -> Store:
     return Store(spark, path, SCORE_SCHEMA, key)
