@@ -64,15 +64,21 @@ def select_incremental(bars: DataFrame, scores: DataFrame, models: Sequence[str]
     """Closed bars after each model's newest score: one row per bar and model.
 
     A model without scores starts 48 hours before the end. With ``series``
-    keys the newest score is taken per series and model. The bounds are one
-    row per model (and series); bars are read once for all models.
+    keys the newest score is taken per series and model. Bars are read once for
+    all models.
+
+    The earliest of the starts is looked up first (an aggregate of the scores
+    that returns one row), so that bars, and whatever is joined to the result
+    by time, are scanned from there on and not from the beginning.
     """
     series = list(series)
     end_ts = naive_utc(end) if end else cutoff(now)
     fallback = end_ts - pd.Timedelta(hours=DEFAULT_WINDOW_HOURS)
     wanted = scores.where(F.col("model_path").isin(list(models)))
     last = last_scored(wanted, dataset, [*series, "model_path"])
-    candidates = closed_bars(bars, now, None, end_ts).withColumn(
+    lowest = last.agg(F.min("last_ts")).first()[0]
+    earliest = fallback if lowest is None else min(fallback, pd.Timestamp(lowest) + pd.Timedelta(hours=1))
+    candidates = closed_bars(bars, now, earliest, end_ts).withColumn(
         "model_path", F.explode(F.array(*[F.lit(m) for m in models])))
     bounded = candidates.join(last, [*series, "model_path"], "left")
     begin = F.coalesce(F.col("last_ts") + hours(1), ts_lit(fallback))

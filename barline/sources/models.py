@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,12 +28,10 @@ def latest_model(spark: SparkSession, root: str, model_path: str | None = None)
     """The model file to use: an explicit file or run folder wins, else the
     newest ``model.txt`` one folder below ``root``, else the newest anywhere."""
     if model_path is not None:
-        if model_path.rstrip("/").endswith("/" + MODEL_FILE):
-            return latest_file(spark, model_path, MODEL_FILE)
         return latest_file(spark, model_path, MODEL_FILE)
     try:
         return latest_file(spark, root.rstrip("/") + "/*/", MODEL_FILE)
-    except Exception:  # no folder level, or no model on it
+    except (FileNotFoundError, AnalysisException):  # no such folder level, or no model on it
         return latest_file(spark, root, MODEL_FILE, recursive=True)
 
 

@@ -160,7 +160,7 @@ def allclose(spark, sf):
 
 
 @query("C10_top_diff_features", "bars_b", """
-    SELECT series, ts, name, abs_diff, rank FROM (
+    SELECT series, ts, name, abs_diff, cast(rank AS integer) AS rank FROM (
       SELECT series, ts, name, abs(a.value - b.value) AS abs_diff,
         row_number() OVER (PARTITION BY series, ts ORDER BY abs(a.value - b.value) DESC, name) AS rank
       FROM (SELECT series, ts, unnest(['close', 'high', 'low', 'open', 'volume']) AS name,
@@ -293,7 +293,7 @@ def snapshot_summary(spark, sf):
     WITH p AS (SELECT series, ts, unnest(['open','high','low','close','volume']) AS "column",
       unnest([a.open, a.high, a.low, a.close, a.volume]) AS a, unnest([b.open, b.high, b.low, b.close, b.volume + hour(ts)]) AS b
       FROM bars a JOIN bars_b b USING (series, ts))
-    SELECT series, ts, "column", a, round(b, 6) AS b, round(abs(a - b), 6) AS abs_diff, rank FROM (SELECT *, row_number() OVER (
+    SELECT series, ts, "column", a, round(b, 6) AS b, round(abs(a - b), 6) AS abs_diff, cast(rank AS integer) AS rank FROM (SELECT *, row_number() OVER (
       PARTITION BY "column" ORDER BY round(abs(a - b), 6) DESC, ts, series) AS rank FROM p WHERE round(a - b, 6) <> 0) WHERE rank <= 5""")
 def top_k(spark, sf):
     b = bars_b(spark, sf).withColumn("volume", F.col("volume") + F.hour("ts"))

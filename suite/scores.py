@@ -193,7 +193,10 @@ def model_features(spark, sf):
     names = feature_names(model_trees(spark))
     kinds = features(spark, sf).select("feature_key", F.array_sort(F.json_object_keys("features")).alias("held"))
     counted = kinds.groupBy("feature_key", "held").agg(F.count(F.lit(1)).alias("n"))
-    pairs = counted.withColumn("_k", F.lit(1)).join(F.broadcast(names.withColumn("_k", F.lit(1))), "_k")
+    # One entry per model, so that the list is as long as there are models.
+    listed = F.array(*[F.struct(F.lit(r.model_path).alias("model_path"), F.array(*map(F.lit, r.features)).alias("features"))
+                       for r in names.collect()])
+    pairs = counted.withColumn("_m", F.explode(listed)).select("feature_key", "held", "n", "_m.*")
     fits = F.size(F.array_except("features", "held")) == 0
     return pairs.groupBy("model_path", F.array_join("features", ",").alias("features"), "feature_key").agg(
         F.sum("n").alias("rows"), F.sum(F.when(fits, F.col("n")).otherwise(0)).alias("scorable"))

@@ -212,7 +212,7 @@ def _write_model(spark, folder, cut):
 
 @query("S16_latest_model", "features", """
     WITH x AS (SELECT feature_key, series, ts, cast(json_extract_string(features, '$.close') AS double) AS close FROM features)
-    SELECT feature_key, series, ts, CASE WHEN close <= (SELECT avg(close) FROM x) THEN -1.5 ELSE 2.5 END AS y_pred FROM x""")
+    SELECT feature_key, series, ts, cast(CASE WHEN close <= (SELECT avg(close) FROM x) THEN -1.5 ELSE 2.5 END AS double) AS y_pred FROM x""")
 def latest_model_scores(spark, sf):
     """The newest model file under a root scores every stored row."""
     root = _folder(spark, "models")
