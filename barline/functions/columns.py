@@ -29,10 +29,6 @@ def hours(n: int) -> Column:
     return F.expr(f"make_dt_interval(0, {int(n)}, 0, 0)")
 
 
-def ntz(c: Column | str) -> Column:
-    return col(c).cast("timestamp_ntz")
-
-
 def epoch_seconds(c: Column | str) -> Column:
     return F.unix_seconds(col(c).cast("timestamp"))
 
@@ -113,7 +109,3 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
     return df
-
-
-def round_half(c: Column | str, digits: int = 6) -> Column:
-    return F.round(col(c), digits)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from barline.functions.columns import BAR_COLUMNS, finite, number
 from barline.functions.order_stats import medians
 from barline.functions.scans import DEFAULT_CHUNK_HOURS
-from barline.operators.features import explode_features
 from barline.operators.joins import SERIES_TS, nearest_ts
 from barline.operators.series import obv
 from barline.session import cut, stack
@@ -350,11 +349,6 @@ def compare_score_sources(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES
     return score_pairs(a, b, on).agg(F.count(F.lit(1)).alias("n"), F.max(F.abs("diff")).alias("max_abs_diff"))
 
 
-def long_features(df: DataFrame, on: Sequence[str] = SERIES_TS) -> DataFrame:
-    """Store rows (JSON features) in long form."""
-    return explode_features(df, on)
-
-
 def wide_to_long(df: DataFrame, columns: Sequence[str], on: Sequence[str] = SERIES_TS) -> DataFrame:
     """Wide feature rows in long form."""
     entries = F.map_from_arrays(F.array(*[F.lit(c) for c in columns]),

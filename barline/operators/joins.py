@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barline.functions.columns import col, epoch_micros, hours
+from barline.functions.columns import epoch_micros, hours
 from barline.functions.scans import running
 from barline.operators.targets import key_filter
 from barline.session import stack
@@ -188,9 +188,3 @@ def coverage(a: DataFrame, b: DataFrame, values: Sequence[str], on: Sequence[str
     right = b.select(*on, *[F.col(v).alias(f"{v}_b") for v in values], F.lit(True).alias("_b"))
     status = (F.when(F.col("_a") & F.col("_b"), "common").when(F.col("_a"), "only_a").otherwise("only_b"))
     return left.join(right, on, "full_outer").withColumn("status", status).drop("_a", "_b")
-
-
-def first_value(df: DataFrame, column: str) -> object:
-    """The single value of a one-row aggregate."""
-    row = df.select(col(column)).first()
-    return None if row is None else row[0]

@@ -201,11 +201,11 @@ def _batch_score(model: TreeModel, inputs: Column, num_iteration: int | None) ->
     return score(inputs)
 
 
-def strict_columns(features: Column, model: TreeModel) -> dict[str, Column]:
-    """Which model features the map lacks."""
+def missing_features(features: Column, model: TreeModel) -> Column:
+    """The model features a map lacks."""
     wanted = F.array(*[F.lit(f) for f in model.features]).cast("array<string>")
     held = F.coalesce(F.map_keys(features), F.array().cast("array<string>"))
-    return {"missing_features": F.array_except(wanted, held)}
+    return F.array_except(wanted, held)
 
 
 def align_strict(df: DataFrame, model: TreeModel, features: str = "feature_map") -> DataFrame:
@@ -213,7 +213,7 @@ def align_strict(df: DataFrame, model: TreeModel, features: str = "feature_map")
     ``no_features`` or ``missing_features``. Nothing is filled in."""
     m = F.col(features)
     empty = m.isNull() | (F.size(m) == 0)
-    lacks = F.size(strict_columns(m, model)["missing_features"]) > 0
+    lacks = F.size(missing_features(m, model)) > 0
     return df.withColumn("skip_reason", F.when(empty, "no_features").when(lacks, "missing_features"))
 
 
@@ -265,7 +265,7 @@ def score_many(df: DataFrame, models: Iterable[TreeModel], features: str = "feat
     staged, results = df, []
     for i, model in enumerate(models):
         staged = score_maps(staged, model, features, out=f"_y{i}", num_iteration=num_iteration, method=method)
-        lacks = F.size(strict_columns(F.col(features), model)["missing_features"]) > 0
+        lacks = F.size(missing_features(F.col(features), model)) > 0
         results.append(F.when(~lacks, F.struct(F.lit(model.path).alias("model_path"), F.col(f"_y{i}").alias("y_pred"))))
     # A row without features lacks every feature, so it gives no element here.
     scored = staged.withColumn("_s", F.explode(F.array_compact(F.array(*results))))

@@ -49,10 +49,6 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**_CSV).csv(path)
 
 
-def clean_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*[str(c).strip().lower() for c in df.columns])
-
-
 def time_column(df: DataFrame, candidates: Sequence[str] = TIME_NAMES) -> str:
     """The first candidate the frame has, else its first column."""
     return next((c for c in candidates if c in df.columns), df.columns[0])

@@ -9,7 +9,7 @@ from barline.operators import features as f
 from barline.operators import store as st
 from barline.operators import targets as t
 from barline.sources.files import feature_list
-from suite.base import bars, bars_b, features, features_b, query, table
+from suite.base import bars, features, features_b, query, table
 
 
 @query("W1_latest_features", "latest", "SELECT series, ts, feature_key, features FROM latest")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators import scoring as sc
-from barline.plans.files import load_model_file, score_file, score_frame
+from barline.plans.files import NoOverlap, load_model_file, merge_and_score_files, score_file, score_frame
 from barline.sources.models import latest_model, read_model_trees
 
 MODEL = """tree
@@ -138,6 +138,19 @@ def test_newest_model_wins(spark, tmp_path):
         latest_model(spark, str(tmp_path / "empty"))
 
 
+def test_merge_and_score_files(spark, tmp_path):
+    model = load_model_file(spark, write_model(tmp_path / "m"))
+    (tmp_path / "cur_1.csv").write_text("time,a,b\n2024-01-01,0.1,2\n2024-01-02,0.9,2\n2024-01-03,0.1,1\n")
+    (tmp_path / "norm_1.csv").write_text("when,b,c\n2024-01-01,0,7\n2024-01-03,9,7\n")
+    args = (spark, str(tmp_path), "cur_*.csv", "norm_*.csv", model)
+    got = {r.timestamp.day: r.y_pred for r in merge_and_score_files(*args, "2024-01-01").collect()}
+    assert got == {1: 2.25, 3: 1.25}
+    other = {r.timestamp.day: r.y_pred for r in merge_and_score_files(*args, "2024-01-01", "2024-01-02", "norm").collect()}
+    assert other == {1: 1.25}
+    with pytest.raises(NoOverlap):
+        merge_and_score_files(*args, "2025-01-01")
+
+
 def test_score_file(spark, tmp_path):
     model = load_model_file(spark, write_model(tmp_path / "m"))
     (tmp_path / "in.csv").write_text("timestamp,b,a\n2024-01-01,2,0.1\n2024-01-02,oops,0.9\n")

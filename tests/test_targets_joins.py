@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from barline.functions.columns import all_close, number, parse_ts
+from barline.functions.columns import all_close, number, parse_ts, parse_ts_key, ts_key
 from barline.operators import joins as j
 from barline.operators import targets as t
 
@@ -86,6 +86,13 @@ def test_timestamps_with_offsets_become_utc(spark):
     assert [r.t for r in df.collect()] == [datetime(2024, 4, 30, 22), datetime(2024, 5, 1), datetime(2024, 5, 1), None, None]
 
 
+def test_lookback_keys(spark):
+    df = spark.createDataFrame([("20240102_030000",), ("bad",)], "k string").select(parse_ts_key("k").alias("t"))
+    got = [r.t for r in df.collect()]
+    assert got == [datetime(2024, 1, 2, 3), None]
+    assert df.where("t is not null").select(ts_key("t")).first()[0] == "20240102_030000"
+
+
 def test_numbers(spark):
     df = spark.createDataFrame([("1.5",), ("NaN",), ("abc",), (None,), (" 2 ",), ("-Infinity",)], "s string")
     assert [r[0] for r in df.select(number("s")).collect()] == [1.5, None, None, None, 2.0, float("-inf")]
