@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +46,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     _plain_unions(spark)
+    _ship(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per application, wherever the
+    session was started from."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="barline-")) / "barline.zip"  # Spark sends it on from the driver
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def _plain_unions(spark: SparkSession) -> None:
     if spark.conf.get(UNION_PARTITIONING, "false") != "false":
         spark.conf.set(UNION_PARTITIONING, "false")
