@@ -83,3 +83,17 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     packed = pack(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32",
                          F.col("sequence_id").cast("long").alias("sequence_id"), F.col("offset").cast("long").alias("offset"))
+
+
+@query("op8_adaptive_rules")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.quality_rules import quality_rules
+
+    return quality_rules(table(spark, sf, "documents"))
+
+
+@query("op9_importance_resampling")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.importance import importance_sample
+
+    return importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
