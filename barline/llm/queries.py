@@ -97,3 +97,10 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     from barline.llm.importance import importance_sample
 
     return importance_sample(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op7_skip_chain_crf")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.pii import personal_data
+
+    return personal_data(table(spark, sf, "documents"))
