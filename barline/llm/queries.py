@@ -104,3 +104,87 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     from barline.llm.pii import personal_data
 
     return personal_data(table(spark, sf, "documents"))
+
+
+URL_SQL = """
+WITH parts AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+judged AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM parts),
+rules(verdict, rule_host, rule_path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
+  ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+best AS (
+  SELECT row, arg_max((rule_host || rule_path, verdict), length(rule_host || rule_path)) AS b
+  FROM (SELECT *, row_number() OVER () AS row FROM judged) j
+  JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY row)
+SELECT page_id, host, path, b[1] AS rule, coalesce(b[2], 'allow') AS verdict
+FROM (SELECT *, row_number() OVER () AS row FROM judged) j LEFT JOIN best USING (row)
+"""
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+@query("op1_bloom_cascade", URL_SQL)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.url_filter import filter_urls
+
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return filter_urls(table(spark, sf, "pages").select("page_id", "url"), rules).drop("url")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, octet_length(encode(body)) AS n, sha1(body) AS x FROM p),
+k AS (SELECT *, min(page_id) OVER (PARTITION BY x) AS first,
+        array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+          (cast('0x' || substr(x, cast(1 + 5 * (i // 4) AS integer), 5) AS integer) >> cast(15 - 5 * (i % 4) AS integer)) & 31 AS integer), 1)), '') AS digest
+      FROM d)
+SELECT page_id, cast(n AS bigint) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM k
+"""
+
+
+@query("op2_capture_index", WARC_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.warc import archived
+
+    found = archived(table(spark, sf, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: cast(x AS double)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS n FROM v),
+near AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.93),
+reach(node, seen) AS (SELECT a, b FROM near UNION SELECT r.node, n.b FROM reach r JOIN near n ON n.a = r.seen),
+comp AS (SELECT node, least(node, min(seen)) AS component FROM reach GROUP BY node),
+links AS (SELECT a, count(*) AS n FROM near GROUP BY a)
+SELECT vec_id, cast(coalesce(n, 0) AS bigint) AS n_links, coalesce(component, vec_id) AS component_id,
+  coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN links ON a = vec_id LEFT JOIN comp ON node = vec_id
+"""
+
+
+@query("op3_projection_forest", EMBEDDING_SQL)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.rp_forest import near_vectors
+
+    return near_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op6_min_cost_reshard")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.reshard import old_shards, reshard, slots
+
+    rows, _ = reshard(old_shards(spark, f"{sf}/documents.parquet"))
+    narrow = rows.select("doc_id", "size", "text_crc32", "shard", "old_shard", "block")
+    return slots(narrow).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                                F.lit(None).cast("int").alias("grown_shard"))
