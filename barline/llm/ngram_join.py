@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from barline.llm.components import components
 from barline.llm.ragged import chunks, mix, shingle_hashes
-from barline.llm.store import staged
+from barline.llm.store import runtime_filters, staged
 
 WORDS, THRESHOLD = 5, 0.8
 #: 32 bands of 4 values: a pair at the threshold shares no band with probability 5e-8.
@@ -108,7 +108,7 @@ def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
         F.bit_xor(F.xxhash64("class_id", F.lit(1))).alias("y")).where("n > 1")
     order = F.struct(F.col("bucket").bitwiseAND(F.lit(BANDS - 1)).alias("band"), "bucket")
     kept = buckets.groupBy("n", "first", "x", "y").agg(F.min(order).alias("k")).select("n", F.col("k.bucket").alias("bucket"))
-    member = rows.join(kept, "bucket").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    member = rows.join(staged(kept, "buckets").where("n > 1"), "bucket").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     member = member.withColumn("side", F.pmod(F.xxhash64("class_id", F.lit(7)), F.col("blocks")).cast("int"))
     other = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return other.select("class_id", "bucket", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
@@ -239,12 +239,14 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
     first = F.min(F.struct("doc_id", "row"))
     classes = staged(full.groupBy("digest").agg(first.alias("f"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
                      .select("digest", F.col("f.doc_id").alias("class_id"), F.col("f.row").alias("row"), "copies", "sig"), "classes")
-    groups = staged(candidate_groups(classes, block), "groups")
-    wanted = groups.select("class_id").distinct()
-    texts = docs.select(F.col("doc_id").alias("class_id"), "text").join(wanted, "class_id", "left_semi")
-    texts = texts.withColumn("digest", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    texts = texts.join(classes.select("digest", "class_id", "copies", "sig"), ["class_id", "digest"]).dropDuplicates(["class_id", "digest"])
-    found = staged(compare_groups(groups.join(texts.drop("digest"), "class_id"), words, threshold, tolerance), "links")
+    with runtime_filters(docs.sparkSession):  # most texts have no candidate and need not be shuffled
+        groups = staged(candidate_groups(classes, block), "groups")
+        wanted = groups.groupBy("class_id").agg(F.count("*").alias("n"))
+        wanted = staged(classes.select("digest", "class_id", "copies", "sig").join(wanted, "class_id"), "wanted")
+        texts = docs.select(F.col("doc_id").alias("class_id"), "text").join(wanted.where("n > 0"), "class_id")
+        texts = texts.where(F.col("digest") == F.unhex(F.md5("text"))).dropDuplicates(["class_id", "digest"])
+        compared = groups.join(texts.drop("digest", "n"), "class_id")
+        found = staged(compare_groups(compared, words, threshold, tolerance), "links")
     totals = found.groupBy("class_id").agg(F.sum("docs").alias("docs"))
     joined = components(found.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
     known = (classes.select("digest", "class_id", "copies", F.col("row").alias("first_row"))

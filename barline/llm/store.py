@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from barline.session import scratch_path
 
@@ -17,6 +19,23 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def runtime_filters(spark: SparkSession) -> Iterator[None]:
+    """Let Spark filter the large side of a join by a Bloom filter of the other
+    side, whatever their sizes, for what is written inside. The filter's size is
+    bounded by Spark's settings; a full one only filters less."""
+    base = "spark.sql.optimizer.runtime.bloomFilter."
+    wanted = {base + "applicationSideScanSizeThreshold": "1b", base + "creationSideThreshold": "1t"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def open_fs(path: str):
     """The file system of a shared path, for reads and writes inside tasks."""
     from pyarrow import fs
