@@ -37,6 +37,7 @@ MEASURES = (
     Measure("symbol_share", 0.01), Measure("dup_line_share", 0.08), Measure("repeat_share", 0.05),
     Measure("upper_share", 0.03), Measure("mean_word", 0.5, low=True),
 )
+MEASURED = ("n_words", "n_repeat_words", "word_chars", "n_symbols", "n_dup_lines", *(m.name for m in MEASURES), "base_failed")
 #: Fences stand so many quartile distances beyond the quartiles.
 REACH = 6.0
 #: Groups of fewer rows use their language's merged sketch, small languages that of all.
@@ -61,8 +62,11 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     join = lambda a, b: F.concat(a, F.lit(" "), b)
     windows = F.slice(F.zip_with(F.zip_with("_w", tail(2), join), tail(3), join), 1, F.greatest(n - 2, F.lit(0)))
     step = step.withColumn("_s", F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
-    again = F.transform("_s", lambda x, i: F.when(
-        (x["w"] == F.get("_s", i + 1)["w"]) | (x["w"] == F.get("_s", i - 1)["w"]), x["i"]))
+    same = F.zip_with("_s", F.slice("_s", 2, F.greatest(F.size("_s"), F.lit(1))), lambda x, y: F.struct(
+        x["i"].alias("i"), F.coalesce(x["w"] == y["w"], F.lit(False)).alias("next")))
+    step = step.withColumn("_e", same)
+    before = F.concat(F.array(F.lit(False)), F.transform("_e", lambda x: x["next"]))
+    again = F.zip_with("_e", before, lambda x, last: F.when(x["next"] | last, x["i"]))
     step = step.withColumn("_p", F.sort_array(F.filter(again, lambda i: i.isNotNull())))
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last"))
     covered = F.aggregate("_p", start, lambda a, i: F.struct(
@@ -76,12 +80,16 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         "_lines": F.size("_l"), "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
     })
     share = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(0.0))
-    return step.withColumns({
+    step = step.withColumns({
         "symbol_share": share("n_symbols", "word_chars"), "dup_line_share": share("n_dup_lines", "_lines"),
         "repeat_share": share("n_repeat_words", "n_words"), "upper_share": share("_upper", "word_chars"),
         "mean_word": share("word_chars", "n_words"),
         "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-    }).drop("_t", "_w", "_s", "_p", "_l", "_lines", "_upper")
+    })
+    # filters on what a generator returns stay above it; pushed into the
+    # expressions they would measure each text again for every condition
+    others = [c for c in docs.columns if c not in MEASURED]
+    return step.select(*others, F.inline(F.array(F.struct(*MEASURED))))
 
 
 def fences(rows: DataFrame, reach: float = REACH, min_rows: int = MIN_ROWS) -> DataFrame:
