@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm.store import staged
 
 
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest position linked with each position."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang each node's larger neighbours under its smallest one."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))

@@ -8,7 +8,7 @@ below the tolerance, and the rest are verified on their shingle sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from math import comb
 
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.components import components
+from barline.llm.components import components, roots
 from barline.llm.ragged import chunks, mix, shingle_hashes
 from barline.llm.store import runtime_filters, staged
 
@@ -114,14 +114,16 @@ def candidate_groups(classes: DataFrame, block: int = BLOCK) -> DataFrame:
     return other.select("class_id", "bucket", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
 
 
-def _linked(sig: np.ndarray, texts: list[str], side: np.ndarray, cross: bool, band: int, threshold: float,
-            words: int, looks: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the linked pairs of one group that belong to its band."""
-    n = len(sig)
-    if cross:
-        a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == side.min()), np.flatnonzero(side != side.min()), indexing="ij"))
+def _candidates(g: pd.DataFrame, looks: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the pairs of one group that belong to its band and that the
+    posterior does not rule out."""
+    i, j = g["i"].iat[0], g["j"].iat[0]
+    side, band = g["side"].to_numpy(), int(g["bucket"].iat[0]) & BANDS - 1
+    sig = np.frombuffer(b"".join(g["sig"]), np.uint32).reshape(len(g), VALUES)
+    if i != j:
+        a, b = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == i), np.flatnonzero(side == j), indexing="ij"))
     else:
-        a, b = np.triu_indices(n, 1)
+        a, b = np.triu_indices(len(g), 1)
     matches, done = np.zeros(len(a), np.int64), 0
     for upto, least in looks:
         for s in range(0, len(a), 100_000):
@@ -129,19 +131,20 @@ def _linked(sig: np.ndarray, texts: list[str], side: np.ndarray, cross: bool, ba
             matches[part] += (sig[a[part], done:upto] == sig[b[part], done:upto]).sum(axis=1)
         keep = matches >= least
         a, b, matches, done = a[keep], b[keep], matches[keep], upto
-    if len(a):  # a pair is counted in the first band that it shares
-        own = np.zeros(len(a), bool)
-        for s in range(0, len(a), 50_000):
-            part = slice(s, s + 50_000)
-            same = (sig[a[part]] == sig[b[part]]).reshape(-1, BANDS, ROWS).all(axis=2)
-            own[part] = (same.argmax(axis=1) == band) & same[:, band]
-        a, b = a[own], b[own]
-    if not len(a):
-        return a, b
+    own = np.zeros(len(a), bool)  # a pair is counted in the first band that it shares
+    for s in range(0, len(a), 50_000):
+        part = slice(s, s + 50_000)
+        same = (sig[a[part]] == sig[b[part]]).reshape(-1, BANDS, ROWS).all(axis=2)
+        own[part] = (same.argmax(axis=1) == band) & same[:, band]
+    return a[own], b[own]
+
+
+def _verified(texts: list[str], a: np.ndarray, b: np.ndarray, words: int, threshold: float) -> np.ndarray:
+    """Which pairs of texts reach the threshold, by their shingle sets."""
     used = np.unique(np.concatenate((a, b)))
     h, at = shingle_hashes([texts[i] for i in used], words)
     size = np.diff(at)
-    a_, b_ = np.searchsorted(used, a), np.searchsorted(used, b)
+    a, b = np.searchsorted(used, a), np.searchsorted(used, b)
     _, column, times = np.unique(h, return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(used)), size)
     shared = times[column] > 1
@@ -149,28 +152,48 @@ def _linked(sig: np.ndarray, texts: list[str], side: np.ndarray, cross: bool, ba
     both = np.zeros((len(used), len(used)), np.float32)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for s in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):  # bounded slices of the incidence table
+    wide = int(column[-1]) + 1 if len(column) else 0
+    for s in range(0, wide, 4096):  # bounded slices of the incidence table
         lo, hi = np.searchsorted(column, (s, s + 4096))
-        table = np.zeros((len(used), min(4096, int(column[-1]) + 1 - s)), np.float32)
+        table = np.zeros((len(used), min(4096, wide - s)), np.float32)
         table[row[lo:hi], column[lo:hi] - s] = 1
         both += table @ table.T
-    common = both[a_, b_].astype(np.int64)
-    near = common >= threshold * (size[a_] + size[b_] - common) - 1e-9
-    return a[near], b[near]
+    common = both[a, b].astype(np.int64)
+    return common >= threshold * (size[a] + size[b] - common) - 1e-9
+
+
+def _each_group(groups: DataFrame, one: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
+    """``one`` over the rows of every group of two classes or more, a group at a
+    time; groups are bounded by two blocks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+        for rows in batches:
+            rows = rows if held is None else pd.concat((held, rows), ignore_index=True)
+            key = rows[["bucket", "i", "j"]].to_numpy()
+            edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()]
+            made = [m for s, e in zip(edges, edges[1:]) if e - s > 1 and (m := one(rows.iloc[s:e])) is not None]
+            if made:
+                yield pd.concat(made)
+            held = rows.iloc[edges[-1]:]
+        if held is not None and len(held) > 1 and (m := one(held)) is not None:
+            yield m
 
+    return groups.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInPandas(run, schema)
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The smallest position linked with each position."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
+
+def surviving(groups: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """The memberships of ``groups`` (with ``sig``) that hold a pair to verify.
+    Values are compared step by step; texts are not needed for it."""
+    looks = least_matches(threshold, tolerance)
+    kind = groups.schema["class_id"].dataType.simpleString()
+    columns = ["class_id", "bucket", "side", "i", "j"]
+
+    def one(g: pd.DataFrame) -> pd.DataFrame | None:
+        a, b = _candidates(g, looks)
+        return g.iloc[np.unique(np.concatenate((a, b)))][columns] if len(a) else None
+
+    return _each_group(groups, one, f"class_id {kind}, bucket long, side int, i int, j int")
 
 
 def compare_groups(groups: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
@@ -182,15 +205,13 @@ def compare_groups(groups: DataFrame, words: int = WORDS, threshold: float = THR
 
     def one(g: pd.DataFrame) -> pd.DataFrame | None:
         g = g.sort_values("class_id")
-        i, j = g["i"].iat[0], g["j"].iat[0]
-        if len(g) < 2 or (i != j and g["side"].nunique() < 2):
-            return None
-        sig = np.frombuffer(b"".join(g["sig"]), np.uint32).reshape(len(g), VALUES)
-        a, b = _linked(sig, g["text"].tolist(), g["side"].to_numpy(), i != j, int(g["bucket"].iat[0]) & BANDS - 1,
-                       threshold, words, looks)
         ids, copies = g["class_id"].to_numpy(), g["copies"].to_numpy()
+        a, b = _candidates(g, looks)
         other = ids[a] != ids[b]
         a, b = a[other], b[other]
+        if len(a):
+            near = _verified(g["text"].tolist(), a, b, words, threshold)
+            a, b = a[near], b[near]
         if not len(a):
             return None
         n = len(g)
@@ -198,24 +219,9 @@ def compare_groups(groups: DataFrame, words: int = WORDS, threshold: float = THR
         docs = np.bincount(a, copies[b], n) + np.bincount(b, copies[a], n)
         some = np.flatnonzero(links)
         return pd.DataFrame({"class_id": ids[some], "links": links[some], "docs": docs[some].astype(np.int64),
-                             "root": ids[_roots(n, a, b)[some]]})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for rows in batches:
-            rows = rows if held is None else pd.concat((held, rows), ignore_index=True)
-            key = rows[["bucket", "i", "j"]].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            edges = [0, *cut.tolist()]
-            made = [m for s, e in zip(edges, edges[1:]) if e - s > 1 and (m := one(rows.iloc[s:e])) is not None]
-            if made:
-                yield pd.concat(made)
-            held = rows.iloc[edges[-1]:]
-        if held is not None and len(held) > 1 and (m := one(held)) is not None:
-            yield m
+                             "root": ids[roots(n, a, b)[some]]})
 
-    spread = groups.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return spread.mapInPandas(run, f"class_id {kind}, links long, docs long, root {kind}")
+    return _each_group(groups, one, f"class_id {kind}, links long, docs long, root {kind}")
 
 
 def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
@@ -240,7 +246,8 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
     classes = staged(full.groupBy("digest").agg(first.alias("f"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
                      .select("digest", F.col("f.doc_id").alias("class_id"), F.col("f.row").alias("row"), "copies", "sig"), "classes")
     with runtime_filters(docs.sparkSession):  # most texts have no candidate and need not be shuffled
-        groups = staged(candidate_groups(classes, block), "groups")
+        groups = candidate_groups(classes, block).join(classes.select("class_id", "sig"), "class_id")
+        groups = staged(surviving(groups, threshold, tolerance), "groups")
         wanted = groups.groupBy("class_id").agg(F.count("*").alias("n"))
         wanted = staged(classes.select("digest", "class_id", "copies", "sig").join(wanted, "class_id"), "wanted")
         texts = docs.select(F.col("doc_id").alias("class_id"), "text").join(wanted.where("n > 0"), "class_id")
