@@ -235,9 +235,9 @@ def top_diff_features(a: DataFrame, b: DataFrame, k: int = 10, on: Sequence[str]
 
 
 def explain_mismatch(sources: dict[str, DataFrame], generated: str, names: Sequence[str] = (),
-                     on: Sequence[str] = SERIES_TS, tol: float = 1e-9, first: int | None = 20) -> DataFrame:
+                     on: Sequence[str] = SERIES_TS, tol: float = 1e-9, first: int | None = None) -> DataFrame:
     """Every source against ``generated``: differing features with a ``pair``
-    column, the first ``first`` names per pair and bar (None: all)."""
+    column; with ``first``, so many names per pair and bar."""
     base = sources[generated]
     out = None
     for label, rows in sources.items():

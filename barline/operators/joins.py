@@ -124,7 +124,7 @@ class DuplicateKeys(ValueError):
     """A key that must be unique is not."""
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = 5) -> DataFrame:
+def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = None) -> DataFrame:
     """Keys with more than one row, most frequent first."""
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     return counted if limit is None else counted.orderBy(F.desc("c"), *keys).limit(limit)
@@ -132,7 +132,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = 5) ->
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "rows") -> DataFrame:
     """Raise :class:`DuplicateKeys` with sample keys, else return ``df``."""
-    found = duplicate_keys(df, keys).collect()
+    found = duplicate_keys(df, keys, 5).collect()
     if found:
         raise DuplicateKeys(f"{what}: duplicate {list(keys)}, for example {[r.asDict() for r in found]}")
     return df

@@ -20,8 +20,7 @@ from pyspark.sql.types import DoubleType
 from barline.functions.columns import number
 from barline.operators.features import parse_features
 
-# A model is held on the driver and sent to the tasks, so its size is checked.
-MAX_MODEL_NODES = 2_000_000
+# Models of more nodes are evaluated in batches; the result is the same.
 MAX_EXPRESSION_NODES = 400
 
 # Fixed value of the published model format: |x| at most this counts as zero.
@@ -48,10 +47,7 @@ class TreeModel:
     trees: tuple[dict[int, Node], ...]
     objective: str = "regression"
     best_iteration: int | None = None
-
-    @property
-    def n_nodes(self) -> int:
-        return sum(len(t) for t in self.trees)
+    average: bool = False
 
     def first(self, num_iteration: int | None) -> tuple[dict[int, Node], ...]:
         """Trees to use: the given number, else the best iteration, else all."""
@@ -59,17 +55,15 @@ class TreeModel:
         return self.trees[:n] if n and n > 0 else self.trees
 
 
-def load_models(trees: DataFrame, paths: Sequence[str] | None = None, *, best_iteration: dict[str, int] | None = None,
-                max_nodes: int = MAX_MODEL_NODES) -> list[TreeModel]:
-    """Fetch models from a node table. Fails when they exceed ``max_nodes``."""
+def load_models(trees: DataFrame, paths: Sequence[str] | None = None, *,
+                best_iteration: dict[str, int] | None = None) -> list[TreeModel]:
+    """Fetch models from a node table, a partition at a time. Models are what a
+    caller names or a folder holds; they are kept on the driver and sent to tasks."""
     if paths is not None:
         trees = trees.where(F.col("model_path").isin(list(paths)))
-    rows = trees.limit(max_nodes + 1).collect()
-    if len(rows) > max_nodes:
-        raise ValueError(f"more than {max_nodes} model nodes; load fewer models at a time")
     by_model: dict[str, dict[int, dict[int, Node]]] = {}
     extras: dict[str, dict] = {}
-    for r in rows:
+    for r in trees.toLocalIterator():
         d = r.asDict()
         node = Node(d["feature"], d["threshold"], bool(d["default_left"]), d["left"], d["right"], d["leaf_value"],
                     d.get("missing_type") or "nan")
@@ -82,7 +76,7 @@ def load_models(trees: DataFrame, paths: Sequence[str] | None = None, *, best_it
         used = sorted({n.feature for t in by_tree.values() for n in t.values() if n.feature is not None})
         models.append(TreeModel(path, tuple(listed or used), tuple(by_tree[t] for t in sorted(by_tree)),
                                 extras[path].get("objective") or "regression",
-                                (best_iteration or {}).get(path)))
+                                (best_iteration or {}).get(path), bool(extras[path].get("average"))))
     return models
 
 
@@ -109,10 +103,21 @@ def tree_sql(tree: dict[int, Node], names: dict[str, str], node_id: int = 0) ->
 
 
 def model_sql(model: TreeModel, names: dict[str, str], num_iteration: int | None = None) -> str:
-    """The raw score (sum over the trees) as SQL text."""
+    """The sum over the trees as SQL text."""
     return " + ".join(f"({tree_sql(t, names)})" for t in model.first(num_iteration)) or "CAST(0 AS DOUBLE)"
 
 
+def _averaged(total: Column, model: TreeModel, num_iteration: int | None) -> Column:
+    """The raw score: the sum over the trees, or their mean in an averaged forest."""
+    n = len(model.first(num_iteration))
+    return total / F.lit(float(n)) if model.average and n else total
+
+
+# Objectives whose score is the sum over the trees as it is.
+IDENTITY = ("regression", "regression_l1", "l1", "l2", "mse", "mae", "huber", "fair", "quantile", "mape", "lambdarank",
+            "rank_xendcg", "custom", "none")
+
+
 def _link(raw: Column, model: TreeModel) -> Column:
     kind, *options = model.objective.split()
     settings = dict(o.split(":", 1) for o in options if ":" in o)
@@ -122,9 +127,11 @@ def _link(raw: Column, model: TreeModel) -> Column:
         return F.exp(raw)
     if kind == "regression" and "sqrt" in options:
         return F.signum(raw) * raw * raw
-    if kind.startswith(("multiclass", "softmax")):
-        raise ValueError("multiclass models are not supported")
-    return raw
+    if kind == "cross_entropy_lambda":
+        return F.log1p(F.exp(raw))
+    if kind in IDENTITY:
+        return raw
+    raise ValueError(f"objective {kind!r} is not supported")
 
 
 @dataclass
@@ -186,13 +193,11 @@ def _walk(t: _Arrays, x: np.ndarray) -> np.ndarray:
 def _batch_score(model: TreeModel, inputs: Column, num_iteration: int | None) -> Column:
     index = {f: i for i, f in enumerate(model.features)}
     trees = [_arrays(t, index) for t in model.first(num_iteration)]
-    width = len(model.features)
+    width = len(model.features)  # the struct ends with a constant, so that it is never empty
 
     @F.pandas_udf(DoubleType())
-    def score(batch: pd.Series) -> pd.Series:
-        if not len(batch):
-            return pd.Series([], dtype="float64")
-        x = np.array([np.asarray(r, dtype="float64") for r in batch], dtype="float64").reshape(len(batch), width)
+    def score(batch: pd.DataFrame) -> pd.Series:
+        x = batch.to_numpy("float64", na_value=np.nan)[:, :width]
         total = np.zeros(len(x))
         for t in trees:
             total += _walk(t, x)
@@ -231,14 +236,16 @@ def align_lenient(df: DataFrame, expected: Sequence[str], fill: float | None = N
 def _score_inputs(df: DataFrame, inputs: Sequence[Column], model: TreeModel, out: str, num_iteration: int | None,
                   method: str) -> DataFrame:
     used = sum(len(t) for t in model.first(num_iteration))
+    inputs = [number(c) for c in inputs]  # NaN is missing, however the model is evaluated
     if method not in ("auto", "expression", "batch"):
         raise ValueError(f"unknown scoring method {method!r}")
     if method == "expression" or (method == "auto" and used <= MAX_EXPRESSION_NODES):
         names = {f: f"_x{i}" for i, f in enumerate(model.features)}
         staged = df.withColumns({names[f]: c for f, c in zip(model.features, inputs)})
-        raw = F.expr(model_sql(model, names, num_iteration))
+        raw = _averaged(F.expr(model_sql(model, names, num_iteration)), model, num_iteration)
         return staged.withColumn(out, _link(raw, model)).drop(*names.values())
-    raw = _batch_score(model, F.array(*inputs), num_iteration)
+    packed = F.struct(*[c.alias(f"x{i}") for i, c in enumerate(inputs)], F.lit(0.0).alias("end"))
+    raw = _averaged(_batch_score(model, packed, num_iteration), model, num_iteration)
     return df.withColumn("_raw", raw).withColumn(out, _link(F.col("_raw"), model)).drop("_raw")
 
 

@@ -27,6 +27,7 @@ SCORE_KEY = ("series", "ts", "model_path")
 SCORE_VERSION_KEY = ("series", "ts", "model_path", "feature_key")
 FEATURE_KEY = ("series", "feature_key", "ts")
 DAY = "day"
+UNIQUE = "_unique-"
 
 
 class BadRows(ValueError):
@@ -34,7 +35,12 @@ class BadRows(ValueError):
 
 
 class Store:
-    """A parquet table partitioned by day with a unique key."""
+    """A parquet table partitioned by day with a unique key.
+
+    Every write keeps the key unique, so the whole table is checked only when it
+    is opened for the first time under a key; an empty file in its folder,
+    named after the key, records that.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: str, key: Sequence[str]):
         self.spark, self.path, self.schema, self.key = spark, path, schema, list(key)
@@ -43,16 +49,35 @@ class Store:
     def columns(self) -> list[str]:
         return [f.split()[0] for f in self.schema.split(", ")]
 
+    def _at(self, name: str = ""):
+        """A place in the table's folder, and its file system."""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path.rstrip("/") + (f"/{name}" if name else ""))
+        return target, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        target, fs = self._at()
         return bool(fs.exists(target))
 
+    def _checked_keys(self) -> list[tuple[str, list[str]]]:
+        """The marks of keys known to be unique: file name and columns."""
+        target, fs = self._at(UNIQUE + "*")
+        names = [f.getPath().getName() for f in fs.globStatus(target) or []]
+        return [(n, n[len(UNIQUE):].split("-")) for n in names]
+
+    def _mark_unique(self) -> None:
+        target, fs = self._at(UNIQUE + "-".join(self.key))
+        fs.create(target, True).close()
+
+    def _known_unique(self) -> bool:
+        return any(set(k) <= set(self.key) for _, k in self._checked_keys())
+
     def ensure(self) -> "Store":
         """Create the table if absent; check its columns and key otherwise."""
         if not self.exists():
             self._write(self.spark.createDataFrame([], self.schema), "append")
+            self._mark_unique()
+            return self
+        if self._known_unique():
             return self
         try:
             have = self.spark.read.parquet(self.path).columns
@@ -64,13 +89,25 @@ class Store:
         if lacking:
             raise BadRows(f"table at {self.path} has no column {lacking}; recreate it with the current schema")
         require_unique(self.read(), self.key, f"table at {self.path}")
+        self._mark_unique()
         return self
 
-    def read(self) -> DataFrame:
-        """The stored rows without the partition column."""
-        return self.spark.read.schema(f"{self.schema}, {DAY} date").parquet(self.path).drop(DAY)
+    def read(self, first: object = None, last: object = None) -> DataFrame:
+        """The stored rows without the partition column; with bounds (times),
+        those from ``first`` to ``last``, and only their days are read."""
+        rows = self.spark.read.schema(f"{self.schema}, {DAY} date").parquet(self.path)
+        for bound, after in ((first, True), (last, False)):
+            if bound is not None:
+                t = F.lit(str(bound)).cast("timestamp_ntz")
+                inside = (F.col("ts") >= t) & (F.col(DAY) >= F.to_date(t)) if after else (F.col("ts") <= t) & (F.col(DAY) <= F.to_date(t))
+                rows = rows.where(inside)
+        return rows.drop(DAY)
 
     def _write(self, rows: DataFrame, mode: str) -> None:
+        for name, key in self._checked_keys():
+            if not set(self.key) <= set(key):  # rows unique under this key need not be under that one
+                target, fs = self._at(name)
+                fs.delete(target, False)
         # Rebalancing gives each day few files, and splits a day that holds much.
         placed = rows.select(*self.columns).withColumn(DAY, F.to_date("ts")).hint("rebalance", DAY)
         (placed.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(self.path))

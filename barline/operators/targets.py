@@ -107,16 +107,16 @@ def recent_n(df: DataFrame, n: int, order: Sequence[Column] | None = None) -> Da
 
 
 def csv_targets(source: DataFrame, *, stamps: DataFrame | None = None, start: Stamp | None = None,
-                end: Stamp | None = None, limit: int | None = 5, ts: str = "timestamp") -> DataFrame:
+                end: Stamp | None = None, limit: int | None = None, ts: str = "timestamp") -> DataFrame:
     """Times to compare: a list met with the source, or the head of a range, or
-    the newest ``limit`` (5 when not given)."""
+    the newest ones; ``limit`` of them, all when not given."""
     times = source.select(ts)
     if stamps is not None:
         times = times.join(stamps.select(F.col("ts").alias(ts)).distinct(), [ts], "left_semi").distinct()
         return at_most(times, limit, [ts])
     if start is not None or end is not None:
         return at_most(in_range(times, ts, start, end), limit, [ts])
-    return recent_n(times, limit or 5, [F.desc(ts)])
+    return recent_n(times, limit, [F.desc(ts)]) if limit else times
 
 
 def random_n(df: DataFrame, n: int, seed: int, key: Sequence[str] = ("series", "ts")) -> DataFrame:

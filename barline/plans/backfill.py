@@ -13,7 +13,7 @@ from barline.operators.joins import consistency, consistency_gate, skip_existing
 from barline.operators.scoring import TreeModel, score_many, with_feature_map
 from barline.operators.store import Store
 from barline.operators.targets import (
-    Stamp, at_most, key_filter, select_incremental, select_ts_list, select_window,
+    Stamp, at_most, key_filter, select_incremental, select_ts_list, select_window, window_bounds,
 )
 
 ON = ("series", "ts")
@@ -113,6 +113,13 @@ def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores:
 
 def run_backfill(job: Backfill, bars: DataFrame, features: DataFrame, store: Store) -> int:
     """Score and store; returns how many rows were added. A second run with the
-    same job adds none."""
+    same job adds none. A window job reads the stored days of its window only."""
     store.ensure()
-    return store.append_unique(backfill_scores(job, bars, features, store.read()))
+    return store.append_unique(backfill_scores(job, bars, features, stored_scores(job, store)))
+
+
+def stored_scores(job: Backfill, store: Store) -> DataFrame:
+    """The stored scores that the job has to know."""
+    if job.mode == "window":  # others are met by no target
+        return store.read(*window_bounds(job.now, job.start, job.end))
+    return store.read()

@@ -16,23 +16,32 @@ from pyspark.sql import functions as F
 
 from barline.sources.files import latest_file
 
-MODEL_FILE = "model.txt"
+MODEL_FILES = "{model.txt,model.lgb,lgbm_model.txt}"
 TREE_SCHEMA = (
     "model_path string, tree_id int, node_id int, feature string, threshold double, default_left boolean, "
-    "left int, right int, leaf_value double, missing_type string, objective string, features array<string>"
+    "left int, right int, leaf_value double, missing_type string, objective string, features array<string>, "
+    "average boolean"
 )
 _MISSING = {0: "none", 1: "zero", 2: "nan"}
 
 
+def _is_file(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(target) and fs.getFileStatus(target).isFile())
+
+
 def latest_model(spark: SparkSession, root: str, model_path: str | None = None) -> str:
-    """The model file to use: an explicit file or run folder wins, else the
-    newest ``model.txt`` one folder below ``root``, else the newest anywhere."""
+    """The model file to use: an explicit file of any name or a run folder wins,
+    else the newest model file one folder below ``root``, else the newest
+    anywhere. Model files are named ``model.txt``, ``model.lgb`` or
+    ``lgbm_model.txt``."""
     if model_path is not None:
-        return latest_file(spark, model_path, MODEL_FILE)
+        return latest_file(spark, model_path, "*" if _is_file(spark, model_path) else MODEL_FILES)
     try:
-        return latest_file(spark, root.rstrip("/") + "/*/", MODEL_FILE)
+        return latest_file(spark, root.rstrip("/") + "/*/", MODEL_FILES)
     except (FileNotFoundError, AnalysisException):  # no such folder level, or no model on it
-        return latest_file(spark, root, MODEL_FILE, recursive=True)
+        return latest_file(spark, root, MODEL_FILES, recursive=True)
 
 
 def _section(text: str) -> dict[str, str]:
@@ -46,7 +55,7 @@ def _nodes(path: str, text: str) -> Iterator[tuple]:
     head, *trees = body.split("\nTree=")
     meta = _section(head)
     names = meta["feature_names"].split()
-    common = (meta.get("objective", "regression"), names)
+    common = (meta.get("objective", "regression"), names, "average_output" in (line.strip() for line in head.splitlines()))
     for tree in trees:
         number, rest = tree.split("\n", 1)
         part = _section(rest)
@@ -71,8 +80,8 @@ def _nodes(path: str, text: str) -> Iterator[tuple]:
 
 
 def read_model_trees(spark: SparkSession, root: str) -> DataFrame:
-    """Node rows of every ``model.txt`` under ``root``, one file per row parsed
-    in parallel."""
+    """Node rows of every model file under ``root``, or of the one file that
+    ``root`` is; one file per row, parsed in parallel."""
     columns = [f.split()[0] for f in TREE_SCHEMA.split(", ")]
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,7 +93,8 @@ def read_model_trees(spark: SparkSession, root: str) -> DataFrame:
                     out[c] = out[c].astype("Int32")
                 yield out
 
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", MODEL_FILE)
+    pattern = "*" if _is_file(spark, root) else MODEL_FILES
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .option("recursiveFileLookup", "true").load(root).select("path", "content"))
     return files.mapInPandas(parse, TREE_SCHEMA)
 

@@ -51,7 +51,7 @@ def last_prediction_ts(spark, sf):
     SELECT l_orderkey, l_linenumber, count(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber
     HAVING count(*) > 1 ORDER BY c DESC, l_orderkey, l_linenumber LIMIT 5""")
 def duplicate_keys(spark, sf):
-    return j.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return j.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], 5)
 
 
 _STATS = """count(*) AS n_rows, count(*) FILTER (diff IS NULL OR diff <> 0) AS n_diff,

@@ -83,7 +83,7 @@ def csv_targets(spark, sf):
     cases = {
         "list": t.csv_targets(src, stamps=predictions(spark, sf), limit=7),
         "range": t.csv_targets(src, start="2024-01-03 12:00:00", limit=6),
-        "tail": t.csv_targets(src, limit=None),
+        "tail": t.csv_targets(src, limit=5),
     }
     out = [df.select(F.lit(n).alias("how"), "timestamp") for n, df in cases.items()]
     return out[0].unionByName(out[1]).unionByName(out[2])

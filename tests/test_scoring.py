@@ -101,8 +101,38 @@ def test_both_methods_agree_on_a_random_forest(spark):
     both = sc.score_maps(sc.score_maps(maps, model, out="x", method="expression"), model, out="y", method="batch")
     worst = both.agg(F.max(F.abs(F.col("x") - F.col("y")))).first()[0]
     assert worst < 1e-12
-    with pytest.raises(ValueError):
-        sc.load_models(trees, max_nodes=10)
+
+
+ODD = [("nan", float("nan")), ("inf", float("inf")), ("low", float("-inf")), ("null", None), ("one", 1.0)]
+
+
+@pytest.mark.parametrize("method", ["expression", "batch"])
+def test_nan_is_missing_however_a_model_is_evaluated(spark, method):
+    stump = spark.createDataFrame([("m", 0, 0, "a", 0.0, True, 1, 2, None), ("m", 0, 1, None, None, None, None, None, -1.0),
+                                   ("m", 0, 2, None, None, None, None, None, 1.0)],
+                                  "model_path string, tree_id int, node_id int, feature string, threshold double, "
+                                  "default_left boolean, left int, right int, leaf_value double")
+    model = sc.load_models(stump)[0]
+    wide = spark.createDataFrame(ODD, "id string, a double")
+    maps = wide.withColumn("feature_map", F.create_map(F.lit("a"), F.col("a")))
+    want = {"nan": -1.0, "inf": 1.0, "low": -1.0, "null": -1.0, "one": 1.0}
+    assert {r.id: r.y_pred for r in sc.score_wide(wide, model, method=method).collect()} == want
+    assert {r.id: r.y_pred for r in sc.score_maps(maps, model, method=method).collect()} == want
+
+
+def test_averaged_forest_and_objectives(spark):
+    leaf = {0: sc.Node(None, None, True, None, None, 2.0)}
+    one = spark.createDataFrame([(1,)], "id int")
+    for method in ("expression", "batch"):
+        def score(objective="regression", average=False):
+            model = sc.TreeModel("m", (), (leaf, leaf), objective, average=average)
+            return sc.score_wide(one, model, method=method).first().y_pred
+
+        assert (score(), score(average=True)) == (4.0, 2.0)
+        assert score("cross_entropy_lambda") == pytest.approx(np.log1p(np.exp(4.0)))
+        for unknown in ("multiclass num_class:3", "no_such_objective"):
+            with pytest.raises(ValueError):
+                score(unknown)
 
 
 def test_strict_skips_lenient_fills(spark, tmp_path):
@@ -131,6 +161,12 @@ def test_newest_model_wins(spark, tmp_path):
     assert latest_model(spark, root, root + "/run_a").endswith("run_a/model.txt")
     assert latest_model(spark, root, root + "/run_a/model.txt").endswith("run_a/model.txt")
     assert read_model_trees(spark, root).select("model_path").distinct().count() == 3
+    os.rename(root + "/run_b/model.txt", root + "/run_b/model.lgb")
+    os.rename(root + "/run_a/model.txt", root + "/run_a/other.name")
+    assert latest_model(spark, root + "/run_b", root + "/run_b").endswith("model.lgb")
+    assert latest_model(spark, root, root + "/run_a/other.name").endswith("run_a/other.name")
+    assert read_model_trees(spark, root).select("model_path").distinct().count() == 2
+    assert read_model_trees(spark, root + "/run_a/other.name").count() > 0
     write_model(tmp_path / "deep" / "x" / "y")
     assert latest_model(spark, str(tmp_path / "deep")).endswith("x/y/model.txt")
     (tmp_path / "empty").mkdir()

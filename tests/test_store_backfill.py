@@ -51,6 +51,28 @@ def test_append_is_all_or_nothing(spark, tmp_path):
     assert wide.append_unique(rows(spark, [1], key="k2")) == 1
 
 
+def test_opening_checks_the_table_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    store = st.score_store(spark, path).ensure()
+    store.append_unique(rows(spark, [1, 30]))
+    calls = []
+    monkeypatch.setattr(st, "require_unique", lambda *a: calls.append(a))
+    st.score_store(spark, path).ensure()
+    st.score_store(spark, path, st.SCORE_VERSION_KEY).ensure()
+    assert not calls
+    st.score_store(spark, path, st.SCORE_VERSION_KEY)._write(rows(spark, [60]).withColumn("created_at", F.lit(None)), "append")
+    st.score_store(spark, path).ensure()  # the wider key's rows are not known to be unique under this one
+    assert len(calls) == 1
+
+
+def test_bounded_read_prunes_days(spark, tmp_path):
+    store = st.score_store(spark, str(tmp_path / "t")).ensure()
+    store.append_unique(rows(spark, [1, 30, 60]))
+    some = store.read(at(20), at(40))
+    assert [r.ts for r in some.collect()] == [at(30)]
+    assert len(some.inputFiles()) >= 1 and "PartitionFilters: [isnotnull(day" in some._jdf.queryExecution().toString()
+
+
 def test_replace_rewrites_only_the_keys(spark, tmp_path):
     store = st.score_store(spark, str(tmp_path / "t")).ensure()
     store.append_unique(rows(spark, [1, 2, 30, 60]))
