@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.components import components
+from barline.llm.components import components, roots
 from barline.llm.store import staged
 
 COSINE = 0.93
@@ -111,10 +111,23 @@ def leaves(points: DataFrame, trees: int = TREES, leaf: int = LEAF) -> DataFrame
 
         def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in batches:
-                for (label, tree, node), g in rows.groupby(["label", "tree", "node"], sort=False):
+                if not len(rows):
+                    continue
+                x = np.zeros((len(rows), rows["vector"].map(len).max()))
+                for n, own in rows.groupby(rows["vector"].map(len), sort=False).indices.items():
+                    x[own, :n] = _unit(rows["vector"].iloc[own])  # lengths differ between labels only
+                size = rows["vector"].map(len).to_numpy()
+                place = rows.groupby(["label", "tree", "node"], sort=False).indices
+                taken, nodes = [], []
+                for (label, tree, node), own in place.items():
+                    g = rows.iloc[own[:1]]
                     cuts = {int(p): (a, b) for p, a, b in zip(g["place"].iat[0], g["low"].iat[0], g["high"].iat[0])}
-                    for place, own in _descend(_unit(g["vector"]), cuts, int(tree), int(label), int(node)):
-                        yield g.iloc[own][["id", "label", "vector", "copies", "tree"]].assign(node=_child(int(node), place), done=False)
+                    for leaf_place, part in _descend(x[own][:, :size[own[0]]], cuts, int(tree), int(label), int(node)):
+                        taken.append(own[part])
+                        nodes.append(np.full(len(part), _child(int(node), leaf_place)))
+                if taken:
+                    out = rows[["id", "label", "vector", "copies", "tree"]].iloc[np.concatenate(taken)]
+                    yield out.assign(node=np.concatenate(nodes), done=False)
 
         at = staged(moving.join(fitted, ["label", "tree", "node"]).mapInPandas(move, schema), "nodes")
     out = finished[0]
@@ -137,7 +150,8 @@ def _pairs_of(x: np.ndarray, least: float, block: int = 1024) -> tuple[np.ndarra
 
 def links(at: DataFrame, least: float = COSINE) -> DataFrame:
     """Distinct links ``a`` < ``b`` of vectors that share a leaf, verified in
-    double precision, with the copies of each."""
+    double precision, with the copies of each; and, with ``star`` true, an edge
+    from each linked vector to the smallest one it reaches within the leaf."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: pd.DataFrame | None = None
@@ -146,7 +160,10 @@ def links(at: DataFrame, least: float = COSINE) -> DataFrame:
             g = g.sort_values("id")
             a, b = _pairs_of(_unit(g["vector"]), least)
             ids, copies = g["id"].to_numpy(), g["copies"].to_numpy()
-            return pd.DataFrame({"a": ids[a], "b": ids[b], "a_copies": copies[a], "b_copies": copies[b]})
+            link = pd.DataFrame({"a": ids[a], "b": ids[b], "a_copies": copies[a], "b_copies": copies[b], "star": False})
+            root = roots(len(g), a, b)
+            some = np.flatnonzero(root != np.arange(len(g)))
+            return pd.concat((link, pd.DataFrame({"a": ids[root[some]], "b": ids[some], "a_copies": 0, "b_copies": 0, "star": True})))
 
         for rows in batches:
             rows = rows if held is None else pd.concat((held, rows), ignore_index=True)
@@ -160,7 +177,7 @@ def links(at: DataFrame, least: float = COSINE) -> DataFrame:
             yield found(held)
 
     spread = at.drop("done").repartition("label", "tree", "node").sortWithinPartitions("label", "tree", "node")
-    return spread.mapInPandas(compare, "a long, b long, a_copies long, b_copies long").distinct()
+    return spread.mapInPandas(compare, "a long, b long, a_copies long, b_copies long, star boolean").distinct()
 
 
 def near_vectors(rows: DataFrame, least: float = COSINE, trees: int = TREES, leaf: int = LEAF) -> DataFrame:
@@ -184,9 +201,10 @@ def near_vectors(rows: DataFrame, least: float = COSINE, trees: int = TREES, lea
     points = staged(whole.where("vector is not null").groupBy("label", "vector").agg(
         F.min("vec_id").alias("id"), F.count("*").alias("copies")), "points")
     linked = staged(links(leaves(points, trees, leaf), least), "links")
-    both = linked.select(F.col("a").alias("id"), F.col("b_copies").alias("n")).union(linked.select("b", "a_copies"))
+    both = linked.where(~F.col("star"))
+    both = both.select(F.col("a").alias("id"), F.col("b_copies").alias("n")).union(both.select("b", "a_copies"))
     totals = both.groupBy("id").agg(F.sum("n").alias("others"))
-    joined = components(linked)
+    joined = components(linked.where("star"))
     known = (points.join(totals, "id", "left").join(joined.withColumnRenamed("node", "id"), "id", "left")
              .where("copies > 1 or others is not null"))
     out = whole.join(known, ["label", "vector"], "left")
