@@ -21,7 +21,7 @@ from barline.llm.pretokens import piece_starts
 from barline.llm.ragged import chunks, code_points
 
 #: Pieces kept per worker; beyond it the table starts anew.
-CACHE_PIECES = 500_000
+CACHE_PIECES = 250_000
 #: Bytes up to which pieces are merged side by side, and from which with a heap.
 SHORT_PIECE = 40
 LONG_PIECE = 96

@@ -11,7 +11,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -197,16 +196,11 @@ def keep_sample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed:
     _, shared, least = _fit(docs, labels, k, seed, most)
     if least is None:
         return docs.limit(0)
-    columns = docs.columns
-    slotted = docs.withColumn("_slot", F.pmod(F.xxhash64("lang"), F.lit(SLOTS)).cast("long") if "lang" in columns else F.lit(0).cast("long"))
-    at = columns.index("doc_id"), columns.index("text"), len(columns)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(at[1]).to_pylist()]
-            weight = weights(texts, batch.column(at[2]).to_numpy(), shared.value)
-            key = noisy(weight, _ids(batch.column(at[0]).to_pandas()), seed)
-            kept = batch.filter(pa.array(sortable(key) >= least))
-            yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
-
-    return slotted.mapInArrow(run, docs.schema)
+    slot = F.pmod(F.xxhash64("lang"), F.lit(SLOTS)) if "lang" in docs.columns else F.lit(0)
+
+    @F.pandas_udf("boolean")
+    def drawn(ids: pd.Series, texts: pd.Series, slots: pd.Series) -> pd.Series:
+        weight = weights([t or "" for t in texts], slots.to_numpy(), shared.value)
+        return pd.Series(sortable(noisy(weight, ids.to_numpy(np.int64), seed)) >= least)
+
+    return docs.where(drawn(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "text", slot.cast("long")))

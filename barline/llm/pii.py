@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -346,20 +345,19 @@ def mask(docs: DataFrame, field: Field | None = None) -> DataFrame:
     """All rows and columns of ``docs``, the personal data of ``text`` masked and
     ``n_chars`` (if there) recounted where the text changed. NULL stays NULL."""
     field = field or fit(docs)
-    at = docs.columns.index("text")
-    count = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(at).to_pylist()
-            made: list[str | None] = []
-            for a, b in chunks(texts):
-                made += [t if not every else masked(t, every) for t, (_, every) in zip(texts[a:b], find(texts[a:b], field))]
-            columns = list(batch.columns)
-            columns[at] = pa.array(made, batch.schema.field(at).type)
-            if count is not None:
-                sizes = [n if t == m else len(m) for n, t, m in zip(batch.column(count).to_pylist(), texts, made)]
-                columns[count] = pa.array(sizes, batch.schema.field(count).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+    @F.pandas_udf("string")
+    def changed(texts: pd.Series) -> pd.Series:
+        """The masked text, NULL where nothing is to be masked."""
+        rows, made = texts.tolist(), []
+        for a, b in chunks(rows):
+            made += [masked(t, every) if every else None for t, (_, every) in zip(rows[a:b], find(rows[a:b], field))]
+        return pd.Series(made, dtype=object)
+
+    # a generator's output is computed once, whatever is asked of it
+    marked = docs.select("*", F.explode(F.array(F.struct(changed("text").alias("new")))).alias("_masked"))
+    new = F.col("_masked.new")
+    columns = {"text": F.coalesce(new, F.col("text"))}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(new.isNotNull(), F.length(new).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return marked.withColumns(columns).select(*docs.columns)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barline.llm.store import small_batches
 from barline.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,7 +16,7 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, sf: fn(prepare(spark), sf)
+        QUERIES[name] = lambda spark, sf: fn(small_batches(prepare(spark)), sf)
         if sql:
             SQL[name] = sql.strip()
         return fn

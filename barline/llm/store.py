@@ -19,6 +19,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Send texts to Python in batches that stay small when texts are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > rows:
+        spark.conf.set(key, rows)
+    return spark
+
+
 @contextmanager
 def runtime_filters(spark: SparkSession) -> Iterator[None]:
     """Let Spark filter the large side of a join by a Bloom filter of the other

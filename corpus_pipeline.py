@@ -18,13 +18,13 @@ from barline.llm.packing import pack
 from barline.llm.pii import mask
 from barline.llm.quality_rules import keep_good
 from barline.llm.queries import table, vocabulary
-from barline.llm.store import staged
+from barline.llm.store import small_batches, staged
 from barline.session import prepare
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Importance resampling: drop documents unlike the labelled good ones."""
-    return keep_sample(docs, table(prepare(spark), sf_dir, "labels"))
+    return keep_sample(docs, table(small_batches(prepare(spark)), sf_dir, "labels"))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
