@@ -104,7 +104,7 @@ def fences(rows: DataFrame, reach: float = REACH, min_rows: int = MIN_ROWS) -> D
     merge = [F.kll_merge_agg_double(m.name).alias(m.name) for m in MEASURES]
     group = staged(good.groupBy("lang", "source").agg(F.count("*").alias("n"), *sketch), "sketches")
     lang = group.groupBy("lang").agg(F.sum("n").alias("n"), *merge)
-    whole = group.agg(F.sum("n").alias("n"), *merge)
+    whole = group.agg(F.sum("n").alias("n"), *merge).where("n > 0")  # a sketch of no rows has no quartiles
     ask = lambda df, *keys: df.select(*keys, "n", _bounds(reach).alias("fence"))
     g, x, all_ = ask(group, "lang", "source"), ask(lang, "lang").alias("x"), ask(whole).alias("all")
     g = g.alias("g").join(x, F.col("g.lang").eqNullSafe(F.col("x.lang")), "left").join(F.broadcast(all_), how="left")  # one row
@@ -142,7 +142,7 @@ def quality_rules(docs: DataFrame, reach: float = REACH, min_rows: int = MIN_ROW
 
     NULL languages and sources are groups of their own. A NULL, empty or blank
     text has no words, fails the base rules and is not kept. Repeated rows are
-    judged alike.
+    judged alike. Where no document passes the base rules there are no fences.
     """
     rows = staged(measured(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measures")
     return judged(rows, staged(fences(rows, reach, min_rows), "fences")).drop("lang", "source")
