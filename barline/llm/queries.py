@@ -189,3 +189,68 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     narrow = rows.select("doc_id", "size", "text_crc32", "shard", "old_shard", "block")
     return slots(narrow).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                                 F.lit(None).cast("int").alias("grown_shard"))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE bits(b, k, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+crc_table AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE k = 8),
+crc(doc_id, i, v) AS (
+  SELECT DISTINCT doc_id, 0, cast(4294967295 AS bigint) FROM documents
+  UNION ALL SELECT doc_id, i + 1, xor(v >> 8, t[cast(xor(v & 255, ascii(substr(cast(doc_id AS varchar), i + 1, 1))) AS integer) + 1])
+  FROM crc, crc_table WHERE i < length(cast(doc_id AS varchar))),
+crcs AS (SELECT doc_id, xor(v, 4294967295) AS crc FROM crc WHERE i = length(cast(doc_id AS varchar))),
+docs AS (
+  SELECT d.doc_id, lang, lower_az, crc % 3 = 0 AS tampered, row_number() OVER (PARTITION BY lang ORDER BY d.doc_id NULLS FIRST) - 1 AS pos,
+    FIELDS(text) AS leaf, FIELDS(lower_az) AS other
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents) d
+  LEFT JOIN crcs USING (doc_id)),
+langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) AS n FROM docs GROUP BY lang),
+low(g, level, pos, h, n) AS (
+  SELECT g, 0, pos, leaf, n FROM docs JOIN langs ON docs.lang IS NOT DISTINCT FROM langs.lang
+  UNION ALL
+  SELECT g, level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM low WHERE n > 1 GROUP BY g, level, pos // 8, n),
+subroots AS (SELECT g, level AS height, h FROM low WHERE n = 1),
+high(level, pos, h, n) AS (
+  SELECT 0, g, h, (SELECT count(*) FROM langs) FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), (n + 7) // 8 FROM high WHERE n > 1 GROUP BY level, pos // 8, n),
+root AS (SELECT level AS height, h AS root FROM high WHERE n = 1),
+runs AS (
+  SELECT g, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM low WHERE n > 1 GROUP BY ALL
+  UNION ALL
+  SELECT s.g, s.height + h.level, h.pos // 8 AS run, list(h.h ORDER BY pos) FROM high h, subroots s
+  WHERE n > 1 AND (s.g >> (3 * (h.level + 1))) = h.pos // 8 GROUP BY ALL),
+fold(doc_id, g, level, pos, acc, proof) AS (
+  SELECT doc_id, l.g, 0, pos, CASE WHEN tampered THEN other ELSE leaf END, ''
+  FROM docs JOIN langs l ON docs.lang IS NOT DISTINCT FROM l.lang
+  UNION ALL
+  SELECT f.doc_id, f.g, f.level + 1, CASE WHEN f.level + 1 = s.height THEN f.g ELSE f.pos // 8 END,
+    sha256(array_to_string(hs[1:f.pos % 8], '') || acc || array_to_string(hs[f.pos % 8 + 2:], '')),
+    proof || array_to_string(hs[1:f.pos % 8], '') || array_to_string(hs[f.pos % 8 + 2:], '')
+  FROM (SELECT f.doc_id, f.g, f.level, acc, proof, CASE WHEN f.level = 0 AND s0.height = 0 THEN f.g ELSE f.pos END AS pos
+        FROM fold f JOIN subroots s0 ON s0.g = f.g) f
+  JOIN subroots s ON s.g = f.g JOIN runs r ON r.g = f.g AND r.level = f.level AND r.run = f.pos // 8)
+SELECT d.doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified
+FROM docs d JOIN langs l ON d.lang IS NOT DISTINCT FROM l.lang JOIN subroots s ON s.g = l.g CROSS JOIN root
+JOIN fold f ON f.doc_id IS NOT DISTINCT FROM d.doc_id AND f.level = s.height + root.height
+"""
+MERKLE_FIELDS = "sha256(" + " || ".join(
+    f"coalesce(octet_length(encode(cast({c} AS varchar))) || ':' || cast({c} AS varchar), '-')"
+    for c in ("d.doc_id", "source", "lang", "n_chars", "@")) + ")"
+for _text in ("lower_az", "text"):
+    MERKLE_SQL = MERKLE_SQL.replace(f"FIELDS({_text})", MERKLE_FIELDS.replace("@", _text))
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.merkle import FIELDS, fold, leaf_hash, merkle_manifest, proof_hash
+
+    docs = table(spark, sf, "documents")
+    lowered = leaf_hash(FIELDS, {"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")})
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    made = merkle_manifest(docs, also={"tampered": F.when(chosen, lowered)})
+    folded = made.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", proof_hash(F.col("path")).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
