@@ -254,3 +254,10 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     folded = made.withColumn("folded_root", fold(F.coalesce("tampered", "leaf"), F.col("path")))
     return folded.select("doc_id", "leaf", "subroot", "root", proof_hash(F.col("path")).alias("proof_sha256"), "folded_root",
                          (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.toxicity import toxicity
+
+    return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
