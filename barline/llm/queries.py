@@ -191,21 +191,24 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
                                 F.lit(None).cast("int").alias("grown_shard"))
 
 
-MERKLE_SQL = """
-WITH RECURSIVE bits(b, k, v) AS (
+#: CRC-32 of the ids as text, for queries that name their distinct ids ``ids(id)``.
+CRC_SQL = """
+bits(b, k, v) AS (
   SELECT range, 0, range FROM range(256)
   UNION ALL SELECT b, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
 crc_table AS (SELECT list(v ORDER BY b) AS t FROM bits WHERE k = 8),
-crc(doc_id, i, v) AS (
-  SELECT DISTINCT doc_id, 0, cast(4294967295 AS bigint) FROM documents
-  UNION ALL SELECT doc_id, i + 1, xor(v >> 8, t[cast(xor(v & 255, ascii(substr(cast(doc_id AS varchar), i + 1, 1))) AS integer) + 1])
-  FROM crc, crc_table WHERE i < length(cast(doc_id AS varchar))),
-crcs AS (SELECT doc_id, xor(v, 4294967295) AS crc FROM crc WHERE i = length(cast(doc_id AS varchar))),
+crc(id, i, v) AS (
+  SELECT id, 0, cast(4294967295 AS bigint) FROM ids
+  UNION ALL SELECT id, i + 1, xor(v >> 8, t[cast(xor(v & 255, ascii(substr(cast(id AS varchar), i + 1, 1))) AS integer) + 1])
+  FROM crc, crc_table WHERE i < length(cast(id AS varchar))),
+crcs AS (SELECT id, xor(v, 4294967295) AS crc FROM crc WHERE i = length(cast(id AS varchar))),
+"""
+MERKLE_SQL = "WITH RECURSIVE ids AS (SELECT DISTINCT doc_id AS id FROM documents), " + CRC_SQL + """
 docs AS (
   SELECT d.doc_id, lang, lower_az, crc % 3 = 0 AS tampered, row_number() OVER (PARTITION BY lang ORDER BY d.doc_id NULLS FIRST) - 1 AS pos,
     FIELDS(text) AS leaf, FIELDS(lower_az) AS other
   FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents) d
-  LEFT JOIN crcs USING (doc_id)),
+  LEFT JOIN crcs ON id = d.doc_id),
 langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) AS n FROM docs GROUP BY lang),
 low(g, level, pos, h, n) AS (
   SELECT g, 0, pos, leaf, n FROM docs JOIN langs ON docs.lang IS NOT DISTINCT FROM langs.lang
@@ -261,3 +264,43 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
     from barline.llm.toxicity import toxicity
 
     return toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+TRIE_SQL = "WITH RECURSIVE ids AS (SELECT DISTINCT conv_id AS id FROM conversations WHERE conv_id IS NOT NULL), " + CRC_SQL + r"""
+turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
+    sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT id AS c, crc % 4 AS h, id - id % 20 AS giver FROM crcs),
+given AS (SELECT v.c, t.pos, k, w FROM convs v JOIN turns t ON t.c = giver AND t.pos < h),
+heads AS (SELECT c, count(*) AS p FROM given GROUP BY c),
+rebuilt AS (
+  SELECT * FROM given UNION ALL
+  SELECT t.c, t.pos - h + coalesce(p, 0), k, w FROM turns t JOIN convs USING (c) LEFT JOIN heads USING (c) WHERE t.pos >= h),
+paths AS (
+  SELECT c, 0 AS depth, '' AS node, 0 AS w FROM convs UNION ALL
+  SELECT c, pos + 1, sha256(string_agg(k, '') OVER (PARTITION BY c ORDER BY pos)), w FROM rebuilt),
+nodes AS (SELECT depth, node, min(c) AS conv_id, count(*) AS n, any_value(w) AS w FROM paths GROUP BY ALL),
+tops AS (
+  SELECT n.*, u.conv_id AS parent, u.node AS parent_node
+  FROM nodes n LEFT JOIN paths p ON p.c = n.conv_id AND p.depth = n.depth - 1
+  LEFT JOIN nodes u ON u.depth = p.depth AND u.node = p.node),
+kids AS (SELECT depth - 1 AS depth, parent_node AS node, count(*) AS children FROM tops WHERE depth > 0 GROUP BY ALL),
+full_nodes AS (SELECT t.*, coalesce(children, 0) AS children FROM tops t LEFT JOIN kids USING (depth, node)),
+sums AS (
+  SELECT p.depth, p.node, count(*) FILTER (children = 0) AS leaves, sum((n - 1) * f.w) AS saved
+  FROM full_nodes f JOIN paths p ON p.c = f.conv_id AND p.depth <= f.depth GROUP BY ALL),
+last AS (SELECT c, max(depth) AS depth FROM paths GROUP BY c),
+ends AS (SELECT depth, node, string_agg(cast(c AS varchar), ',' ORDER BY c) AS ids FROM paths JOIN last USING (c, depth) GROUP BY ALL)
+SELECT conv_id, depth, parent AS parent_conv_id, n AS n_convs, children AS n_children, leaves AS n_leaves,
+  cast(saved AS bigint) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM full_nodes JOIN sums USING (depth, node) LEFT JOIN ends USING (depth, node)
+"""
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    from barline.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf, "conversations"))
