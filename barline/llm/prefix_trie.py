@@ -25,7 +25,7 @@ from barline.llm.store import staged
 from barline.session import stack
 
 SEGMENT = 256
-SHARD = 1024
+SHARD = 128
 #: Conversation ids written into one string before it is hashed.
 PIECE = 4096
 ROOT = ""
