@@ -137,13 +137,17 @@ class _Writer:
         return (*self.first, *self.last, f"{self.folder}/{self.names[0]}", f"{self.folder}/{self.names[1]}", self.count) if self.count else None
 
 
+PAGE = ("id", "key", "url", "sha")
+
+
 def revisits(pages: DataFrame) -> DataFrame:
-    """``id``, ``copy`` and ``refers`` of the pages that are not the first of
-    their payload. Only payloads that occur twice are joined."""
-    keyed = pages.select("id", "copy", F.sha1("payload").alias("sha"))
-    first = keyed.groupBy("sha").agg(F.min(F.struct("id", "copy")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    again = keyed.join(first, "sha").where((F.col("id") != F.col("first.id")) | (F.col("copy") != F.col("first.copy")))
-    return again.select("id", "copy", F.col("first.id").alias("refers"))
+    """Of pages whose payload is found again, one row per distinct ``id``,
+    ``key``, ``url`` and ``sha``: ``refers``, the id of the payload's first page
+    (as text), and ``first``, whether one of these rows is that page."""
+    keyed = pages.select(*PAGE)
+    first = keyed.groupBy("sha").agg(F.min(F.struct("id", "key", "url")).alias("least"), F.count("*").alias("n")).where("n > 1")
+    mine = F.struct("id", "key", "url").eqNullSafe(F.col("least"))
+    return keyed.distinct().join(first, "sha").select(*PAGE, F.col("least.id").cast("string").alias("refers"), mine.alias("first"))
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, min_payload: int = 0) -> DataFrame:
@@ -152,44 +156,51 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_payload: int
 
     The payload is the html in UTF-8, empty for NULL. Of equal payloads of
     ``min_payload`` bytes or more the record with the smallest page_id is the
-    response, the first row of those that share it, and the others are revisits
+    response, of several rows with it the one of least key and url, and the others are revisits
     that refer to it. A NULL page_id counts as the smallest. A NULL url has no
     target URI. Repeated rows are records of their own.
 
     A payload is shuffled once: marks of the revisits travel with the pages and
-    sort just before them. Files have fresh names and count only if the manifest
-    lists them, so tasks may run again.
+    sort just before them. Marks know pages by what is in them, not by a number,
+    so the passes over ``pages`` may deal its rows differently; a mark that meets no page of its own
+    raises. Files have fresh names and count only if the manifest lists them, so tasks may run again.
     """
     spark = pages.sparkSession
     folder = folder or scratch_path(spark, "warc")
     rows = pages.select(
-        F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("id"), F.monotonically_increasing_id().alias("copy"),
-        F.col("url"), surt(F.col("url")).alias("key"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    marks = revisits(rows.where(F.length("payload") >= min_payload))
-    keys = rows.select("id", "copy", "key")
-    marks = marks.join(keys, ["id", "copy"]).select(
-        "id", "copy", F.lit(None).cast("string").alias("url"), "key", F.lit(None).cast("binary").alias("payload"), "refers")
+        F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("id"), surt(F.col("url")).alias("key"), F.col("url"),
+        F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn("sha", F.sha1("payload"))
+    marks = revisits(rows.where(F.length("payload") >= min_payload)).withColumn("payload", F.lit(None).cast("binary"))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = stack(rows.withColumn("refers", F.lit(None).cast("long")), marks)
-    both = both.repartitionByRange(shards, "key", "id", "copy").sortWithinPartitions("key", "id", "copy", F.col("payload").isNotNull())
+    both = stack(rows.withColumns({"refers": F.lit(None).cast("string"), "first": F.lit(False)}), marks)
+    order = ["key", "id", "url", "sha"]
+    both = both.repartitionByRange(shards, *order).sortWithinPartitions(*order, F.col("payload").isNotNull())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        writer, mark = None, None
+        writer, mark, first, refers, met = None, None, False, None, True
         for rows in batches:
-            for page, copy, url, key, payload, refers in rows[["id", "copy", "url", "key", "payload", "refers"]].itertuples(index=False, name=None):
+            for page, key, url, sha, payload, to, own in rows[[*PAGE, "payload", "refers", "first"]].itertuples(index=False, name=None):
+                this = page, key, url, sha
                 if payload is None:
-                    mark = page, copy, int(refers)
+                    if not met:
+                        raise RuntimeError(f"page {mark[0]} was there in one pass over the pages and not in another")
+                    mark, first, refers, met = this, own, int(to), False
                     continue
+                if mark is not None and mark != this and not met:
+                    raise RuntimeError(f"page {mark[0]} was there in one pass over the pages and not in another")
                 writer = writer or _Writer(folder)
-                to = mark[2] if mark and mark[:2] == (page, copy) else None
-                kind = "response" if to is None else "revisit"
+                again = mark == this and not first
+                if mark == this:
+                    first, met = False, True  # of repeated rows only one is the response
                 payload = bytes(payload)
-                writer.capture(key, page, kind, warc_record(kind, url, page, base32_sha1(payload), payload, to))
+                record = warc_record("revisit" if again else "response", url, page, base32_sha1(payload), payload, refers if again else None)
+                writer.capture(key, page, "revisit" if again else "response", record)
+        if not met:
+            raise RuntimeError(f"page {mark[0]} was there in one pass over the pages and not in another")
         if writer:
             yield pd.DataFrame([(0, *writer.close())], columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    manifest = staged(both.mapInPandas(run, SCHEMA), "manifest")
-    return manifest
+    return staged(both.mapInPandas(run, SCHEMA), "manifest")
 
 
 class _Shard:
@@ -260,14 +271,14 @@ def look_up(requests: DataFrame, manifest: DataFrame, with_payload: bool = True)
     shared = spark.sparkContext.broadcast(table)
 
     @F.pandas_udf("array<int>")
-    def deal(key: pd.Series, page: pd.Series) -> pd.Series:
+    def deal(key: pd.Series, asked: pd.Series) -> pd.Series:
         firsts = [(t[0].encode(), t[1]) for t in shared.value]
         lasts = [(t[2].encode(), t[3]) for t in shared.value]
         out = []
-        for k, p in zip(key, page):
-            k, some = k.encode(), p is not None and p == p
-            low = bisect_left(lasts, (k, int(p) if some else NO_ID))
-            high = bisect_right(firsts, (k, int(p) if some else 1 << 63))
+        for k, p in zip(key, asked):
+            k = k.encode()
+            low = bisect_left(lasts, (k, int(p) if p else NO_ID))
+            high = bisect_right(firsts, (k, int(p) if p else 1 << 63))
             out.append(list(range(low, max(low, high))))
         return pd.Series(out)
 
@@ -280,11 +291,13 @@ def look_up(requests: DataFrame, manifest: DataFrame, with_payload: bool = True)
                 shard = open_[1]
                 lines = [line for k, p in zip(g["key"], g["asked"]) for line in shard.captures(k, None if p == "" else int(p))]
                 for s in range(0, len(lines), 512):
-                    yield pd.DataFrame([_row(line, member, with_payload) for line, member in shard.records(lines[s:s + 512])],
-                                       columns=[c.split()[0] for c in CAPTURES.split(", ")])
+                    found = [_row(line, member, with_payload) for line, member in shard.records(lines[s:s + 512])]
+                    yield pd.DataFrame(found, columns=[c.split()[0] for c in CAPTURES.split(", ")], dtype=object).astype(
+                        dict.fromkeys(["page_id", "payload_bytes", "refers_to"], "Int64"))
 
     page = F.col("page_id").cast("long")
-    asked = requests.select("key", F.coalesce(page.cast("string"), F.lit("")).alias("asked"), F.explode(deal("key", page)).alias("shard"))
+    asked = requests.select("key", F.coalesce(page.cast("string"), F.lit("")).alias("asked"))
+    asked = asked.withColumn("shard", F.explode(deal("key", "asked")))
     n = max(1, len(table))
     spread = asked.repartitionByRange(n, "shard", "key").sortWithinPartitions("shard", "key", "asked")
     found = spread.mapInPandas(run, CAPTURES)
