@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from barline.llm.pretokens import piece_starts
-from barline.llm.ragged import chunks, code_points
+from barline.llm.ragged import chunks, code_points, word_hashes
+from barline.llm.store import Carried
 
 #: Pieces kept per worker; beyond it the table starts anew.
 CACHE_PIECES = 250_000
@@ -149,19 +150,31 @@ def merge_many(pieces: list[bytes], pairs: _Pairs) -> list[bytes]:
     return done
 
 
+def same_pieces(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each slice among the distinct ones, and where each distinct
+    one is found. Slices are told apart by hash, then compared with the one found."""
+    _, shown, which = np.unique(word_hashes(points, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    other = shown[which]
+    if (size != size[other]).any() or not np.array_equal(points, points[np.arange(len(points)) + np.repeat(starts[other] - starts, size)]):
+        texts = [points[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist())]  # equal hashes of different slices
+        first: dict[bytes, int] = {}
+        which = np.fromiter((first.setdefault(t, len(first)) for t in texts), np.int64, len(texts))
+        shown = np.unique(which, return_index=True)[1]
+    return which, shown
+
+
 class ByteBpe:
     """Encoder and decoder over a rank table; one per Python worker."""
 
     def __init__(self, ranks: dict[bytes, int], special: dict[str, int] | None = None,
-                 merge_pieces: Callable[[list[bytes]], list[bytes]] | None = None):
+                 merge_pieces: Callable[[list[str]], list[bytes]] | None = None):
         """``merge_pieces`` replaces the own pair merging of pieces not seen before."""
         self.ranks = ranks
         self.special = special or {}
         self.tokens = {i: t for t, i in ranks.items()} | {i: s.encode() for s, i in self.special.items()}
-        if merge_pieces is None:
-            pairs = _Pairs(ranks)
-            merge_pieces = lambda pieces: merge_many(pieces, pairs)
-        self.merge_pieces = merge_pieces
+        self.pairs = _Pairs(ranks) if merge_pieces is None else None
+        self.merge_pieces = merge_pieces or self._merge_pieces
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -182,35 +195,52 @@ class ByteBpe:
             if any(mark in t for t in texts):
                 return [self._with_special(t) for t in texts]
         points, at = code_points(texts)
-        starts = piece_starts(points, at[1:] - 1)
-        first = np.searchsorted(starts, at).tolist()
-        cuts, joined = starts.tolist(), " ".join(texts) + " "
-        pieces = [joined[i:j] for i, j in zip(cuts, cuts[1:])]
-        get = self._known(pieces).__getitem__
-        # the last piece of each text is the gap behind it
-        return [b"".join(map(get, pieces[i:j - 1])) for i, j in zip(first, first[1:])]
+        starts = np.append(piece_starts(points, at[1:] - 1), len(points))
+        lows, highs = starts[:-1], starts[1:]
+        which, shown = same_pieces(points, lows, highs)
+        joined = " ".join(texts) + " "
+        pieces = [joined[i:j] for i, j in zip(lows[shown].tolist(), highs[shown].tolist())]
+        ids = list(map(self._known(pieces).__getitem__, pieces))
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        count, gaps = size[which], np.searchsorted(starts, at[1:]) - 1
+        count[gaps] = 0  # the last piece of each text is the gap behind it
+        end = np.cumsum(count)
+        took = np.repeat((np.cumsum(size) - size)[which] - end + count, count) + np.arange(int(end[-1]) if len(end) else 0)
+        made = flat[took].tobytes()
+        cuts = [0, *(4 * end[gaps]).tolist()]
+        return [made[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def _known(self, pieces: list[str]) -> dict[str, bytes]:
         """A table that has the ids of all these pieces."""
         if len(self.pieces) > CACHE_PIECES:
             self.pieces = {}
-        new = list(set(pieces).difference(self.pieces))
+        known = self.pieces
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
         if not new:
-            return self.pieces
-        raw = [p.encode("utf-8", "surrogatepass") for p in new]
-        known, short, long = self.pieces, [], {}
-        for p, r in zip(new, raw):
+            return known
+        made = dict(zip(new, self.merge_pieces(new)))
+        long = {p: ids for p, ids in made.items() if len(p) > LONG_PIECE}  # not kept
+        known.update({p: ids for p, ids in made.items() if p not in long} if long else made)
+        return known | long if long else known
+
+    def _merge_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, by the own merging: short ones side by side."""
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        made: dict[int, bytes] = {}
+        short = []
+        for i, r in enumerate(raw):
             if r in self.ranks:
-                known[p] = self.ranks[r].to_bytes(4, "little")
+                made[i] = self.ranks[r].to_bytes(4, "little")
             elif len(r) <= SHORT_PIECE:
-                short.append((len(r), p, r))
+                short.append((len(r), i))
             else:
-                long[p] = np.array(merge(r, self.ranks), "<u4").tobytes()
+                made[i] = np.array(merge(r, self.ranks), "<u4").tobytes()
         short.sort()
         for a in range(0, len(short), 4096):
-            part = short[a:a + 4096]
-            known.update(zip([p for _, p, _ in part], self.merge_pieces([r for _, _, r in part])))
-        return known | long if long else known  # long pieces are not kept
+            part = [i for _, i in short[a:a + 4096]]
+            made.update(zip(part, merge_many([raw[i] for i in part], self.pairs)))
+        return [made[i] for i in range(len(raw))]
 
     def _with_special(self, text: str) -> bytes:
         """Special tokens count wherever their text stands."""
@@ -255,11 +285,11 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
     stay repeated; other columns are ignored. ``vocabulary`` must be readable by
     every worker under the same path.
     """
-    schema = docs.select(*keep).schema
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    kept = Carried(docs, keep)
+    held = kept.held
+    ddl = kept.ddl
     ddl += (", n_tokens long, ids_sha256 string, decoded_sha256 string" if digests
             else ", ids array<int>, offsets array<long>")
-    held = [f"c{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = from_ranks(vocabulary)
@@ -268,7 +298,6 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
             for a, b in chunks(texts):
                 made = bpe.encode(texts[a:b])
                 out = rows.iloc[a:b][held]
-                out.columns = list(keep)
                 if digests:
                     yield out.assign(
                         n_tokens=[len(i) // 4 for i in made], ids_sha256=[hashlib.sha256(i).hexdigest() for i in made],
@@ -277,8 +306,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, text: str = "text", keep: tup
                     yield out.assign(ids=[np.frombuffer(i, "<i4") for i in made],
                                      offsets=[bpe.decode_offsets(i) for i in made])
 
-    named = docs.select(*[docs[c].alias(h) for c, h in zip(keep, held)], docs[text].alias("t"))
-    return named.mapInPandas(run, ddl)
+    return kept.back(docs.select(*kept.columns, docs[text].alias("t")).mapInPandas(run, ddl))
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, ids: str = "ids") -> DataFrame:

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import zlib
-from array import array
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -22,9 +21,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barline.llm.byte_bpe import ByteBpe, read_ranks
+from barline.llm.byte_bpe import ByteBpe, merge
 from barline.llm.ragged import chunks
-from barline.llm.store import staged
+from barline.llm.store import Carried, staged
 
 CAPACITY = 1024
 END_ID = 2
@@ -163,7 +162,7 @@ def json_tokenizer(vocabulary: str) -> ByteBpe:
 
     Boundaries and the cache of pieces are this library's; pieces not seen
     before are merged by ``tiktoken`` with the file's vocabulary, whose ids are
-    in the order of its merges.
+    in the order of its merges, many at a time.
     """
     import tiktoken
 
@@ -174,10 +173,20 @@ def json_tokenizer(vocabulary: str) -> ByteBpe:
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
     special = {t["content"]: t["id"] for t in model["added_tokens"]}
     ranks = {bytes(map(byte.__getitem__, t)): i for t, i in model["model"]["vocab"].items() if t not in special}
-    whole = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-
-    def merge_pieces(pieces: list[bytes]) -> list[bytes]:
-        return [array("I", whole._encode_single_piece(p)).tobytes() for p in pieces]
+    apart = tiktoken.Encoding("pieces", pat_str=r"[^\x00]+|\x00", mergeable_ranks=ranks, special_tokens={})
+    mark = ranks[b"\0"]
+
+    def merge_pieces(pieces: list[str]) -> list[bytes]:
+        """All pieces in one call, zero bytes between them."""
+        joined = "\0".join(pieces)
+        try:
+            ids = np.array(apart.encode_ordinary(joined), "<u4") if joined.count("\0") == len(pieces) - 1 else None
+        except UnicodeEncodeError:  # lone surrogates
+            ids = None
+        if ids is None:
+            return [np.array(merge(p.encode("utf-8", "surrogatepass"), ranks), "<u4").tobytes() for p in pieces]
+        cuts, data = (4 * np.flatnonzero(ids == mark)).tolist(), ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(data)])]
 
     return ByteBpe(ranks, special, merge_pieces)
 
@@ -191,9 +200,9 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_i
     of a cut document is the short one. A NULL text is empty: its only id is
     ``end_id``. Repeated rows are documents of their own.
     """
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    ddl += ", copy long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    held = [f"c{i}" for i in range(len(keep))]
+    kept = Carried(docs, keep)
+    held = kept.held
+    ddl = kept.ddl + ", copy long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,13 +220,11 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_i
                 length = np.where(piece == 0, first[owner], capacity)
                 cut = [made[o][4 * s:4 * (s + k)] for o, s, k in zip(owner.tolist(), start.tolist(), length.tolist())]
                 out = rows.iloc[a:b].iloc[owner][[*held, "copy"]]
-                out.columns = [*keep, "copy"]
                 out = out.assign(piece=piece, start=start, length=length, ids_crc32=[zlib.crc32(c) for c in cut])
                 yield out.assign(ids=[np.frombuffer(c, "<i4") for c in cut]) if with_ids else out
 
-    named = docs.select(*[docs[c].alias(h) for c, h in zip(keep, held)], docs["text"].alias("t"),
-                        F.monotonically_increasing_id().alias("copy"))
-    return named.mapInPandas(run, ddl)
+    named = docs.select(*kept.columns, docs["text"].alias("t"), F.monotonically_increasing_id().alias("copy"))
+    return kept.back(named.mapInPandas(run, ddl))
 
 
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID,

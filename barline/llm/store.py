@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from barline.session import scratch_path
 
@@ -27,6 +28,25 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
     return spark
 
 
+class Carried:
+    """Columns that go through pandas unchanged, under the names ``c0``, ``c1``
+    and so on. Whole numbers go as text: pandas would turn a batch with a NULL
+    into doubles, which do not hold large ids."""
+
+    def __init__(self, df: DataFrame, names: Sequence[str]):
+        self.names, self.held = list(names), [f"c{i}" for i in range(len(names))]
+        self.types = [df.schema[n].dataType.simpleString() for n in names]
+        self.sent = ["string" if t in ("tinyint", "smallint", "int", "bigint") else t for t in self.types]
+        self.columns = [df[n].cast(s).alias(h) if s != t else df[n].alias(h)
+                        for n, h, s, t in zip(self.names, self.held, self.sent, self.types)]
+        self.ddl = ", ".join(f"{h} {s}" for h, s in zip(self.held, self.sent))
+
+    def back(self, made: DataFrame) -> DataFrame:
+        """The columns with their names and types, then the others."""
+        mine = [F.col(h).cast(t).alias(n) for h, t, n in zip(self.held, self.types, self.names)]
+        return made.select(*mine, *[c for c in made.columns if c not in self.held])
+
+
 @contextmanager
 def runtime_filters(spark: SparkSession) -> Iterator[None]:
     """Let Spark filter the large side of a join by a Bloom filter of the other
