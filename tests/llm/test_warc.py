@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 from collections import Counter
 
 import pytest
@@ -63,3 +64,34 @@ def test_small_payloads_are_all_responses(pages):
 
 def test_empty(spark, pages):
     assert warc.archived(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("how", ["repartition", "join", "hash"])
+def test_revisits_when_the_pages_come_out_of_a_shuffle(spark, how):
+    """Each pass over a shuffled input may coalesce it differently."""
+    rows = [(2**60 + i, f"http://h{i % 50}.org/{i}", f"v{i % 300}" * 50) for i in range(900)] + [(2**60, "http://h0.org/0", "v0" * 50)] * 3 + [(None, "http://n.org", "v1" * 50)]
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+        if how == "repartition":
+            pages = pages.repartition("page_id")
+        elif how == "join":
+            pages = pages.hint("merge").join(spark.range(50).selectExpr("concat('v', id % 300) as v", "id"), F.expr("substring(html, 1, 3) = v"), "left").drop("v", "id")
+        else:
+            pages = pages.repartition(7, F.rand(3))
+        got = warc.archived(pages).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == expected(rows)
+
+
+def test_pages_that_change_between_passes_raise(spark):
+    drawn = F.udf(lambda: str(random.SystemRandom().randrange(40))).asNondeterministic()
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("http://a.org").alias("url"), drawn().alias("html"))
+    with pytest.raises(Exception, match="in one pass over the pages and not in another"):
+        warc.write_archives(pages).count()
