@@ -7,7 +7,7 @@ makes the k largest noisy weights a sample drawn without replacement.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm.ragged import chunks, code_points, mix, word_hashes, word_spans
-from barline.llm.store import staged
+from barline.llm.store import Carried, staged
 
 BUCKETS = 1 << 14
 #: Languages are told apart by a hash into so many slots; each has models of its
@@ -34,8 +34,8 @@ _CHUNK = 400_000
 
 
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and text of every n-gram: character 3-grams, and pairs of words read
-    as a repetition or not."""
+    """Bucket and text of every n-gram: characters by three, and words by one and
+    by two. A word after itself is one n-gram, whatever the word."""
     points, at = code_points(texts, gap=GRAM)
     p = points.astype(np.uint64)
     n = len(points) - GRAM + 1
@@ -47,22 +47,31 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = word_spans(points)
     words = word_hashes(points, starts, ends)
     text = np.searchsorted(at, starts, side="right") - 1
-    first = np.ones(len(words), bool)
-    first[1:] = text[1:] != text[:-1]
-    again = np.zeros(len(words), np.uint64)
-    again[1:] = (words[1:] == words[:-1]) & ~first[1:]
-    bucket = np.concatenate((mix(h[inside]) % np.uint64(BUCKETS - 2), again + np.uint64(BUCKETS - 2)))
-    return bucket.astype(np.int64), np.concatenate((owner[inside], text))
+    pair = text[1:] == text[:-1]
+    two = np.where(words[1:] == words[:-1], np.uint64(1), words[:-1] * np.uint64(0x100000001B3) + words[1:])[pair]
+    bucket = np.concatenate((mix(h[inside]), mix(words + np.uint64(2)), mix(two + np.uint64(3)))) % np.uint64(BUCKETS)
+    return bucket.astype(np.int64), np.concatenate((owner[inside], text, text[1:][pair]))
 
 
-def _inputs(docs: DataFrame) -> DataFrame:
+#: Stands for the id of rows without one; ``known`` tells them from a row that has it.
+NO_ID = -1
+
+
+def _id(docs: DataFrame):
+    """The id as a whole number: itself, or the hash of an id of another type."""
+    whole = docs.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    return F.coalesce(F.col("doc_id").cast("long") if whole else F.xxhash64("doc_id"), F.lit(NO_ID))
+
+
+def _inputs(docs: DataFrame, also: Sequence[str] = ()) -> DataFrame:
     slot = F.pmod(F.xxhash64(docs["lang"]), F.lit(SLOTS)) if "lang" in docs.columns else F.lit(0)
-    return docs.select("doc_id", docs["text"].alias("t"), slot.cast("long").alias("slot"))
+    return docs.select(_id(docs).alias("id"), F.col("doc_id").isNotNull().alias("known"), docs["text"].alias("t"),
+                       slot.cast("long").alias("slot"), *also)
 
 
 def model_counts(docs: DataFrame, good: np.ndarray) -> DataFrame:
     """``bucket``, ``raw`` and ``target`` counts over all texts; ``good`` holds
-    the doc_ids of the target, ascending. Each task sends at most SIZE rows."""
+    the ids of the target as whole numbers, ascending. Each task sends at most SIZE rows."""
     shared = docs.sparkSession.sparkContext.broadcast(good)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,7 +79,7 @@ def model_counts(docs: DataFrame, good: np.ndarray) -> DataFrame:
         for rows in batches:
             texts = [t or "" for t in rows["t"]]
             slots = rows["slot"].to_numpy()
-            target = np.isin(rows["doc_id"].to_numpy(np.float64, na_value=np.nan), ids)
+            target = np.isin(rows["id"].to_numpy(), ids) & rows["known"].to_numpy()
             for a, b in chunks(texts, _CHUNK):
                 bucket, text = ngrams(texts[a:b])
                 bucket += slots[a:b][text] * BUCKETS
@@ -113,17 +122,14 @@ def noisy(weight: np.ndarray, ids: np.ndarray, seed: int = SEED) -> np.ndarray:
     return weight - np.log(-np.log(u))
 
 
-def _ids(column: pd.Series) -> np.ndarray:
-    return column.fillna(-1).to_numpy(np.int64)
-
-
 def labelled_good(labels: DataFrame, most: int = LABELLED) -> tuple[np.ndarray, float]:
-    """Doc_ids of good documents among at most ``most`` labelled ones, and the
+    """Ids (as whole numbers) of good documents among at most ``most`` labelled ones, and the
     share of good documents among all labels."""
     known = labels.where("doc_id is not null and quality is not null")
     share = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).where("quality = 1").select("doc_id").toPandas()
-    return np.unique(sample["doc_id"].to_numpy(np.float64)), 0.5 if share is None else float(share)
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).where("quality = 1")
+    ids = sample.select(_id(labels).alias("id")).toPandas()
+    return np.unique(ids["id"].to_numpy(np.int64)), 0.5 if share is None else float(share)
 
 
 def nth_largest(rows: DataFrame, column: str, k: int) -> float | None:
@@ -162,12 +168,14 @@ def _fit(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, most: int
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             weight = weights([t or "" for t in rows["t"]], rows["slot"].to_numpy(), shared.value)
-            key = noisy(weight, _ids(rows["doc_id"]), seed)
-            yield rows[["doc_id"]].assign(log_weight=weight, sample_key=key, _order=sortable(key))
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = staged(_inputs(docs).mapInPandas(
-        run, f"doc_id {kind}, log_weight double, sample_key double, _order long"), "weights")
+            key = noisy(weight, rows["id"].to_numpy(), seed)
+            yield rows[kept].assign(log_weight=weight, sample_key=key, _order=sortable(key))
+
+    carried = Carried(docs, ["doc_id"])
+    kept = carried.held
+    made = _inputs(docs.withColumn(kept[0], carried.columns[0]), kept).mapInPandas(
+        run, carried.ddl + ", log_weight double, sample_key double, _order long")
+    scored = staged(carried.back(made), "weights")
     if k is None:  # as many as are more likely good than not
         floor = float(np.log(0.5 / share)) if share else float("inf")
         k = scored.where(F.col("log_weight") >= floor).count()
@@ -201,6 +209,6 @@ def keep_sample(docs: DataFrame, labels: DataFrame, k: int | None = None, seed:
     @F.pandas_udf("boolean")
     def drawn(ids: pd.Series, texts: pd.Series, slots: pd.Series) -> pd.Series:
         weight = weights([t or "" for t in texts], slots.to_numpy(), shared.value)
-        return pd.Series(sortable(noisy(weight, ids.to_numpy(np.int64), seed)) >= least)
+        return pd.Series(sortable(noisy(weight, ids.to_numpy(), seed)) >= least)
 
-    return docs.where(drawn(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), "text", slot.cast("long")))
+    return docs.where(drawn(_id(docs), "text", slot.cast("long")))
