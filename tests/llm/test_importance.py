@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from barline.llm.importance import importance_sample, keep_sample, noisy, nth_largest, sortable
+from barline.llm.importance import importance_sample, keep_sample, ngrams, noisy, nth_largest, sortable
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -67,3 +69,35 @@ def test_nulls_repeats_and_empty_tables(spark, docs_of, corpus):
     none = spark.createDataFrame([], LABELS)
     assert importance_sample(docs_of([]), good).count() == 0 and keep_sample(docs_of([]), good).count() == 0
     assert importance_sample(docs_of(odd), none).count() == len(odd)
+
+
+def test_large_ids_and_a_null_beside_them(spark, docs_of, corpus):
+    """Neighbouring ids above 2**60 are one double; a NULL must not make doubles of a batch."""
+    rows, labels = corpus
+    small = {r["doc_id"]: r for r in importance_sample(docs_of(rows), spark.createDataFrame(labels, LABELS)).collect()}
+    far = [(i + 2**60, t) for i, t in rows]
+    known = spark.createDataFrame([(i + 2**60, q, t) for i, q, t in labels], LABELS)
+    for more in ([], [(None, "")]):
+        docs = docs_of(far + more).coalesce(1)
+        got = {r["doc_id"]: r for r in importance_sample(docs, known).collect()}
+        assert set(got) == {i for i, _ in far + more}
+        assert all(got[i + 2**60]["log_weight"] == pytest.approx(small[i]["log_weight"]) for i, _ in rows)
+        kept = {r["doc_id"] for r in keep_sample(docs, known).collect()}
+        assert kept == {i for i, r in got.items() if r["kept"]}
+
+
+def test_ids_of_text(spark, docs_of, corpus):
+    rows, labels = corpus
+    docs = docs_of(rows).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    known = spark.createDataFrame(labels, LABELS).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    got = importance_sample(docs, known).collect()
+    unseen = [r for r in got if int(r["doc_id"][1:]) % 3]
+    assert sum(r["kept"] == (int(r["doc_id"][1:]) % 4 != 0) for r in unseen) >= 0.97 * len(unseen)
+
+
+def test_words_by_one_and_two():
+    buckets, text = ngrams(["a bb a bb", "cc cc dd dd", "", "x"])
+    of = [Counter(buckets[text == k].tolist()) for k in range(4)]
+    assert sum(of[0].values()) == 7 + 4 + 3  # characters by three, words, pairs
+    assert max(Counter(buckets[text == 1].tolist()).values()) == 2  # cc cc and dd dd are the same pair
+    assert not of[2] and sum(of[3].values()) == 1
