@@ -58,30 +58,36 @@ def last_scored(scores: DataFrame, dataset: str | None = None, keys: Sequence[st
     return scores.groupBy(*keys).agg(F.max("ts").alias("last_ts"))
 
 
+def incremental_start(last: DataFrame, now: Stamp, end: Stamp | None = None) -> pd.Timestamp:
+    """The earliest time an incremental run can need: after the oldest of the
+    newest scores (``last_ts``), and no later than the start of a model without
+    scores. One row comes to the driver."""
+    fallback = (naive_utc(end) if end else cutoff(now)) - pd.Timedelta(hours=DEFAULT_WINDOW_HOURS)
+    lowest = last.agg(F.min("last_ts")).first()[0]
+    return fallback if lowest is None else min(fallback, pd.Timestamp(lowest) + pd.Timedelta(hours=1))
+
+
 def select_incremental(bars: DataFrame, scores: DataFrame, models: Sequence[str], now: Stamp,
-                       end: Stamp | None = None, dataset: str | None = None, series: Sequence[str] = ()
-                       ) -> DataFrame:
+                       end: Stamp | None = None, dataset: str | None = None, series: Sequence[str] = (),
+                       earliest: Stamp | None = None) -> DataFrame:
     """Closed bars after each model's newest score: one row per bar and model.
 
     A model without scores starts 48 hours before the end. With ``series``
     keys the newest score is taken per series and model. Bars are read once for
-    all models.
+    all models. ``scores`` may be the marks of a store
+    (:meth:`barline.operators.store.Store.high_water`): only newest times count.
 
-    The earliest of the starts is looked up first (an aggregate of the scores
-    that returns one row), so that bars, and whatever is joined to the result
-    by time, are scanned from there on and not from the beginning.
+    The earliest of the starts bounds the scan of the bars, and of whatever is
+    joined to the result by time. Where the caller does not give it, it is looked up first, which runs a job.
     """
     series = list(series)
     end_ts = naive_utc(end) if end else cutoff(now)
-    fallback = end_ts - pd.Timedelta(hours=DEFAULT_WINDOW_HOURS)
-    wanted = scores.where(F.col("model_path").isin(list(models)))
-    last = last_scored(wanted, dataset, [*series, "model_path"])
-    lowest = last.agg(F.min("last_ts")).first()[0]
-    earliest = fallback if lowest is None else min(fallback, pd.Timestamp(lowest) + pd.Timedelta(hours=1))
-    candidates = closed_bars(bars, now, earliest, end_ts).withColumn(
+    last = last_scored(scores.where(F.col("model_path").isin(list(models))), dataset, [*series, "model_path"])
+    begin_scan = naive_utc(earliest) if earliest is not None else incremental_start(last, now, end)
+    candidates = closed_bars(bars, now, begin_scan, end_ts).withColumn(
         "model_path", F.explode(F.array(*[F.lit(m) for m in models])))
     bounded = candidates.join(last, [*series, "model_path"], "left")
-    begin = F.coalesce(F.col("last_ts") + hours(1), ts_lit(fallback))
+    begin = F.coalesce(F.col("last_ts") + hours(1), ts_lit(end_ts - pd.Timedelta(hours=DEFAULT_WINDOW_HOURS)))
     return bounded.where(F.col("ts") >= begin).drop("last_ts")
 
 

@@ -8,13 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barline.functions.columns import naive_utc
 from barline.operators.features import latest_features
 from barline.operators.joins import consistency, consistency_gate, skip_existing
 from barline.operators.scoring import TreeModel, score_many, with_feature_map
 from barline.operators.store import Store
 from barline.operators.targets import (
-    Stamp, at_most, key_filter, select_incremental, select_ts_list, select_window, window_bounds,
+    Stamp, at_most, cutoff, incremental_start, key_filter, last_scored, select_incremental, select_ts_list, select_window, window_bounds,
 )
+from barline.session import cut
 
 ON = ("series", "ts")
 
@@ -56,12 +58,23 @@ class Backfill:
         return [m.path for m in self.models]
 
 
-def select_targets(job: Backfill, bars: DataFrame, scores: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Known:
+    """What a store tells a job: the marks of the newest scores, the scores of
+    the days the job can touch, and the first time it can touch."""
+
+    marks: DataFrame | None
+    scores: DataFrame
+    earliest: Stamp | None = None
+
+
+def select_targets(job: Backfill, bars: DataFrame, scores: DataFrame | Known) -> DataFrame:
     """``series, ts, model_path`` rows to work on, before any skipping."""
+    known = scores if isinstance(scores, Known) else Known(scores, scores)
     keys = bars.select(*ON)
     if job.mode == "last_from_predictions":
-        rows = select_incremental(keys, scores, job.paths, job.now, job.end, job.dataset,
-                                  ["series"] if job.per_series else [])
+        rows = select_incremental(keys, known.marks, job.paths, job.now, job.end, job.dataset,
+                                  ["series"] if job.per_series else [], known.earliest)
     else:
         if job.mode == "window":
             rows = select_window(keys, job.now, job.start, job.end)
@@ -71,7 +84,7 @@ def select_targets(job: Backfill, bars: DataFrame, scores: DataFrame) -> DataFra
     return at_most(rows, job.at_most, ["ts", "series"], [*(["series"] if job.per_series else []), "model_path"])
 
 
-def valid_targets(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame) -> DataFrame:
+def valid_targets(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame | Known) -> DataFrame:
     """Targets with both a bar and features. In mode ``fail`` this counts the
     others first and raises when there are any."""
     targets = select_targets(job, bars, scores)
@@ -83,12 +96,12 @@ def valid_targets(job: Backfill, bars: DataFrame, features: DataFrame, scores: D
     return targets.join(valid, list(ON), "left_semi")
 
 
-def dry_run(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame) -> DataFrame:
+def dry_run(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame | Known) -> DataFrame:
     """The targets that would be processed, scored already or not."""
     return valid_targets(job, bars, features, scores)
 
 
-def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame) -> DataFrame:
+def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores: DataFrame | Known) -> DataFrame:
     """New score rows ``series, ts, model_path, y_pred, feature_key, dataset``.
 
     One plan: choose targets, leave out what is scored, take the newest
@@ -102,7 +115,7 @@ def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores:
     targets = select_targets(job, bars, scores)
     if job.on_inconsistent == "fail":
         consistency_gate(targets.select(*ON).distinct(), bars, features, job.feature_key)
-    todo = skip_existing(targets, scores).groupBy(*ON).agg(F.collect_set("model_path").alias("_models"))
+    todo = skip_existing(targets, scores.scores if isinstance(scores, Known) else scores).groupBy(*ON).agg(F.collect_set("model_path").alias("_models"))
     stored = key_filter(features, job.feature_key).select(*ON, "feature_key", "features", "created_at")
     newest = latest_features(stored.join(todo, list(ON)))
     mapped = with_feature_map(newest).select(*ON, "feature_key", "feature_map", "_models")
@@ -113,13 +126,21 @@ def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores:
 
 def run_backfill(job: Backfill, bars: DataFrame, features: DataFrame, store: Store) -> int:
     """Score and store; returns how many rows were added. A second run with the
-    same job adds none. A window job reads the stored days of its window only."""
+    same job adds none. Of the stored scores only the days that the job can
+    touch are read; where an incremental job starts is read from the store's marks."""
     store.ensure()
-    return store.append_unique(backfill_scores(job, bars, features, stored_scores(job, store)))
-
-
-def stored_scores(job: Backfill, store: Store) -> DataFrame:
-    """The stored scores that the job has to know."""
-    if job.mode == "window":  # others are met by no target
-        return store.read(*window_bounds(job.now, job.start, job.end))
-    return store.read()
+    return store.append_unique(backfill_scores(job, bars, features, known_scores(job, store)))
+
+
+def known_scores(job: Backfill, store: Store) -> Known:
+    """What the job has to know of the store: bounded days in every mode."""
+    if job.mode == "window":
+        return Known(None, store.read(*window_bounds(job.now, job.start, job.end)))
+    last = naive_utc(job.end) if job.end else cutoff(job.now)
+    if job.mode == "ts_list":
+        span = job.stamps.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+        return Known(None, store.read(last if span.lo is None else span.lo, last if span.hi is None else span.hi))
+    marks = cut(store.high_water())
+    newest = last_scored(marks.where(F.col("model_path").isin(job.paths)), job.dataset, [*(["series"] if job.per_series else []), "model_path"])
+    earliest = incremental_start(newest, job.now, job.end)
+    return Known(marks, store.read(earliest, last), earliest)
