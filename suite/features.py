@@ -8,6 +8,7 @@ from barline.functions.columns import hours
 from barline.operators import features as f
 from barline.operators import store as st
 from barline.operators import targets as t
+from barline.session import scratch_path
 from barline.sources.files import feature_list
 from suite.base import bars, features, features_b, query, table
 
@@ -116,7 +117,10 @@ def pack(spark, sf):
     UNION ALL SELECT feature_key, series, ts, features, created_at FROM features f
     WHERE NOT EXISTS (SELECT 1 FROM features_b b WHERE b.feature_key = f.feature_key AND b.series = f.series AND b.ts = f.ts)""")
 def upsert(spark, sf):
-    return st.replaced(features(spark, sf), features_b(spark, sf), st.FEATURE_KEY)
+    target = st.feature_store(spark, scratch_path(spark, "features")).ensure()
+    target.append_unique(features(spark, sf))
+    st.upsert_features(target, features_b(spark, sf))
+    return target.read()
 
 
 @query("F9_explode_features", "long_a long_b", """

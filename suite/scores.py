@@ -8,7 +8,7 @@ from barline.functions.columns import hours
 from barline.operators import scoring as sc
 from barline.operators import stats
 from barline.operators import store as st
-from barline.plans.backfill import Backfill, backfill_scores, dry_run
+from barline.plans.backfill import Backfill, backfill_scores, dry_run, run_backfill
 from barline.plans.files import merge_and_score, score_frame, score_latest_rows
 from barline.session import scratch_path
 from barline.sources.models import feature_names
@@ -134,6 +134,26 @@ def backfill(spark, sf):
     return backfill_scores(job, bars(spark, sf), features(spark, sf), predictions(spark, sf))
 
 
+@query("M6_run_backfill", "bars latest predictions", f"""
+    SELECT series, ts, model_path, y_pred, feature_key, dataset FROM predictions
+    UNION ALL
+    SELECT f.series, f.ts, m.model_path, CASE m.model_path WHEN 'm1' THEN {_m(_M1, 'f')} ELSE {_m(_M2, 'f')} END AS y_pred,
+           f.feature_key, 'base' AS dataset
+    FROM latest f JOIN bars b USING (series, ts) CROSS JOIN (VALUES ('m1'), ('m2')) AS m(model_path)
+    LEFT JOIN (SELECT series, model_path, max(ts) AS last_ts FROM predictions WHERE dataset = 'base' GROUP BY series, model_path) p
+      ON p.series = f.series AND p.model_path = m.model_path
+    WHERE f.ts <= timestamp '{CUTOFF}'
+      AND f.ts >= coalesce(p.last_ts + interval '1' hour, timestamp '{CUTOFF}' - interval '48' hour)""")
+def backfill_store(spark, sf):
+    """Into a store that has scores already; the second run adds nothing."""
+    target = st.score_store(spark, scratch_path(spark, "scores")).ensure()
+    target.append_unique(predictions(spark, sf))
+    job = Backfill(models(spark, "m1", "m2", "m3"), NOW, mode="last_from_predictions", dataset="base", on_inconsistent="keep_valid")
+    for _ in range(2):
+        run_backfill(job, bars(spark, sf), features(spark, sf), target)
+    return target.read().drop("created_at")
+
+
 @query("M6_backfill_window", "bars features predictions", f"""
     SELECT f.series, f.ts, 'm1' AS model_path, {_m(_M1, 'f')} AS y_pred, f.feature_key, CAST(NULL AS varchar) AS dataset
     FROM features f JOIN (SELECT series, ts, row_number() OVER (PARTITION BY series ORDER BY ts) AS rn FROM bars
@@ -270,6 +290,39 @@ def delete_dataset(spark, sf):
     return stored.read()
 
 
+@query("P4_compacted", "bars predictions", f"""
+    SELECT * FROM {_NEW} n WHERE ts < timestamp '2024-01-10 00:00:00'
+    UNION ALL SELECT series, ts, model_path, y_pred, feature_key, 'late' AS dataset, created_at FROM predictions
+    WHERE hour(ts) % 2 = 0 AND ts >= timestamp '2024-01-08 00:00:00'""")
+def compacted(spark, sf):
+    """Replaced, deleted from, merged into one batch, and cleaned up."""
+    early = F.lit("2024-01-08").cast("timestamp_ntz")
+    stored = _store(spark, sf, predictions(spark, sf).withColumn("dataset", F.when(F.col("ts") < early, "early").otherwise("late")))
+    stored.replace_by_key(_new_rows(spark, sf).withColumn("dataset", F.when(
+        F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"), "redo").otherwise("gone")))
+    stored.delete_dataset("gone")
+    stored.compact()
+    stored.delete_dataset("early")
+    stored.clean()
+    return stored.read()
+
+
+@query("A5_high_water", "bars predictions", f"""
+    SELECT series, model_path, dataset, max(ts) AS ts FROM (
+      SELECT * FROM {_NEW} n WHERE n.ts < timestamp '2024-01-15 00:00:00'
+      UNION ALL SELECT series, ts, model_path, y_pred, feature_key, 'base' AS dataset, created_at FROM predictions
+      WHERE hour(ts) % 2 = 0) GROUP BY series, model_path, dataset""")
+def high_water(spark, sf):
+    """Marks after a replacement that takes the newest rows of a dataset away, and a deleted dataset."""
+    stored = _store(spark, sf, predictions(spark, sf))
+    fresh = _new_rows(spark, sf)
+    later = fresh.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")).withColumn("dataset", F.lit("later"))
+    stored.append_unique(later)
+    stored.replace_by_key(fresh.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
+    stored.delete_dataset("later")
+    return stored.high_water()
+
+
 @query("P6_multi_model_coexist", "predictions", """
     SELECT series, ts, cast(3 AS bigint) AS n, true AS enough FROM predictions""")
 def coexist(spark, sf):
