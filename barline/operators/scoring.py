@@ -9,13 +9,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, StructField, StructType, VariantType
 
 from barline.functions.columns import number
 from barline.operators.features import parse_features
@@ -134,74 +133,89 @@ def _link(raw: Column, model: TreeModel) -> Column:
     raise ValueError(f"objective {kind!r} is not supported")
 
 
-@dataclass
-class _Arrays:
-    """A tree as arrays for batch evaluation."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    default_left: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray
-    missing: np.ndarray
-    depth: int = field(default=0)
-
-
-def _arrays(tree: dict[int, Node], index: dict[str, int]) -> _Arrays:
-    ids = sorted(tree)
-    at = {n: i for i, n in enumerate(ids)}
-    nodes = [tree[n] for n in ids]
-    leaf = [n.leaf_value is not None for n in nodes]
-
-    def depth(i: int) -> int:
-        stack, deepest = [(i, 0)], 0
-        while stack:
-            k, d = stack.pop()
-            deepest = max(deepest, d)
-            if not leaf[k]:
-                stack += [(at[nodes[k].left], d + 1), (at[nodes[k].right], d + 1)]
-        return deepest
-
-    kinds = {"none": 0, "zero": 1, "nan": 2}
-    return _Arrays(
-        feature=np.array([0 if f else index[n.feature] for f, n in zip(leaf, nodes)]),
-        threshold=np.array([math.inf if f else n.threshold for f, n in zip(leaf, nodes)]),
-        default_left=np.array([f or n.default_left for f, n in zip(leaf, nodes)]),
-        left=np.array([i if f else at[n.left] for i, (f, n) in enumerate(zip(leaf, nodes))]),
-        right=np.array([i if f else at[n.right] for i, (f, n) in enumerate(zip(leaf, nodes))]),
-        value=np.array([n.leaf_value if f else 0.0 for f, n in zip(leaf, nodes)]),
-        missing=np.array([kinds[n.missing_type] for n in nodes]),
-        depth=depth(at[0]),
-    )
-
-
-def _walk(t: _Arrays, x: np.ndarray) -> np.ndarray:
-    rows = np.arange(len(x))
-    node = np.zeros(len(x), dtype=np.int64)
-    for _ in range(t.depth):
-        v = x[rows, t.feature[node]]
-        nan = np.isnan(v)
-        kind = t.missing[node]
-        v = np.where(nan & (kind != 2), 0.0, v)
-        gone = ((kind == 2) & nan) | ((kind == 1) & (np.abs(v) <= ZERO_THRESHOLD))
-        go_left = np.where(gone, t.default_left[node], v <= t.threshold[node])
-        node = np.where(go_left, t.left[node], t.right[node])
-    return t.value[node]
-
-
-def _batch_score(model: TreeModel, inputs: Column, num_iteration: int | None) -> Column:
-    index = {f: i for i, f in enumerate(model.features)}
-    trees = [_arrays(t, index) for t in model.first(num_iteration)]
-    width = len(model.features)  # the struct ends with a constant, so that it is never empty
-
-    @F.pandas_udf(DoubleType())
-    def score(batch: pd.DataFrame) -> pd.Series:
-        x = batch.to_numpy("float64", na_value=np.nan)[:, :width]
-        total = np.zeros(len(x))
-        for t in trees:
-            total += _walk(t, x)
-        return pd.Series(total)
+class Forest:
+    """The trees of several models as packed node arrays: inner nodes and leaves
+    of all trees in one run, children as absolute places, one root and depth per tree."""
+
+    #: Rows walked together, so that their nodes and inputs stay in the cache.
+    ROWS = 4096
+
+    def __init__(self, models: Sequence[TreeModel], columns: dict[str, int], num_iteration: int | None = None):
+        kinds = {"none": 0, "zero": 1, "nan": 2}
+        feature, threshold, default_left, left, right, value, missing = ([] for _ in range(7))
+        self.trees: list[tuple[int, int, int]] = []  # model, root, depth
+        for m, model in enumerate(models):
+            for tree in model.first(num_iteration):
+                at = {n: len(value) + i for i, n in enumerate(sorted(tree))}
+                for n in sorted(tree):
+                    node, leaf = tree[n], tree[n].leaf_value is not None
+                    feature.append(0 if leaf else columns[node.feature])
+                    threshold.append(math.inf if leaf else node.threshold)
+                    default_left.append(leaf or node.default_left)
+                    left.append(at[n] if leaf else at[node.left])
+                    right.append(at[n] if leaf else at[node.right])
+                    value.append(node.leaf_value if leaf else 0.0)
+                    missing.append(2 if leaf else kinds[node.missing_type])
+                self.trees.append((m, at[0], _depth(tree)))
+        self.models = len(models)
+        self.feature, self.left, self.right = (np.array(x, np.int32) for x in (feature, left, right))
+        self.threshold, self.value = np.array(threshold, float), np.array(value, float)
+        self.default_left, self.missing = np.array(default_left, bool), np.array(missing, np.int8)
+        self.plain = bool((self.missing == 2).all())  # only NaN is missing, everywhere
+
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Per row of ``x`` and model the sum over the model's trees, a tree at a time."""
+        out = np.zeros((len(x), self.models))
+        for a in range(0, len(x), self.ROWS):
+            part = np.ascontiguousarray(x[a:a + self.ROWS])
+            flat, start = part.ravel(), np.arange(len(part), dtype=np.int64) * part.shape[1]
+            for m, root, depth in self.trees:
+                node = np.full(len(part), root, np.int32)
+                for _ in range(depth):
+                    node = self._down(node, flat[start + self.feature[node]])
+                out[a:a + self.ROWS, m] += self.value[node]
+        return out
+
+    def _down(self, node: np.ndarray, v: np.ndarray) -> np.ndarray:
+        gone = np.isnan(v)
+        if not self.plain:
+            kind = self.missing[node]
+            v = np.where(gone & (kind != 2), 0.0, v)
+            gone = (gone & (kind == 2)) | ((kind == 1) & (np.abs(v) <= ZERO_THRESHOLD))
+        go_left = v <= self.threshold[node]
+        if gone.any():
+            go_left = np.where(gone, self.default_left[node], go_left)
+        return np.where(go_left, self.left[node], self.right[node])
+
+
+def _depth(tree: dict[int, Node]) -> int:
+    stack, deepest = [(0, 0)], 0
+    while stack:
+        n, d = stack.pop()
+        deepest = max(deepest, d)
+        if tree[n].leaf_value is None:
+            stack += [(tree[n].left, d + 1), (tree[n].right, d + 1)]
+    return deepest
+
+
+def _matrix(inputs, width: int) -> np.ndarray:
+    """Rows of doubles from an Arrow struct of columns; NULL becomes NaN."""
+    x = np.empty((len(inputs), width))
+    for i, column in enumerate(inputs.flatten()[:width]):
+        x[:, i] = column.to_numpy(zero_copy_only=False)
+    return x
+
+
+def _batch_sums(models: Sequence[TreeModel], inputs: Column, names: Sequence[str], num_iteration: int | None) -> Column:
+    """An array with the raw sum of each model; ``inputs`` is a struct of the columns ``names`` in order, and one more."""
+    forest, width = Forest(models, {f: i for i, f in enumerate(names)}, num_iteration), len(names)
+
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def score(batch):
+        import pyarrow as pa
+
+        total = forest.sums(_matrix(batch, width))
+        return pa.ListArray.from_arrays(np.arange(len(total) + 1, dtype=np.int32) * forest.models, total.ravel())
 
     return score(inputs)
 
@@ -233,19 +247,23 @@ def align_lenient(df: DataFrame, expected: Sequence[str], fill: float | None = N
     return df.select(*[F.col(f"`{c}`") for c in keep], *aligned, *extra)
 
 
+def _small(model: TreeModel, num_iteration: int | None, method: str) -> bool:
+    if method not in ("auto", "expression", "batch"):
+        raise ValueError(f"unknown scoring method {method!r}")
+    used = sum(len(t) for t in model.first(num_iteration))
+    return method == "expression" or (method == "auto" and used <= MAX_EXPRESSION_NODES)
+
+
 def _score_inputs(df: DataFrame, inputs: Sequence[Column], model: TreeModel, out: str, num_iteration: int | None,
                   method: str) -> DataFrame:
-    used = sum(len(t) for t in model.first(num_iteration))
     inputs = [number(c) for c in inputs]  # NaN is missing, however the model is evaluated
-    if method not in ("auto", "expression", "batch"):
-        raise ValueError(f"unknown scoring method {method!r}")
-    if method == "expression" or (method == "auto" and used <= MAX_EXPRESSION_NODES):
+    if _small(model, num_iteration, method):
         names = {f: f"_x{i}" for i, f in enumerate(model.features)}
         staged = df.withColumns({names[f]: c for f, c in zip(model.features, inputs)})
         raw = _averaged(F.expr(model_sql(model, names, num_iteration)), model, num_iteration)
         return staged.withColumn(out, _link(raw, model)).drop(*names.values())
     packed = F.struct(*[c.alias(f"x{i}") for i, c in enumerate(inputs)], F.lit(0.0).alias("end"))
-    raw = _averaged(_batch_score(model, packed, num_iteration), model, num_iteration)
+    raw = _averaged(_batch_sums([model], packed, model.features, num_iteration)[0], model, num_iteration)
     return df.withColumn("_raw", raw).withColumn(out, _link(F.col("_raw"), model)).drop("_raw")
 
 
@@ -280,5 +298,59 @@ def score_many(df: DataFrame, models: Iterable[TreeModel], features: str = "feat
     return scored.select(*columns, "_s.model_path", "_s.y_pred")
 
 
+def _fields(names: Sequence[str], kind: DataType) -> StructType:
+    """A JSON object's fields, and one that none has, so that the struct is never empty."""
+    return StructType([StructField(n, kind) for n in (*names, "\0end")])
+
+
+def score_json(df: DataFrame, models: Iterable[TreeModel], json: str = "features", *, strict: bool = True,
+               num_iteration: int | None = None, method: str = "auto") -> DataFrame:
+    """One row per input row and model: adds ``model_path`` and ``y_pred``.
+
+    The text of column ``json`` is parsed once, into one struct of all features
+    that any of the models uses; models above MAX_EXPRESSION_NODES share one
+    transfer to Python. A null or NaN value is a missing one. With ``strict`` a
+    model gives no row where one of its features is absent or is no number;
+    else such a feature counts as missing. Where values are NULL the text is
+    read a second time, to tell null values from absent ones.
+    """
+    models = list(models)
+    names = list(dict.fromkeys(f for m in models for f in m.features))
+    place = {f: f"x{i}" for i, f in enumerate(names)}
+    # positional casts: names may differ in case only, or hold dots
+    doubles = ", ".join(f"{p}: double" for p in place.values())
+    staged = df.withColumn("_d", F.from_json(json, _fields(names, DoubleType())).cast(f"struct<{doubles}{', ' * bool(names)}end: double>"))
+    if strict:
+        gaps = F.exists(F.array(*[F.col(f"_d.{p}") for p in place.values()]).cast("array<double>"), lambda v: v.isNull())
+        variants = ", ".join(f"{p}: variant" for p in place.values())
+        staged = staged.withColumn("_v", F.when(F.col("_d").isNull() | gaps, F.from_json(json, _fields(names, VariantType())).cast(
+            f"struct<{variants}{', ' * bool(names)}end: variant>")))
+        # the features a row lacks, as a set of their places; empty for most rows
+        lacking = F.when(F.col("_v").isNotNull() | F.col("_d").isNull(), F.array_compact(F.array(*[
+            F.when(F.col(f"_d.{p}").isNull() & ~F.coalesce(F.is_variant_null(F.col(f"_v.{p}")), F.lit(False)), F.lit(i))
+            for i, p in enumerate(place.values())]).cast("array<int>")))
+        staged = staged.withColumn("_lacks", lacking)
+    large = [m for m in models if not _small(m, num_iteration, method)]
+    if large:
+        staged = staged.withColumn("_sums", _batch_sums(large, F.col("_d"), names, num_iteration))
+    index = {f: i for i, f in enumerate(names)}
+    columns = {f: f"nanvl(_d.{p}, cast(null as double))" for f, p in place.items()}
+    small = {m.path: F.expr(model_sql(m, {f: f"_{place[f]}" for f in names}, num_iteration)) for m in models if m not in large}
+    if small:
+        used = {f for m in models if m not in large for f in m.features}
+        staged = staged.withColumns({f"_{place[f]}": F.expr(columns[f]) for f in names if f in used})
+    results = []
+    for m in models:
+        raw = F.col("_sums")[large.index(m)] if m in large else small[m.path]
+        made = F.struct(F.lit(m.path).alias("model_path"), _link(_averaged(raw, m, num_iteration), m).alias("y_pred"))
+        if strict:
+            own = F.array(*[F.lit(index[f]) for f in m.features]).cast("array<int>")
+            made = F.when(F.col("_lacks").isNull() | ~F.arrays_overlap(F.col("_lacks"), own), made)
+        results.append(made)
+    scored = staged.withColumn("_s", F.explode(F.array_compact(F.array(*results))))
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in ("model_path", "y_pred")]
+    return scored.select(*kept, "_s.model_path", "_s.y_pred")
+
+
 def with_feature_map(df: DataFrame, json: str = "features", out: str = "feature_map") -> DataFrame:
     return df.withColumn(out, parse_features(json))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import naive_utc
 from barline.operators.features import latest_features
 from barline.operators.joins import consistency, consistency_gate, skip_existing
-from barline.operators.scoring import TreeModel, score_many, with_feature_map
+from barline.operators.scoring import TreeModel, score_json
 from barline.operators.store import Store
 from barline.operators.targets import (
     Stamp, at_most, cutoff, incremental_start, key_filter, last_scored, select_incremental, select_ts_list, select_window, window_bounds,
@@ -118,8 +118,8 @@ def backfill_scores(job: Backfill, bars: DataFrame, features: DataFrame, scores:
     todo = skip_existing(targets, scores.scores if isinstance(scores, Known) else scores).groupBy(*ON).agg(F.collect_set("model_path").alias("_models"))
     stored = key_filter(features, job.feature_key).select(*ON, "feature_key", "features", "created_at")
     newest = latest_features(stored.join(todo, list(ON)))
-    mapped = with_feature_map(newest).select(*ON, "feature_key", "feature_map", "_models")
-    scored = score_many(mapped, job.models, num_iteration=job.num_iteration, method=job.method)
+    rows = newest.select(*ON, "feature_key", "features", "_models")
+    scored = score_json(rows, job.models, num_iteration=job.num_iteration, method=job.method)
     return scored.where(F.array_contains("_models", F.col("model_path"))).select(
         *ON, "model_path", "y_pred", "feature_key", F.lit(job.dataset).cast("string").alias("dataset"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barline.operators.features import latest_features
-from barline.operators.scoring import TreeModel, score_many, with_feature_map
+from barline.operators.scoring import TreeModel, score_json
 from barline.operators.store import Store
 
 
@@ -25,8 +25,8 @@ def stream_scores(features: DataFrame, models: Sequence[TreeModel], store: Store
     store.ensure()
 
     def add(batch: DataFrame, _: int) -> None:
-        newest = with_feature_map(latest_features(batch)).select("series", "ts", "feature_key", "feature_map")
-        scored = score_many(newest, models).select(
+        newest = latest_features(batch).select("series", "ts", "feature_key", "features")
+        scored = score_json(newest, models).select(
             "series", "ts", "model_path", "y_pred", "feature_key", F.lit(dataset).cast("string").alias("dataset"))
         store.append_missing(scored)
 
