@@ -63,12 +63,8 @@ def align_lenient(spark, sf):
       CASE m.model_path WHEN 'm1' THEN {_m(_M1, 'f')} WHEN 'm2' THEN {_m(_M2, 'f')} ELSE {_m(_M3, 'f')} END AS y_pred
     FROM features f CROSS JOIN (VALUES ('m1'), ('m2'), ('m3')) AS m(model_path)""")
 def score(spark, sf):
-    rows = sc.with_feature_map(features(spark, sf))
-    out = None
-    for model in models(spark):
-        made = sc.score_maps(rows, model).select("feature_key", "series", "ts", F.lit(model.path).alias("model_path"), "y_pred")
-        out = made if out is None else out.unionByName(made)
-    return out
+    scored = sc.score_json(features(spark, sf), models(spark), strict=False)
+    return scored.select("feature_key", "series", "ts", "model_path", "y_pred")
 
 
 @query("M3_score_batches", "features node", """
@@ -87,8 +83,7 @@ def score(spark, sf):
     SELECT x.feature_key, x.series, x.ts, sum(w.leaf_value) AS y_pred FROM walk w JOIN x USING (id)
     WHERE w.leaf_value IS NOT NULL GROUP BY x.feature_key, x.series, x.ts""")
 def score_batches(spark, sf):
-    rows = sc.with_feature_map(features(spark, sf))
-    scored = sc.score_maps(rows, models(spark, "m1")[0], method="batch")
+    scored = sc.score_json(features(spark, sf), models(spark, "m1"), strict=False, method="batch")
     return scored.select("feature_key", "series", "ts", "y_pred")
 
 
@@ -102,6 +97,52 @@ def score_first(spark, sf):
     return scored.select("feature_key", "series", "ts", "y_pred")
 
 
+@query("M3_score_nan", "bars", f"""
+    SELECT series, ts, m.model_path, cast(CASE m.model_path WHEN 'm1' THEN {_M1.format(c="c", r="r")} ELSE {_M2.format(c="c", r="r")} END AS double) AS y_pred
+    FROM (SELECT series, ts, CASE WHEN hour(ts) % 4 > 0 THEN close * 100 END AS c, CASE WHEN hour(ts) % 3 > 0 THEN (high - low) * 100 END AS r
+          FROM bars WHERE hour(ts) % 5 > 0) x CROSS JOIN (VALUES ('m1'), ('m2')) AS m(model_path)""")
+def score_nan(spark, sf):
+    """NaN and null values are missing; rows with a feature absent, or no number, are skipped."""
+    def value(c, gone):
+        return F.when(F.hour("ts") % gone > 0, c.cast("string")).otherwise(F.when(F.dayofmonth("ts") % 2 == 0, "NaN").otherwise("null"))
+
+    close = F.concat(F.lit('"close":'), F.when(F.hour("ts") % 10 == 5, F.lit('"high"')).otherwise(value(F.col("close") * 100, 4)))
+    reach = F.concat(F.lit(',"range":'), value((F.col("high") - F.col("low")) * 100, 3))
+    text = F.concat(F.lit("{"), close, F.when(F.hour("ts") % 10 == 0, "").otherwise(reach), F.lit(',"note":"x"}'))
+    rows = bars(spark, sf).select("series", "ts", text.alias("features"))
+    return sc.score_json(rows, models(spark, "m1", "m2")).select("series", "ts", "model_path", "y_pred")
+
+
+@query("M3_score_averaged", "features", f"""
+    SELECT feature_key, series, ts, {_m(_M1, 'f')} / 2 AS y_pred FROM features f""")
+def score_averaged(spark, sf):
+    trees = model_trees(spark).where("model_path = 'm1'").withColumn("average", F.lit(True))
+    return sc.score_json(features(spark, sf), sc.load_models(trees)).select("feature_key", "series", "ts", "y_pred")
+
+
+# A model by rule: 300 trees of depth 3 over 500 features, sums exact in any order.
+_VALUE = "((o_orderkey * 31 + ((t * 7 + n) % 500) * 17 + o_custkey) % 1009)"
+_STEP = f"""SELECT o_orderkey, o_custkey, t, CASE WHEN
+      CASE WHEN {_VALUE} % 11 = 0 THEN (t + n) % 2 = 0 ELSE {_VALUE} <= (t * 37 + n * 101) % 997 END THEN 2 * n + 1 ELSE 2 * n + 2 END AS n FROM"""
+
+
+@query("M3_score_many_trees", "", f"""
+    WITH a AS ({_STEP} (SELECT o_orderkey, o_custkey, range AS t, 0 AS n FROM orders CROSS JOIN range(300)) x),
+    b AS ({_STEP} a), c AS ({_STEP} b)
+    SELECT o_orderkey, 'wide' AS model_path, sum(((t * 13 + n * 29) % 201 - 100) / 64) AS y_pred FROM c GROUP BY o_orderkey""")
+def score_many_trees(spark, sf):
+    def node(t, n):
+        if n >= 7:
+            return sc.Node(None, None, False, None, None, ((t * 13 + n * 29) % 201 - 100) / 64)
+        return sc.Node(f"f{(t * 7 + n) % 500}", float((t * 37 + n * 101) % 997), (t + n) % 2 == 0, 2 * n + 1, 2 * n + 2, None)
+
+    wide = sc.TreeModel("wide", tuple(f"f{i}" for i in range(500)), tuple({n: node(t, n) for n in range(15)} for t in range(300)))
+    value = "(o_orderkey * 31 + i * 17 + o_custkey) % 1009"
+    pairs = f"transform(sequence(0, 499), i -> concat('\"f', i, '\":', if({value} % 11 = 0, 'null', cast({value} as string))))"
+    rows = table(spark, sf, "orders").select("o_orderkey", F.expr(f"concat('{{', array_join({pairs}, ','), '}}')").alias("features"))
+    return sc.score_json(rows, [wide]).select("o_orderkey", "model_path", "y_pred")
+
+
 @query("M4_score_file", "", f"""
     SELECT l_orderkey, cast({_M1.format(c="l_extendedprice", r="(l_quantity * 100)")} AS double) AS y_pred, l_linenumber, l_orderkey AS id
     FROM lineitem""")

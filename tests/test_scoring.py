@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -195,3 +197,79 @@ def test_score_file(spark, tmp_path):
     back = spark.read.option("header", "true").csv(out)
     assert back.columns == ["timestamp", "y_pred"]
     assert sorted((r.timestamp, float(r.y_pred)) for r in back.collect()) == [("2024-01-01", 2.25), ("2024-01-02", 3.25)]
+
+
+def forest(spark, name, n_trees, n_features, seed, kinds=("nan",), average=False, objective="regression"):
+    """A random model of depth 3, and its trees for a walk row by row."""
+    rng = np.random.default_rng(seed)
+    trees = []
+    for _ in range(n_trees):
+        tree = {n: sc.Node(f"f{rng.integers(n_features)}", float(rng.normal()), bool(rng.integers(2)), 2 * n + 1, 2 * n + 2, None,
+                           str(rng.choice(kinds))) for n in range(7)}
+        trees.append(tree | {n: sc.Node(None, None, False, None, None, float(rng.integers(-64, 64)) / 32) for n in range(7, 15)})
+    return sc.TreeModel(name, tuple(f"f{i}" for i in range(n_features)), tuple(trees), objective, average=average)
+
+
+def walk(model, values):
+    total = 0.0
+    for tree in model.trees:
+        node = tree[0]
+        while node.leaf_value is None:
+            v = values.get(node.feature)
+            if node.missing_type == "nan":
+                left = node.default_left if v is None else v <= node.threshold
+            elif node.missing_type == "zero":
+                left = node.default_left if v is None or abs(v) <= sc.ZERO_THRESHOLD else v <= node.threshold
+            else:
+                left = (v or 0.0) <= node.threshold
+            node = tree[node.left if left else node.right]
+        total += node.leaf_value
+    return total / len(model.trees) if model.average else total
+
+
+@pytest.mark.parametrize("kinds", [("nan",), ("nan", "zero", "none")])
+def test_json_of_many_features_and_trees(spark, kinds):
+    rng = np.random.default_rng(3)
+    many, few = forest(spark, "many", 300, 500, 1, kinds), forest(spark, "few", 4, 30, 2, kinds, average=True)
+    rows = []
+    for i in range(60):
+        held = {f"f{k}": None if rng.random() < 0.1 else (0.0 if rng.random() < 0.1 else float(rng.normal())) for k in range(500)}
+        rows.append((i, json.dumps(held), held))
+    df = spark.createDataFrame([r[:2] for r in rows], "id int, features string")
+    made = sc.score_json(df, [many, few])
+    got = {(r.id, r.model_path): r.y_pred for r in made.collect()}
+    assert got == {(i, m.path): pytest.approx(walk(m, held)) for i, _, held in rows for m in (many, few)}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") <= 3 and plan.count("ArrowEvalPython") == 1  # values, and variants where a value is NULL
+    assert "element_at" not in plan and "map<string" not in plan
+
+
+ODD_JSON = [
+    ("ok", '{"a":1,"b":2,"c":"text"}', 3.0, 3.0), ("null", '{"a":null,"b":2}', 2.0, 2.0), ("absent", '{"b":2}', None, 2.0),
+    ("nan", '{"a":NaN,"b":2}', 2.0, 2.0), ("text", '{"a":"1","b":2}', None, 2.0), ("nested", '{"a":{"b":1},"b":2}', None, 2.0),
+    ("broken", '{"a":1,', None, 0.0), ("list", "[1]", None, 0.0), ("empty", "{}", None, 0.0), ("none", None, None, 0.0), ("blank", "", None, 0.0),
+    ("case", '{"A":9,"a":1,"b":2}', 3.0, 3.0), ("twice", '{"a":1,"a":5,"b":2}', 7.0, 7.0)]
+
+
+@pytest.mark.parametrize("method", ["expression", "batch"])
+def test_odd_json(spark, method):
+    """A model that adds a and b, by thresholds at whole numbers; a missing value adds nothing."""
+    def count(name):
+        return tuple({0: sc.Node(name, k + 0.5, True, 1, 2, None), 1: sc.Node(None, None, False, None, None, 0.0),
+                      2: sc.Node(None, None, False, None, None, 1.0)} for k in range(10))
+
+    model = sc.TreeModel("sum", ("a", "b"), count("a") + count("b"))
+    df = spark.createDataFrame([r[:2] for r in ODD_JSON], "id string, features string")
+    strict = {r.id: r.y_pred for r in sc.score_json(df, [model], method=method).collect()}
+    assert strict == {i: y for i, _, y, _ in ODD_JSON if y is not None}
+    loose = {r.id: r.y_pred for r in sc.score_json(df, [model], method=method, strict=False).collect()}
+    assert loose == {i: y for i, _, _, y in ODD_JSON}
+
+
+def test_feature_names_that_differ_in_case_or_hold_dots(spark):
+    names = ("x.y", "X.Y", "a b", "`q`")
+    tree = {0: sc.Node("X.Y", 1.0, True, 1, 2, None), 1: sc.Node(None, None, False, None, None, -1.0), 2: sc.Node(None, None, False, None, None, 1.0)}
+    df = spark.createDataFrame([(1, '{"x.y":0,"X.Y":5,"a b":1,"`q`":2}'), (2, '{"x.y":5,"X.Y":0,"a b":1,"`q`":2}'), (3, '{"x.y":5}')], "id int, features string")
+    for method in ("expression", "batch"):
+        got = {r.id: r.y_pred for r in sc.score_json(df, [sc.TreeModel("m", names, (tree,))], method=method).collect()}
+        assert got == {1: 1.0, 2: -1.0}
