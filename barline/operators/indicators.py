@@ -14,14 +14,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from barline.functions.columns import TIMEFRAME_HOURS, number
 from barline.functions.scans import DEFAULT_BLOCK_ROWS, DEFAULT_CHUNK_HOURS, POSITION, over_rows, positions
-from barline.operators.series import continuity, partial_bars, resample_bars
+from barline.operators.series import bars_so_far, by_timeframe, continuity, longer_bars, reached
+from barline.session import cut
 
 # Rows after which an exponential average has forgotten its start to double
 # precision: (1 - alpha)^n below this.
@@ -148,35 +148,52 @@ def lag_features(bars: DataFrame, columns: Sequence[str] = ("close",), lags: int
     return over_rows(slim, keys, ["ts"], shifted, before=lags, chunk_hours=chunk_hours)
 
 
-def _history(full: DataFrame, spec: IndicatorSpec, keys: Sequence[str], rows: int, chunk_hours: int) -> DataFrame:
+def _per_timeframe(made: Mapping[str, Column], otherwise: Column | None = None) -> Column:
+    """The column of a row's timeframe."""
+    out = otherwise
+    for timeframe, column in made.items():
+        here = F.col("timeframe") == timeframe
+        out = F.when(here, column) if out is None else F.when(here, column).otherwise(out)
+    return out
+
+
+def _history(full: DataFrame, spec: IndicatorSpec, keys: Sequence[str], rows: Mapping[str, int], chunk_hours: int) -> DataFrame:
     """What the indicators of a timeframe's newest bar need from the bars
     before it: sums over them and averages as of the bar before. Averages see
-    the newest ``rows`` bars only, the newest one included."""
-    fast, slow = spec.macd
+    the newest ``rows`` bars of the timeframe only, the newest one included. All timeframes go through one pass."""
     placed = positions(full, keys, ["bar_ts"], chunk_hours=chunk_hours)
     smoothed = ema_columns(placed, "close", spec.macd, keys, ["bar_ts"], also=_step)
 
     def sums(w: WindowSpec) -> dict[str, Column]:
+        def framed(first: Callable[[int], int], value: Callable[[WindowSpec], Column]) -> Column:
+            by_first: dict[int, list[str]] = {}
+            for timeframe, n in rows.items():
+                by_first.setdefault(first(n), []).append(timeframe)
+            return _per_timeframe({tf: value(w.rowsBetween(k, -1)) for k, tfs in by_first.items() for tf in tfs})
+
         made = {}
         for n in spec.sma:
-            f = w.rowsBetween(max(1 - n, 1 - rows), -1)
-            made[f"_sum_{n}"], made[f"_cnt_{n}"] = F.sum("close").over(f), F.count("close").over(f)
-        f = w.rowsBetween(max(1 - spec.volume_ma, 1 - rows), -1)
-        made["_vsum"], made["_vcnt"] = F.sum("volume").over(f), F.count("volume").over(f)
+            made[f"_sum_{n}"] = framed(lambda r, n=n: max(1 - n, 1 - r), lambda f: F.sum("close").over(f))
+            made[f"_cnt_{n}"] = framed(lambda r, n=n: max(1 - n, 1 - r), lambda f: F.count("close").over(f))
+        made["_vsum"] = framed(lambda r: max(1 - spec.volume_ma, 1 - r), lambda f: F.sum("volume").over(f))
+        made["_vcnt"] = framed(lambda r: max(1 - spec.volume_ma, 1 - r), lambda f: F.count("volume").over(f))
         # The average over the last rows-1 bars, started at the first of them:
         # the full average minus what the bars before that one contribute.
-        for s in (fast, slow):
-            keep = (1.0 - _alpha(s)) ** max(rows - 2, 0)
-            start = F.lag(f"_ema_{s}", rows - 1).over(w) - F.lag("close", rows - 1).over(w)
-            made[f"_past_{s}"] = F.lag(f"_ema_{s}").over(w) - F.coalesce(start * keep, F.lit(0.0))
+        for s in spec.macd:
+            def past(r: int, s: int = s) -> Column:
+                keep = (1.0 - _alpha(s)) ** max(r - 2, 0)
+                start = F.lag(f"_ema_{s}", r - 1).over(w) - F.lag("close", r - 1).over(w)
+                return F.lag(f"_ema_{s}").over(w) - F.coalesce(start * keep, F.lit(0.0))
+
+            made[f"_past_{s}"] = _per_timeframe({tf: past(r) for tf, r in rows.items()})
         # The first bar in view has no bar to move from.
-        f = w.rowsBetween(max(1 - spec.rsi, min(2 - rows, -1)), -1)
-        made["_gain"] = F.sum(F.greatest(F.col("_step"), F.lit(0.0))).over(f)
-        made["_loss"] = F.sum(F.greatest(-F.col("_step"), F.lit(0.0))).over(f)
-        made["_moves"] = F.count("_step").over(f)
+        moved = lambda r: max(1 - spec.rsi, min(2 - r, -1))
+        made["_gain"] = framed(moved, lambda f: F.sum(F.greatest(F.col("_step"), F.lit(0.0))).over(f))
+        made["_loss"] = framed(moved, lambda f: F.sum(F.greatest(-F.col("_step"), F.lit(0.0))).over(f))
+        made["_moves"] = framed(moved, lambda f: F.count("_step").over(f))
         return made
 
-    reach = max(spec.reach, rows)
+    reach = max(spec.reach, *rows.values())
     made = over_rows(smoothed, keys, ["bar_ts"], sums, before=reach)
     return made.drop("open", "high", "low", "close", "volume", "_step", POSITION, *[f"_ema_{s}" for s in spec.macd])
 
@@ -188,36 +205,37 @@ def recompute_features(bars: DataFrame, targets: DataFrame, base_hours: int = 72
     """One wide row of indicators per target, as seen at the target's time.
 
     Targets need a gapless history of ``base_hours + buffer_hours`` (the rest
-    are left out); the indicators see ``base_hours`` of it.
+    are left out); the indicators see ``base_hours`` of it, so no other bars are
+    read. Without ``require_gapless`` gaps are made up for from further back, which reads whole series.
     """
     keys = list(keys)
-    on = [*keys, "ts"]
+    on, frame_keys = [*keys, "ts"], [*keys, "timeframe"]
     clean = bars.where(number("close").isNotNull())
-    asked = targets.select(*on).distinct()
-    wanted = asked
+    wanted = targets.select(*on).distinct()
     if require_gapless:
-        whole = continuity(bars, asked, base_hours + max(0, buffer_hours), keys, chunk_hours)
-        wanted = whole.where("continuous").select(*on)
+        history = base_hours + max(0, buffer_hours)
+        wanted = continuity(reached(bars, wanted, history, keys), wanted, history, keys).where("continuous").select(*on)
+        wanted = cut(wanted)  # the targets that count; all that follows is bounded by them
+        clean = reached(clean, wanted, history + max(TIMEFRAME_HOURS[tf] for tf in timeframes), keys)
     fast, slow = spec.macd
-    frames = [wanted]
-    for timeframe in timeframes:
-        rows = max(2, base_hours // TIMEFRAME_HOURS[timeframe])
-        full = resample_bars(clean, timeframe, keys).withColumnRenamed("ts", "bar_ts")
-        past = _history(full, spec, keys, rows, chunk_hours)
-        now = partial_bars(clean, timeframe, keys).join(asked, on, "left_semi")
-        seen = now.join(past, [*keys, "bar_ts"])
-        close, volume = F.col("close"), F.col("volume")
-        step = close - F.col("_prev_close")
-        made = {}
-        for n in spec.sma:
-            made[f"close_sma_{n}_{timeframe}"] = F.when(
-                F.col(f"_cnt_{n}") == n - 1, (F.coalesce(F.col(f"_sum_{n}"), F.lit(0.0)) + close) / n)
-        made[f"volume_ma_{spec.volume_ma}_{timeframe}"] = F.when(
-            F.col("_vcnt") == spec.volume_ma - 1, (F.coalesce("_vsum", F.lit(0.0)) + volume) / spec.volume_ma)
-        gain = F.coalesce("_gain", F.lit(0.0)) + F.greatest(step, F.lit(0.0))
-        loss = F.coalesce("_loss", F.lit(0.0)) + F.greatest(-step, F.lit(0.0))
-        made[f"close_rsi_{spec.rsi}_{timeframe}"] = F.when(F.col("_moves") == spec.rsi - 1, rsi_value(gain, loss))
-        ends = [F.coalesce((1.0 - _alpha(s)) * F.col(f"_past_{s}") + _alpha(s) * close, close) for s in (fast, slow)]
-        made[f"close_macd_{timeframe}"] = ends[0] - ends[1]
-        frames.append(seen.select(*on, *[c.alias(n) for n, c in made.items()]))
-    return reduce(lambda a, b: a.join(b, on), frames)
+    rows = {tf: max(2, base_hours // TIMEFRAME_HOURS[tf]) for tf in timeframes}
+    placed = by_timeframe(clean, timeframes, keys)
+    past = _history(longer_bars(placed, frame_keys), spec, frame_keys, rows, chunk_hours)
+    now = bars_so_far(placed, frame_keys, wanted)
+    seen = now.join(past, [*frame_keys, "bar_ts"])
+    close, volume = F.col("close"), F.col("volume")
+    step = close - F.col("_prev_close")
+    made = {}
+    for n in spec.sma:
+        made[f"close_sma_{n}"] = F.when(F.col(f"_cnt_{n}") == n - 1, (F.coalesce(F.col(f"_sum_{n}"), F.lit(0.0)) + close) / n)
+    made[f"volume_ma_{spec.volume_ma}"] = F.when(
+        F.col("_vcnt") == spec.volume_ma - 1, (F.coalesce("_vsum", F.lit(0.0)) + volume) / spec.volume_ma)
+    gain = F.coalesce("_gain", F.lit(0.0)) + F.greatest(step, F.lit(0.0))
+    loss = F.coalesce("_loss", F.lit(0.0)) + F.greatest(-step, F.lit(0.0))
+    made[f"close_rsi_{spec.rsi}"] = F.when(F.col("_moves") == spec.rsi - 1, rsi_value(gain, loss))
+    ends = [F.coalesce((1.0 - _alpha(s)) * F.col(f"_past_{s}") + _alpha(s) * close, close) for s in (fast, slow)]
+    made["close_macd"] = ends[0] - ends[1]
+    # one row per target: at most one row per timeframe meets in a group
+    wide = [F.max(F.when(F.col("timeframe") == tf, c)).alias(f"{n}_{tf}") for tf in timeframes for n, c in made.items()]
+    there = F.count_if(F.col("timeframe").isin(list(timeframes)))
+    return seen.groupBy(*on).agg(*wide, there.alias("_there")).where(F.col("_there") == len(timeframes)).drop("_there")

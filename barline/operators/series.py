@@ -32,7 +32,7 @@ def ticks_to_bars(ticks: DataFrame, *, series: str = "series", ts: str = "ts", v
     )
 
 
-def _longer_bars(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+def longer_bars(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per longer bar (column ``bar_ts``), combined map-side first."""
     return placed.groupBy(*keys, "bar_ts").agg(
         F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
@@ -43,7 +43,7 @@ def resample_bars(bars: DataFrame, timeframe: str, keys: Sequence[str] = ("serie
     """Bars of a longer timeframe, labelled by their start; a last bar that is
     not full yet is kept."""
     placed = bars.withColumn("bar_ts", floor_timeframe("ts", TIMEFRAME_HOURS[timeframe]))
-    return _longer_bars(placed, keys).withColumnRenamed("bar_ts", "ts")
+    return longer_bars(placed, keys).withColumnRenamed("bar_ts", "ts")
 
 
 def target_name(horizon: int, log: bool = True, label: str | None = None) -> str:
@@ -112,7 +112,27 @@ def obv(bars: DataFrame, keys: Sequence[str] = ("series",), chunk_hours: int = D
     return summed.select(*keys, "ts", "obv")
 
 
-def _by_timeframe(bars: DataFrame, timeframes: Sequence[str], keys: Sequence[str]) -> DataFrame:
+def reached(bars: DataFrame, targets: DataFrame, reach_hours: int, keys: Sequence[str] = ("series",)) -> DataFrame:
+    """The bars that the ``reach_hours`` up to some target can touch, and no
+    more than as many again.
+
+    The scan is bounded by the first and last target (one row comes to the
+    driver). Each target then names the two or three cells of ``reach_hours``
+    that its interval meets; bars of other cells and series are passed over by
+    an equi-join, so intervals that overlap are read once.
+    """
+    span = targets.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    if span.lo is None:
+        return bars.where(F.lit(False))
+    step = max(1, reach_hours) * 3600
+    seconds = epoch_seconds("ts")
+    cells = F.sequence(F.floor((seconds - reach_hours * 3600) / step), F.floor(seconds / step))
+    met = targets.select(*keys, F.explode(cells).alias("_cell")).distinct()
+    near = in_range(bars, "ts", pd.Timestamp(span.lo) - pd.Timedelta(hours=reach_hours), span.hi)
+    return near.withColumn("_cell", F.floor(seconds / step)).join(met, [*keys, "_cell"], "left_semi").drop("_cell")
+
+
+def by_timeframe(bars: DataFrame, timeframes: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Each bar once per timeframe, with the start of the longer bar it is in."""
     places = F.array(*[F.struct(F.lit(tf).alias("timeframe"), floor_timeframe("ts", TIMEFRAME_HOURS[tf]).alias("bar_ts"))
                        for tf in timeframes])
@@ -129,6 +149,15 @@ def _so_far(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.min("low").over(w).alias("low"), "close", F.sum("volume").over(w).alias("volume"))
 
 
+def bars_so_far(placed: DataFrame, keys: Sequence[str], targets: DataFrame) -> DataFrame:
+    """The longer bars that the targets (``ts`` and the keys they share) are in,
+    as known at their time. Only the longer bars of some target are put in order."""
+    on = [k for k in keys if k in targets.columns]
+    asked = placed.join(targets.select(*on, "ts").distinct(), [*on, "ts"], "left_semi").select(*keys, "bar_ts").distinct()
+    some = placed.join(asked, [*keys, "bar_ts"], "left_semi")
+    return _so_far(some, keys).join(targets.select(*on, "ts").distinct(), [*on, "ts"], "left_semi")
+
+
 def partial_bars(bars: DataFrame, timeframe: str, keys: Sequence[str] = ("series",)) -> DataFrame:
     """For every bar, the longer bar it falls in as known at that time:
     ``keys, ts, bar_ts, open..volume``."""
@@ -141,10 +170,14 @@ def partial_bars(bars: DataFrame, timeframe: str, keys: Sequence[str] = ("series
 
 def lookback(bars: DataFrame, targets: DataFrame, window_hours: int = 720,
              timeframes: Sequence[str] = tuple(TIMEFRAME_HOURS), keys: Sequence[str] = ("series",),
-             chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+             chunk_hours: int = DEFAULT_CHUNK_HOURS, reach_hours: int | None = None) -> DataFrame:
     """The trailing ``window_hours / timeframe`` bars of each target time, the
     last of them only as far as the target itself.
 
+    With ``reach_hours`` only bars of that many hours up to a target are read
+    for it (longer bars begin with the first whole one), so a series with gaps may have
+    fewer of them; without, gaps are made up for from further back, which reads whole series.
+
     Long form: ``keys, timeframe, ts_key, ts, bar_ts, open..volume``. All
     timeframes go through one plan. Bars are numbered per series and timeframe;
     a bar joins the targets of its own and the next block of positions, so the
@@ -154,8 +187,10 @@ def lookback(bars: DataFrame, targets: DataFrame, window_hours: int = 720,
     frame_keys = [*keys, "timeframe"]
     sizes = {tf: max(1, window_hours // TIMEFRAME_HOURS[tf]) for tf in timeframes}
     n = F.element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), F.col("timeframe"))
-    placed = _by_timeframe(bars, timeframes, keys)
-    full = positions(_longer_bars(placed, frame_keys), frame_keys, ["bar_ts"], chunk_hours=chunk_hours)
+    if reach_hours is not None:
+        bars = reached(bars, targets, reach_hours, keys)
+    placed = by_timeframe(bars, timeframes, keys)
+    full = positions(longer_bars(placed, frame_keys), frame_keys, ["bar_ts"], chunk_hours=chunk_hours)
     wanted = targets.select(*keys, "ts").distinct()
     current = _so_far(placed, frame_keys).join(wanted, [*keys, "ts"], "left_semi")
     ends = current.join(full.select(*frame_keys, "bar_ts", F.col("_pos").alias("_end")), [*frame_keys, "bar_ts"])
@@ -166,6 +201,8 @@ def lookback(bars: DataFrame, targets: DataFrame, window_hours: int = 720,
         .join(blocks, [*frame_keys, "_block"])
         .where((F.col("_pos") < F.col("_end")) & (F.col("_pos") > F.col("_end") - n))
     )
+    if reach_hours is not None:
+        earlier = earlier.where(F.col("bar_ts") >= F.col("ts") - hours(reach_hours))
     columns = [*frame_keys, "ts", "bar_ts", *BAR_COLUMNS]
     rows = stack(earlier.select(*columns), ends.select(*columns))
     return rows.select(*frame_keys, ts_key("ts").alias("ts_key"), "ts", "bar_ts", *BAR_COLUMNS)
@@ -198,33 +235,38 @@ def validate_exact(store: DataFrame, base_hours: int = 720, keys: Sequence[str]
     return checked.withColumns({"expected": expected, "exact": exact})
 
 
-def continuity(bars: DataFrame, targets: DataFrame, window_hours: int, keys: Sequence[str] = ("series",),
-               chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+def continuity(bars: DataFrame, targets: DataFrame, window_hours: int, keys: Sequence[str] = ("series",)) -> DataFrame:
     """Whether each target has exactly one bar per hour over the last
     ``window_hours`` up to it: ``keys, ts, present_hours, continuous``.
+    :func:`reached` tells which bars it needs.
 
-    Good hours (one bar, on the hour) are counted once along each series; a
-    window is gapless when its count equals its length. All targets share that
-    one count.
+    Time is cut into cells as long as the window, so that a window is the
+    beginning of the target's cell and the end of the cell before. Good hours
+    (one bar, on the hour) are counted once along each cell, which bars and
+    targets reach in one shuffle; a target adds up its two parts in a second one.
     """
     keys = list(keys)
-    wanted = targets.select(*keys, "ts").distinct()
     hour, none = floor_hour("ts"), F.lit(0)
-    bar_rows = bars.select(*keys, hour.alias("ts"), F.lit(1).alias("_n"), (F.col("ts") == hour).cast("int").alias("_on"))
-    # Points at which the running count is read: each target, and the hour
-    # just before its window.
-    ends = targets.select(*keys, "ts", none.alias("_n"), none.alias("_on"))
-    starts = ends.withColumn("ts", F.col("ts") - hours(window_hours))
-    seen = stack(bar_rows, ends, starts).groupBy(*keys, "ts").agg(F.sum("_n").alias("_n"), F.sum("_on").alias("_on"))
-    line = seen.select(*keys, "ts", ((F.col("_n") == 1) & (F.col("_on") == 1)).cast("long").alias("_good"))
-    counted = running(line, keys, ["ts"], sums={"_seen": F.col("_good")}, chunk_hours=chunk_hours)
-    upto = counted.select(*keys, "ts", F.col("_seen").alias("_upto"))
-    before = counted.select(*keys, (F.col("ts") + hours(window_hours)).alias("ts"), F.col("_seen").alias("_before"))
-    present = F.col("_upto") - F.col("_before")
+    step = max(1, window_hours) * 3600
+    bar_rows = bars.select(*keys, hour.alias("ts"), F.lit(1).alias("_n"), (F.col("ts") == hour).cast("int").alias("_on"), none.alias("_end"),
+                           none.alias("_start"))
+    ends = targets.select(*keys, "ts", none.alias("_n"), none.alias("_on"), F.lit(1).alias("_end"), none.alias("_start"))
+    starts = targets.select(*keys, (F.col("ts") - hours(window_hours)).alias("ts"), none.alias("_n"), none.alias("_on"), none.alias("_end"),
+                            F.lit(1).alias("_start"))
+    cell = F.floor(epoch_seconds("ts") / step).alias("_cell")
+    dealt = stack(bar_rows, ends, starts).select("*", cell).repartition(*keys, "_cell")
+    line = dealt.groupBy(*keys, "_cell", "ts").agg(
+        ((F.sum("_n") == 1) & (F.sum("_on") == 1)).cast("long").alias("_good"), F.max("_end").alias("_end"), F.max("_start").alias("_start"))
+    along = Window.partitionBy(*keys, "_cell").orderBy("ts")
+    whole = F.sum("_good").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    counted = line.select(*keys, "ts", "_end", "_start", F.sum("_good").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("_upto"),
+                          whole.alias("_whole"))
+    parts = F.array_compact(F.array(
+        F.when(F.col("_end") == 1, F.struct("ts", F.col("_upto").alias("n"))),
+        F.when(F.col("_start") == 1, F.struct((F.col("ts") + hours(window_hours)).alias("ts"), (F.col("_whole") - F.col("_upto")).alias("n")))))
+    each = counted.select(*keys, F.explode(parts).alias("_p")).groupBy(*keys, F.col("_p.ts").alias("ts")).agg(F.sum("_p.n").alias("present_hours"))
     on_hour = F.col("ts") == floor_hour("ts")
-    return (wanted.join(upto, [*keys, "ts"]).join(before, [*keys, "ts"])
-            .select(*keys, "ts", present.alias("present_hours"),
-                    ((present == window_hours) & on_hour).alias("continuous")))
+    return each.withColumn("continuous", (F.col("present_hours") == window_hours) & on_hour)
 
 
 class BrokenHistory(ValueError):
