@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -102,7 +104,7 @@ def test_continuity(spark, hourly, bars_of, chunk_hours):
     pdf = hourly(40, drop=[12])
     twice = pd.concat([pdf, pdf[pdf.ts == "2024-01-01 20:00"]])
     bars = bars_of(twice)
-    got = {r.ts.hour + 24 * (r.ts.day - 1): r.continuous for r in w.continuity(bars, bars, 5, chunk_hours=chunk_hours).collect()}
+    got = {r.ts.hour + 24 * (r.ts.day - 1): r.continuous for r in w.continuity(bars, bars, 5).collect()}
     want = {h: not (h < 4 or 12 <= h <= 16 or 20 <= h <= 24) for h in range(40) if h != 12}
     assert got == want
     absent = spark.createDataFrame([("s", datetime(2024, 1, 1, 12))], "series string, ts timestamp_ntz")
@@ -177,3 +179,55 @@ def test_lags(hourly, bars_of):
     got = ind.lag_features(bars_of(pdf), ["close"], 14, "4H").toPandas().sort_values("ts")
     assert np.allclose(got["close_lag_14_4H"].astype(float), pdf.close.shift(14), equal_nan=True)
     assert list(got.columns)[:3] == ["series", "ts", "close_4H"]
+
+
+def far_apart(spark):
+    """Two long series with a gap each, and three targets."""
+    bars = spark.range(2 * 6000).where("id % 6000 not in (40, 3000)").select(
+        F.concat(F.lit("s"), F.floor(F.col("id") / 6000).cast("string")).alias("series"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(hours=(F.col("id") % 6000).cast("int"))).alias("ts"),
+        (F.col("id") % 97).cast("double").alias("open"), (F.col("id") % 97 + 2).cast("double").alias("high"),
+        (F.col("id") % 97 - 2).cast("double").alias("low"), (F.col("id") % 89).cast("double").alias("close"), F.lit(3.0).alias("volume"))
+    start = datetime(2024, 1, 1)
+    wanted = [("s0", start + timedelta(hours=2000)), ("s0", start + timedelta(hours=3010)), ("s1", start + timedelta(hours=2100)),
+              ("s1", start + timedelta(hours=2900))]
+    return bars, spark.createDataFrame(wanted, "series string, ts timestamp_ntz")
+
+
+def test_few_targets_read_the_bars_they_need(spark, tmp_path):
+    bars, targets = far_apart(spark)
+    bars.write.parquet(str(tmp_path / "bars"))
+    stored = spark.read.parquet(str(tmp_path / "bars"))
+    near = w.reached(stored, targets, 100)
+    kept = {(r.series, r.ts) for r in near.collect()}
+    for t in targets.collect():
+        for h in range(101):
+            there = (t.series, t.ts - timedelta(hours=h))
+            assert there in kept or stored.where((F.col("series") == t.series) & (F.col("ts") == there[1])).isEmpty()
+    assert len(kept) <= 2 * 101 * 4
+    spec = ind.IndicatorSpec(sma=(5,), rsi=4, macd=(3, 6), volume_ma=5)
+    made = ind.recompute_features(stored, targets, 96, 6, ["1H", "4H", "1D"], spec)
+    shown = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.maxMetadataStringLength", shown)
+    scans = re.findall(r"FileScan parquet .*?PushedFilters: \[(.*?)\]", plan)
+    assert scans and all("GreaterThanOrEqual(ts" in s and "LessThanOrEqual(ts" in s for s in scans)
+    got = {(r.series, r.ts): r for r in made.collect()}
+    assert len(got) == 3  # the target ten hours after a gap has no whole history
+    whole = ind.recompute_features(bars, targets, 96, 6, ["1H", "4H", "1D"], spec, require_gapless=False)
+    for r in whole.where("ts <> '2024-05-05 10:00:00'").collect():
+        assert list(got[r.series, r.ts])[2:] == [x if x is None else pytest.approx(x) for x in list(r)[2:]]
+
+
+def test_lookback_within_reach(spark):
+    bars, targets = far_apart(spark)
+    near = w.lookback(bars, targets, 48, ["1H", "4H"], reach_hours=54)
+    full = w.lookback(bars, targets, 48, ["1H", "4H"])
+    rows = lambda df: {tuple(r) for r in df.where("ts <> '2024-05-05 10:00:00'").collect()}
+    assert rows(near) == rows(full)
+    over_gap = "timeframe = '1H' and ts = '2024-05-05 10:00:00'"
+    assert full.where(over_gap).count() == near.where(over_gap).count() == 48
+    short = w.lookback(bars, targets, 48, ["1H"], reach_hours=47).groupBy("ts").count().collect()
+    assert {r["count"] for r in short if r.ts != datetime(2024, 5, 5, 10)} == {48} and min(r["count"] for r in short) == 47
+    assert w.lookback(bars, targets.limit(0), 48, ["1H"], reach_hours=47).count() == 0
