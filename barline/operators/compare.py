@@ -33,36 +33,47 @@ def long_pairs(a: DataFrame, b: DataFrame, columns: Sequence[str], on: Sequence[
     return rows.select(*on, "_e.column", "_e.a", "_e.b").withColumn("diff", F.col("a") - F.col("b"))
 
 
-def _summary(pairs: DataFrame, counted: Column, measured: Column, keys: Sequence[str]) -> DataFrame:
+def _summary(pairs: DataFrame, counted: Column, measured: Column, keys: Sequence[str], largest: int = 0,
+             on: Sequence[str] = ()) -> DataFrame:
     """Counts of ``counted`` rows and statistics of ``diff`` over ``measured``
-    rows per key; the median is exact and found without a full sort.
+    rows per key; the median is exact and found without a full sort. With
+    ``largest``, the column ``largest`` lists the rows (``on``, ``a``, ``b``,
+    ``diff``) of the largest absolute differences, equal ones in order of ``on``.
 
-    The median takes several passes, so the measured differences are stored
-    once instead of joining both sources again for each pass.
+    All of it comes from one narrow table of the differences, stored first: the
+    sources are joined a single time. Spark removes it with the result (see
+    ``cleanCheckpoints`` in :func:`barline.session.build_session`).
     """
-    keys = list(keys)
-    d = F.when(measured, F.col("diff"))
-    stats = pairs.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if(counted).alias("n_diff"), F.avg(d).alias("mean_diff"),
+    keys, shown = list(keys), [*on, "a", "b"] if largest else []
+    kept = cut(pairs.select(*dict.fromkeys([*keys, *shown, "diff"]), counted.alias("_counted"), measured.alias("_measured")))
+    d = F.when(F.col("_measured"), F.col("diff"))
+    stats = kept.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("_counted").alias("n_diff"), F.avg(d).alias("mean_diff"),
         F.min(d).alias("min_diff"), F.max(d).alias("max_diff"), F.stddev_pop(d).alias("std_diff"))
-    middle = medians(cut(pairs.where(measured).select(*keys, "diff")), "diff", keys, name="median_diff")
-    if keys:
-        return stats.join(middle, keys, "left")
+    more = [medians(kept.where("_measured").select(*keys, "diff"), "diff", keys, name="median_diff")]
+    if largest:
+        top = top_k_abs_diff(kept.where("_measured"), largest, keys, on)
+        row = F.struct(F.negative("abs_diff").alias("_by"), *on, "a", "b", "diff")
+        listed = F.transform(F.sort_array(F.collect_list(row)), lambda r: F.struct(*[r[c].alias(c) for c in [*on, "a", "b", "diff"]]))
+        more.append(top.groupBy(*keys).agg(listed.alias("largest")))  # at most ``largest`` rows per key
     one = F.lit(1)
-    return stats.withColumn("_k", one).join(middle.withColumn("_k", one), "_k", "left").drop("_k")
+    for part in more:
+        stats = (stats.join(part, keys, "left") if keys else
+                 stats.withColumn("_k", one).join(part.withColumn("_k", one), "_k", "left").drop("_k"))
+    return stats
 
 
-def diff_stats_nonzero(pairs: DataFrame, keys: Sequence[str] = ("column",)) -> DataFrame:
+def diff_stats_nonzero(pairs: DataFrame, keys: Sequence[str] = ("column",), largest: int = 0, on: Sequence[str] = ()) -> DataFrame:
     """Statistics over non-zero differences. A missing difference counts as
     differing and is left out of the statistics."""
     differs = F.col("diff").isNull() | (F.col("diff") != 0)
-    return _summary(pairs, differs, F.col("diff") != 0, keys)
+    return _summary(pairs, differs, F.coalesce(F.col("diff") != 0, F.lit(False)), keys, largest, on)
 
 
-def diff_stats_all(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def diff_stats_all(pairs: DataFrame, keys: Sequence[str] = (), largest: int = 0, on: Sequence[str] = ()) -> DataFrame:
     """Statistics over all differences, and the number of non-zero ones."""
     differs = F.col("diff").isNull() | (F.col("diff") != 0)
-    return _summary(pairs, differs, F.col("diff").isNotNull(), keys)
+    return _summary(pairs, differs, F.col("diff").isNotNull(), keys, largest, on)
 
 
 def top_k_abs_diff(pairs: DataFrame, k: int = 5, keys: Sequence[str] = ("column",), tie: Sequence[str] = ("ts",)
@@ -72,15 +83,23 @@ def top_k_abs_diff(pairs: DataFrame, k: int = 5, keys: Sequence[str] = ("column"
     Spark keeps ``k`` rows per key and map task before it shuffles.
     """
     nonzero = pairs.where(F.col("diff") != 0).withColumn("abs_diff", F.abs("diff"))
-    order = Window.partitionBy(*keys).orderBy(F.desc("abs_diff"), *tie) if keys else None
-    if order is None:
+    if not keys:
         return nonzero.orderBy(F.desc("abs_diff"), *tie).limit(k)
+    order = Window.partitionBy(*keys).orderBy(F.desc("abs_diff"), *tie)
     return nonzero.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def compare_bars(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES_TS) -> DataFrame:
-    """Per bar column: joined rows, differing rows, statistics."""
-    return diff_stats_nonzero(long_pairs(a, b, BAR_COLUMNS, on))
+#: Differences that the comparisons list.
+LARGEST = 5
+
+
+def compare_bars(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES_TS, largest: int = LARGEST) -> DataFrame:
+    """Per bar column: joined rows, differing rows, statistics, largest differences."""
+    return diff_stats_nonzero(long_pairs(a, b, BAR_COLUMNS, on), largest=largest, on=_time_first(on))
+
+
+def _time_first(on: Sequence[str]) -> list[str]:
+    return sorted(on, key=lambda c: c != "ts")
 
 
 def score_pairs(a: DataFrame, b: DataFrame, on: Sequence[str] = SCORE_KEY) -> DataFrame:
@@ -88,9 +107,10 @@ def score_pairs(a: DataFrame, b: DataFrame, on: Sequence[str] = SCORE_KEY) -> Da
     return pairs.withColumn("diff", F.col("a") - F.col("b"))
 
 
-def compare_predictions(a: DataFrame, b: DataFrame, on: Sequence[str] = SCORE_KEY) -> DataFrame:
-    """Exact comparison of scores on common keys."""
-    return diff_stats_all(score_pairs(a, b, on))
+def compare_predictions(a: DataFrame, b: DataFrame, on: Sequence[str] = SCORE_KEY, largest: int = LARGEST, keys: Sequence[str] = ()
+                        ) -> DataFrame:
+    """Exact comparison of scores on common keys; in all or per ``keys``."""
+    return diff_stats_all(score_pairs(a, b, on), keys, largest, _time_first(on))
 
 
 def shared_features(a: DataFrame, b: DataFrame, on: Sequence[str]) -> list[str]:
@@ -98,13 +118,14 @@ def shared_features(a: DataFrame, b: DataFrame, on: Sequence[str]) -> list[str]:
     return [c for c in a.columns if c in b.columns and c not in on and not c.lower().startswith("y")]
 
 
-def compare_features_wide(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES_TS, tol: float = 1e-9) -> DataFrame:
+def compare_features_wide(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES_TS, tol: float = 1e-9, largest: int = LARGEST
+                          ) -> DataFrame:
     """Per shared column with mismatches: count and statistics over them.
 
     A mismatch is ``|a-b| > tol``; a value only one side has is none.
     """
     pairs = long_pairs(a, b, shared_features(a, b, on), on).where(F.abs("diff") > tol)
-    return _summary(pairs, F.lit(True), F.lit(True), ["column"]).drop("n_rows")
+    return _summary(pairs, F.lit(True), F.lit(True), ["column"], largest, _time_first(on)).drop("n_rows")
 
 
 def compare_maps(a: DataFrame, b: DataFrame, on: Sequence[str] = SERIES_TS, tol: float = 1e-9) -> DataFrame:

@@ -29,6 +29,7 @@ def build_session(app_name: str = "barline", master: str | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config(UNION_PARTITIONING, "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # tables of cut() go with their frames
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
