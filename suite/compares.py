@@ -16,15 +16,14 @@ from suite.base import bars, bars_b, features, features_b, predictions, predicti
 @query("C1_compare_bars", "bars bars_b", f"""
     WITH {_PAIRS} SELECT "column", {_stats("CASE WHEN diff <> 0 THEN diff END")} FROM p GROUP BY "column" """)
 def compare_bars(spark, sf):
-    return _rounded(c.compare_bars(bars(spark, sf), bars_b(spark, sf)))
+    return _rounded(c.compare_bars(bars(spark, sf), bars_b(spark, sf)).drop("largest"))
 
 
 @query("C2_compare_predictions", "predictions predictions_b", f"""
     SELECT series, {_stats("diff")} FROM (SELECT series, a.y_pred - b.y_pred AS diff
       FROM predictions a JOIN predictions_b b USING (series, ts, model_path)) GROUP BY series""")
 def compare_predictions(spark, sf):
-    pairs = c.score_pairs(predictions(spark, sf), predictions_b(spark, sf))
-    return _rounded(c.diff_stats_all(pairs, ["series"]))
+    return _rounded(c.compare_predictions(predictions(spark, sf), predictions_b(spark, sf), keys=["series"]).drop("largest"))
 
 
 @query("C3_compare_features_wide", "bars bars_b", f"""
@@ -37,7 +36,7 @@ def features_wide(spark, sf):
     a = bars(spark, sf).withColumn("y_move", F.col("close") - F.col("open"))
     b = bars_b(spark, sf).withColumn("y_move", F.lit(9.0)).withColumn(
         "open", F.when(F.hour("ts") % 2 == 1, F.col("open")))
-    return _rounded(c.compare_features_wide(a, b))
+    return _rounded(c.compare_features_wide(a, b).drop("largest"))
 
 
 @query("C3_compare_lines_orders", "", f"""
@@ -48,7 +47,43 @@ def features_wide(spark, sf):
 def lines_orders(spark, sf):
     a = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_extendedprice").alias("price"))
     b = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
-    return _rounded(c.compare_features_wide(a, b, ["k"], 0.5))
+    return _rounded(c.compare_features_wide(a, b, ["k"], 0.5).drop("largest"))
+
+
+def _listed(out, *keys):
+    """One row per listed difference, with its place in the list."""
+    rows = out.select(*keys, F.posexplode("largest").alias("place", "_r")).select(*keys, (F.col("place") + 1).cast("long").alias("place"), "_r.*")
+    return rows.withColumns({x: r6(x) for x in ("a", "b", "diff")})
+
+
+_TOP = """SELECT {keys}, place, {on}, {a} AS a, {b} AS b, {d} AS diff FROM (
+      SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY abs(diff) DESC, {on}) AS place FROM ({rows}) WHERE diff <> 0) WHERE place <= 5"""
+
+
+@query("C1_largest", "bars bars_b", _TOP.format(keys='"column"', on="ts, series", a=rq("a"), b=rq("b"), d=rq("diff"), rows=" UNION ALL ".join(
+    f"""SELECT '{x}' AS "column", series, ts, a.{x} AS a, b.{x} AS b, a.{x} - b.{x} AS diff FROM bars a JOIN bars_b b USING (series, ts)"""
+    for x in BAR_COLUMNS)))
+def bars_largest(spark, sf):
+    return _listed(c.compare_bars(bars(spark, sf), bars_b(spark, sf)), "column")
+
+
+@query("C2_largest", "predictions predictions_b", _TOP.format(
+    keys="series", on="ts", a=rq("a"), b=rq("b"), d=rq("diff"), rows="""SELECT series, ts, a.y_pred AS a, b.y_pred AS b,
+      a.y_pred - b.y_pred AS diff FROM predictions a JOIN predictions_b b USING (series, ts, model_path)"""))
+def predictions_largest(spark, sf):
+    out = c.compare_predictions(predictions(spark, sf), predictions_b(spark, sf), on=("series", "ts", "model_path"), keys=["series"])
+    listed = out.select(F.col("series").alias("_s"), F.transform("largest", lambda r: r.dropFields("series", "model_path")).alias("largest"))
+    return _listed(listed, "_s").withColumnRenamed("_s", "series")
+
+
+@query("C3_largest", "", _TOP.format(keys='"column"', on="k", a=rq("a"), b=rq("b"), d=rq("diff"), rows="""
+      SELECT 'price' AS "column", o_orderkey AS k, l.p AS a, o_totalprice AS b, l.p - o_totalprice AS diff
+      FROM (SELECT l_orderkey, max(l_extendedprice) AS p FROM lineitem GROUP BY 1) l JOIN orders ON l_orderkey = o_orderkey
+      WHERE abs(l.p - o_totalprice) > 0.5"""))
+def lines_largest(spark, sf):
+    a = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.max("l_extendedprice").alias("price"))
+    b = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"))
+    return _listed(c.compare_features_wide(a, b, ["k"], 0.5), "column")
 
 
 def _longs(spark, sf):
