@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import (
     BAR_COLUMNS, TIMEFRAME_HOURS, epoch_seconds, floor_hour, floor_timeframe, hours, naive_utc, number, ts_key,
 )
-from barline.functions.scans import DEFAULT_BLOCK_ROWS, DEFAULT_CHUNK_HOURS, over_rows, positions, running
+from barline.functions.scans import DEFAULT_BLOCK_ROWS, DEFAULT_CHUNK_HOURS, POSITION, over_rows, positions, running
 from barline.operators.targets import Stamp
 from barline.session import stack
 from barline.sources.tables import in_range
@@ -61,18 +61,26 @@ def forward_return(bars: DataFrame, horizon: int, *, log: bool = True, min_forwa
     """
     if horizon <= 0:
         raise ValueError("horizon must be positive")
-    need = min_forward or horizon
+    keys, need = list(keys), min(min_forward or horizon, horizon)
+    slim = bars.select(*keys, "ts", number("close").alias("close"))
 
     def forward(w):
-        frame = w.rowsBetween(1, horizon)
-        return {"_n": F.count(F.lit(1)).over(frame), "_end": F.last("close").over(frame)}
-
-    slim = bars.select(*keys, "ts", number("close").alias("close"))
-    seen = over_rows(slim, keys, ["ts"], forward, after=horizon, chunk_hours=chunk_hours, block_rows=block_rows)
+        return {"_end": F.lead("close", horizon).over(w), "_there": F.lead(F.lit(True), horizon).over(w)}
+
+    placed = positions(slim, keys, ["ts"], chunk_hours=chunk_hours)
+    seen = over_rows(placed, keys, ["ts"], forward, after=horizon, chunk_hours=chunk_hours, block_rows=block_rows)
+    if need < horizon:  # towards the end of a series its last bar stands in
+        ends = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total"), F.max_by("close", "ts").alias("_last"))
+        seen = seen.join(ends, keys).withColumns({
+            "_end": F.when(F.col("_there"), F.col("_end")).otherwise(F.col("_last")),
+            "_there": F.col("_total") - 1 - F.col(POSITION) >= need})
     ratio = F.col("_end") / F.nullif(F.col("close"), F.lit(0.0))
     value = F.ln(ratio) if log else ratio - 1
-    out = seen.where(F.col("close").isNotNull() & (F.col("_n") >= need))
-    return out.select(*keys, "ts", value.alias("y_true")).where("y_true is not null")
+    return seen.where("close is not null and _there").select(*keys, "ts", value.alias("y_true")).where("y_true is not null")
+
+
+class NoTargets(ValueError):
+    """Nothing to make labels of."""
 
 
 def label_range(bars: DataFrame, start: Stamp, end: Stamp | None, horizon: int) -> DataFrame:
@@ -84,15 +92,29 @@ def label_range(bars: DataFrame, start: Stamp, end: Stamp | None, horizon: int)
 
 def generate_targets(bars: DataFrame, *, start: Stamp, end: Stamp | None = None, horizon: int = 168,
                      log: bool = True, min_forward: int | None = None, label: str | None = None,
-                     name: str | None = None, feature_key: str | None = None, keys: Sequence[str] = ("series",)
-                     ) -> DataFrame:
-    """Label rows for the entry bars in ``[start, end]``."""
+                     name: str | None = None, feature_key: str | None = None, keys: Sequence[str] = ("series",),
+                     on_empty: str = "keep") -> DataFrame:
+    """Label rows for the entry bars in ``[start, end]``.
+
+    With ``on_empty="fail"`` no bars to look at, no entry bars and no labels are
+    errors, told apart (up to three small jobs now).
+    """
+    if on_empty not in ("keep", "fail"):
+        raise ValueError(f"unknown on_empty {on_empty!r}")
     scanned = label_range(bars, start, end, horizon)
+    if on_empty == "fail":
+        if scanned.isEmpty():
+            raise NoTargets(f"no bars from {start} on; check the table and the range")
+        if in_range(scanned, "ts", start, end).isEmpty():
+            raise NoTargets(f"no bars from {start} to {end}")
     returns = in_range(forward_return(scanned, horizon, log=log, min_forward=min_forward, keys=keys), "ts", start, end)
-    return returns.select(
+    made = returns.select(
         *keys, F.col("ts").alias("timestamp"), F.lit(name or target_name(horizon, log, label)).alias("target_name"),
         "y_true", F.lit(horizon).alias("horizon_bars"), F.lit(label or f"{horizon}h").alias("target_label"),
         F.lit(feature_key).cast("string").alias("feature_key"))
+    if on_empty == "fail" and made.isEmpty():
+        raise NoTargets("no labels; check what the bars cover, and the horizon")
+    return made
 
 
 def obv(bars: DataFrame, keys: Sequence[str] = ("series",), chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
