@@ -30,6 +30,23 @@ def bars_stream(spark, sf):
     return spark.read.parquet(out).withColumn("volume", F.round("volume", 6))
 
 
+@query("R1_late_ticks", "bars", """
+    SELECT series, ts, open, high, low, close, volume FROM bars
+    WHERE ts + interval '1' hour <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - interval '10' minute""")
+def late_ticks(spark, sf):
+    """The ticks in two runs of one stream. The second run, after a restart, brings the
+    newer ticks, and late ones for bars that the first run has closed: they are dropped."""
+    source, out, log = (scratch_path(spark, f"stream-{x}") for x in ("ticks", "late", "late-log"))
+    events = table(spark, sf, "events").select("event_type", "ts", "event_id", "value")
+    first = F.col("ts") < F.lit("2024-01-12 06:30:00").cast(events.schema["ts"].dataType)
+    late = events.where(first & (F.col("ts") < F.lit("2024-01-12").cast(events.schema["ts"].dataType))).withColumn("value", F.lit(1e9))
+    for step in (events.where(first), events.where(~first).unionByName(late)):
+        step.write.mode("append").parquet(source)
+        ticks = spark.readStream.schema(events.schema).parquet(source)
+        _run(write_bars(stream_bars(ticks, series="event_type", order=("ts", "event_id")), out, log))
+    return spark.read.parquet(out).withColumn("volume", F.round("volume", 6))
+
+
 @query("R2_stream_score", "latest predictions", f"""
     SELECT series, ts, model_path, y_pred, feature_key FROM predictions
     UNION ALL

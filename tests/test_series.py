@@ -231,3 +231,27 @@ def test_lookback_within_reach(spark):
     short = w.lookback(bars, targets, 48, ["1H"], reach_hours=47).groupBy("ts").count().collect()
     assert {r["count"] for r in short if r.ts != datetime(2024, 5, 5, 10)} == {48} and min(r["count"] for r in short) == 47
     assert w.lookback(bars, targets.limit(0), 48, ["1H"], reach_hours=47).count() == 0
+
+
+def test_no_labels_are_an_error_when_asked(hourly, bars_of):
+    bars = bars_of(hourly(30))
+    for start, end, what in (("2025-01-01", None, "no bars from"), ("2023-12-31 20:00", "2023-12-31 22:00", "no bars from .* to"),
+                             ("2024-01-02 04:00", "2024-01-02 05:00", "no labels")):
+        assert w.generate_targets(bars, start=start, end=end, horizon=6).count() == 0
+        with pytest.raises(w.NoTargets, match=what):
+            w.generate_targets(bars, start=start, end=end, horizon=6, on_empty="fail")
+    assert w.generate_targets(bars, start="2024-01-01", horizon=6, on_empty="fail").count() == 24
+
+
+@pytest.mark.parametrize("need", [None, 1, 4])
+def test_forward_return_against_a_loop(hourly, bars_of, need):
+    pdf = hourly(40, drop=[7, 8])
+    pdf.loc[pdf.index[20], "close"] = None
+    got = {r.ts: r.y_true for r in w.forward_return(bars_of(pdf), 6, min_forward=need, chunk_hours=9, block_rows=11).collect()}
+    rows = pdf.sort_values("ts").reset_index(drop=True)
+    want = {}
+    for i in range(len(rows)):
+        ahead = rows.close.iloc[i + 1:i + 7]
+        if len(ahead) >= (need or 6) and not np.isnan(rows.close[i]) and not np.isnan(ahead.iloc[-1]):
+            want[rows.ts[i].to_pydatetime()] = np.log(ahead.iloc[-1] / rows.close[i])
+    assert got == {t: pytest.approx(y) for t, y in want.items()}
