@@ -3,7 +3,10 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from barline.llm.rp_forest import near_vectors
+from pyspark.sql import functions as F
+
+from barline.llm import rp_forest
+from barline.llm.rp_forest import compare_leaf, leaves, near_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string"
 
@@ -65,3 +68,78 @@ def test_recall_through_several_rounds(spark, copies):
     assert found[:3000].sum() >= 0.97 * want[:3000].sum() > 0
     if copies:
         assert found[0] >= copies and found[-1] >= copies
+
+
+def crowd(n, dim, seed, copies=3, spread=0.2):
+    """Random directions, some with near copies."""
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((n, dim))
+    near = np.repeat(base[: n // 10], copies, axis=0)
+    return np.vstack((base, near + rng.standard_normal(near.shape) * spread))
+
+
+def test_recall_of_full_trees_in_one_label(spark):
+    """12,000 vectors of one label and leaves of 100: trees of about eight levels, in several rounds."""
+    made = crowd(9_230, 32, 7).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x") for i, v in enumerate(made)], SCHEMA)
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(df, leaf=100).collect()}
+    x = made.astype(np.float64)
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    want = np.concatenate([(x[i:i + 2000] @ x.T >= 0.93).sum(axis=1) - 1 for i in range(0, len(x), 2000)])
+    found = np.array([got[i] for i in range(len(x))])
+    assert len(x) > 11_900 and (found <= want).all()
+    assert want.sum() > 8_000 and found.sum() >= 0.95 * want.sum(), (found.sum(), want.sum())
+
+
+def sizes_of_leaves(spark, made, leaf):
+    points = spark.createDataFrame([(i, 5, v.tolist(), 1) for i, v in enumerate(made)], "id long, label long, vector array<float>, copies long")
+    at = leaves(points, 3, leaf)
+    sizes = at.groupBy("leaf").count().collect()
+    return max(r["count"] for r in sizes), at.select("id").distinct().count(), at.count()
+
+
+def test_no_leaf_is_larger_than_asked(spark):
+    most, ids, rows = sizes_of_leaves(spark, crowd(8_000, 16, 3).astype(np.float32), 60)
+    assert most <= 60 and ids == 10_400 and rows < 3 * 10_400 * 3
+
+
+def test_vectors_alike_stay_together_and_others_are_split(spark, monkeypatch):
+    """A third of one label is all but the same vector, too much for one task."""
+    monkeypatch.setattr(rp_forest, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    alike = np.tile(rng.standard_normal(16), (400, 1)) * (1 + np.arange(400)[:, None])  # one direction
+    others = rng.standard_normal((800, 16))
+    made = np.vstack((alike, others))
+    df = spark.createDataFrame([(i, v.tolist(), 1, "x") for i, v in enumerate(made)], SCHEMA.replace("float", "double"))
+    got = {r["vec_id"]: r for r in near_vectors(df, leaf=50).collect()}
+    assert all(got[i]["n_links"] >= 399 and got[i]["component_id"] == 0 for i in range(400))
+    x = made / np.sqrt((made * made).sum(axis=1, keepdims=True))
+    want = (x @ x.T >= 0.93).sum(axis=1) - 1
+    assert sum(got[i]["n_links"] for i in range(1200)) == want.sum()
+
+
+@pytest.mark.parametrize("sides", [False, True])
+def test_pairs_count_in_their_first_common_leaf(sides):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((60, 3))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    copies = rng.integers(1, 4, 60)
+    seen = [np.unique(rng.integers(0, 400, rng.integers(1, 120)).tolist() + [200]) for _ in range(60)]
+    side = rng.integers(0, 2, 60) if sides else None
+    n, root = compare_leaf(x, copies, seen, 200, side, 0.8, block=16)
+    want = np.zeros(60, int)
+    for i in range(60):
+        for j in range(60):
+            if i != j and x[i] @ x[j] >= 0.8 and (side is None or side[i] != side[j]) and min(set(seen[i]) & set(seen[j])) == 200:
+                want[i] += copies[j]
+    assert n.tolist() == want.tolist()
+    assert (root <= np.arange(60)).all()
+
+
+def test_double_vectors_are_compared_in_double_precision(spark):
+    """Two vectors whose cosine is below the bound by less than a float tells."""
+    angle = np.arccos(0.93) + 1e-9
+    rows = [(1, [1.0, 0.0], 1, "x"), (2, [float(np.cos(angle)), float(np.sin(angle))], 1, "x"), (3, [float(np.cos(angle - 2e-9)), float(np.sin(angle - 2e-9))], 1, "x")]
+    got = {r["vec_id"]: r["n_links"] for r in near_vectors(spark.createDataFrame(rows, SCHEMA.replace("float", "double"))).collect()}
+    assert got == {1: 1, 2: 1, 3: 2}
+    assert near_vectors(spark.createDataFrame(rows, SCHEMA.replace("float", "double")).where(F.lit(False))).count() == 0
