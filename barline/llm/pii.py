@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm.ragged import chunks
+from barline.llm.store import Carried
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -38,8 +39,8 @@ SPACE = re.compile(r"[\x20\x09-\x0D]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 
 Span = tuple[str, int, int]
-#: Rounds of message passing, and the damping of messages.
-ROUNDS, DAMPING = 12, 0.3
+#: Rounds of message passing at most, the change at which messages have settled, and their damping.
+ROUNDS, SETTLED, DAMPING = 200, 1e-4, 0.3
 #: Bounds of the learned skip and chain potentials.
 MOST_SKIP, MOST_CHAIN = 8.0, 2.0
 #: Digits from which two tokens with the same digits are similar.
@@ -138,18 +139,41 @@ def tokens_of(text: str, base: list[Span]) -> Tokens:
 
 def _edges(t: Tokens, text: str) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
     """Chain edges of tokens next to each other, and skip edges from each
-    occurrence of a key to the next one."""
+    occurrence of a key to the first one, so that any two occurrences are two edges apart."""
     chain = [(i, i + 1) for i in range(len(t.start) - 1)
              if not text[t.end[i]:t.start[i + 1]].strip(SPACES)]
-    skip, last = set(), {}
+    skip, first = set(), {}
     for i, keys in enumerate(t.keys):
         for key in keys:
-            if key in last and last[key] != i:
-                skip.add((last[key], i))
-            last[key] = i
+            if first.setdefault(key, i) != i:
+                skip.add((first[key], i))
     return chain, sorted(skip)
 
 
+def _evidence(t: Tokens, skip: list[tuple[int, int]]) -> list[int]:
+    """Per token the kinds (bits) of the base spans that skip edges reach from it."""
+    root = list(range(len(t.label)))
+
+    def top(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for i, j in skip:
+        root[top(j)] = top(i)
+    seen: dict[int, int] = defaultdict(int)
+    for i, y in enumerate(t.label):
+        seen[top(i)] |= (1 << y) & ~1
+    return [seen[top(i)] for i in range(len(root))]
+
+
+def _possible(pattern: int) -> int:
+    """The kinds (bits) that the form of a token allows: an email has a sign, an
+    ip three dots, a card 13 to 19 digits and a phone 9 to 15."""
+    size = pattern & 7
+    return (pattern >> 3 & 1) << 1 | (pattern >> 6 & 1) << 2 | (size in (5, 6)) << 3 | (size in (4, 5)) << 4
+
+
 @dataclass
 class Field:
     """Potentials: ``unary`` per pattern, ``chain`` per pair of labels, ``skip`` for agreement."""
@@ -242,7 +266,10 @@ def beliefs(unary: np.ndarray, chain: np.ndarray, skip: np.ndarray, field: Field
         out = np.exp(out - out.max(axis=1, keepdims=True))
         new = np.log(np.einsum("es,est->et", out, pair) + 1e-30)
         new -= new.max(axis=1, keepdims=True)
-        message = DAMPING * message + (1 - DAMPING) * new
+        new = DAMPING * message + (1 - DAMPING) * new
+        moved, message = np.abs(new - message).max(), new
+        if moved < SETTLED:
+            break
     total = unary.copy()
     np.add.at(total, target, message)
     e = np.exp(total - total.max(axis=1, keepdims=True))
@@ -250,19 +277,26 @@ def beliefs(unary: np.ndarray, chain: np.ndarray, skip: np.ndarray, field: Field
 
 
 def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
-    """Per text: base spans, and all spans; both by kind and start."""
+    """Per text: base spans, and all spans; both by kind and start.
+
+    A free token can only have a kind that its form allows and that a base span
+    has which skip edges reach, so texts without base spans have no others.
+    """
     base = [base_spans(t) if t and SIGNS.search(t) else [] for t in texts]
     found = [(b, b) for b in base]
     held, unary, chains, skips, at = [], [], [], [], 0
     for k, text in enumerate(texts):
-        # without a base span nothing is observed that a free token could agree with but itself
-        if not text or not SIGNS.search(text):
+        if not base[k]:
             continue
         t = tokens_of(text, base[k])
         chain, skip = _edges(t, text)
+        open_ = [0 if y else seen & _possible(p) for p, y, seen in zip(t.pattern, t.label, _evidence(t, skip))]
+        if not any(open_):
+            continue
         held.append((k, t, at))
-        for p, y in zip(t.pattern, t.label):
-            unary.append(field.of(p) if not y else np.where(np.arange(5) == y, 0.0, -50.0))
+        for p, y, kinds in zip(t.pattern, t.label, open_):
+            may = np.arange(5) == y if y else (kinds | 1) >> np.arange(5) & 1 == 1
+            unary.append(np.where(may, 0.0 if y else field.of(p), -50.0))
         chains += [(i + at, j + at) for i, j in chain]
         skips += [(i + at, j + at) for i, j in skip]
         at += len(t.start)
@@ -271,26 +305,28 @@ def find(texts: list[str], field: Field) -> list[tuple[list[Span], list[Span]]]:
     marginal = beliefs(np.array(unary), np.array(chains).reshape(-1, 2), np.array(skips).reshape(-1, 2), field)
     choice = np.where(marginal.max(axis=1) > 0.5, marginal.argmax(axis=1), 0)
     for k, t, at in held:
-        added = _added(texts[k], t, choice[at:at + len(t.start)].tolist())
+        added = _added(texts[k], t, choice[at:at + len(t.start)].tolist(), base[k])
         if added:
             found[k] = base[k], sorted(base[k] + added, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
     return found
 
 
-def _added(text: str, t: Tokens, choice: list[int]) -> list[Span]:
-    """Spans of runs of free tokens that were given the same kind."""
+def _added(text: str, t: Tokens, choice: list[int], base: list[Span]) -> list[Span]:
+    """Spans of the free tokens that were given a kind. Tokens one space apart
+    are one span only if together they have the digits of a base span of that kind."""
+    known = {(k, NOT_DIGIT.sub("", text[a:b]).lstrip("0")) for k, a, b in base if k in ("card", "phone")}
     out: list[Span] = []
-    open_: list[int] | None = None
-    for i, y in enumerate(choice):
-        y = 0 if t.label[i] else y
-        if open_ and y == open_[0] and text[open_[2]:t.start[i]] == " ":
-            open_[2] = t.end[i]
-            continue
-        if open_:
-            out.append(_trimmed(text, *open_))
-        open_ = [y, t.start[i], t.end[i]] if y else None
-    if open_:
-        out.append(_trimmed(text, *open_))
+    i = 0
+    while i < len(choice):
+        y, last = 0 if t.label[i] else choice[i], i
+        j = i
+        while y and j + 1 < len(choice) and choice[j + 1] == y and not t.label[j + 1] and text[t.end[j]:t.start[j + 1]] == " ":
+            j += 1
+            if (LABELS[y], NOT_DIGIT.sub("", text[t.start[i]:t.end[j]]).lstrip("0")) in known:
+                last = j
+        if y:
+            out.append(_trimmed(text, y, t.start[i], t.end[last]))
+        i = last + 1
     return [s for s in out if s[1] < s[2]]
 
 
@@ -315,20 +351,22 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     Offsets count code points, the end excluded.
     """
     field = field or fit(docs)
+    carried = Carried(docs, ["doc_id"])
+    held = carried.held
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             texts = rows["t"].tolist()
             for a, b in chunks(texts):
                 found = find(texts[a:b], field)
-                out = rows.iloc[a:b][["doc_id"]]
+                out = rows.iloc[a:b][held]
                 counts = {f"n_{k}": [sum(s[0] == k for s in base) for base, _ in found] for k in KINDS}
                 yield out.assign(**counts, base_sha256=[hashlib.sha256(_joined(base).encode()).hexdigest() for base, _ in found],
                                  spans=[_joined(every) for _, every in found])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", docs["text"].alias("t")).mapInPandas(
-        run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    made = docs.select(*carried.columns, docs["text"].alias("t")).mapInPandas(
+        run, carried.ddl + ", n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return carried.back(made)
 
 
 def masked(text: str, spans: list[Span]) -> str:
