@@ -7,7 +7,9 @@ import re
 
 import numpy as np
 
-from barline.llm.pii import Field, base_spans, beliefs, luhn, mask, personal_data
+import pytest
+
+from barline.llm.pii import Field, base_spans, beliefs, find, fit, luhn, mask, personal_data, tokens_of, _edges, _evidence, _possible
 
 # The base patterns, searched plainly.
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
@@ -71,3 +73,61 @@ def test_mask(spark, docs_of):
     assert got == [(1, "mail [EMAIL] or [IP]", 20), (3, "nothing here", 12), (3, "nothing here", 12)]
     assert left.where("doc_id = 2 and text is null and n_chars is null").count() == 1
     assert mask(docs_of([])).count() == 0
+
+
+PLAIN = Field({}, np.zeros((16, 5)), np.zeros((5, 5)), 4.0)  # forms tell nothing, repeated tokens agree
+
+
+def added(text, field=PLAIN):
+    [(base, every)] = find([text], field)
+    assert set(base) <= set(every)
+    return [(k, text[a:b]) for k, a, b in every if (k, a, b) not in base]
+
+
+@pytest.mark.parametrize("text", [
+    "ref 14155550100 end", "id 123456789012 x", "value 4155550100", "a 4155550100 b 4155550100", "v1.2.3 and 1.2.3.4.5 and 999.1.1.1",
+    "mail a@b.cd, other number 4155550100 4155550100", "+1 415 555 0100 and 10.0.0.1 and 99999999999", "x@ @y 12345678901234"])
+def test_no_span_without_evidence(spark, docs_of, text):
+    """Bare numbers are nothing, whatever was learned, unless a base span has the same digits."""
+    corpus = [(i, f"call +1 415 555 01{i:02d} or 14155550{i:03d} at 10.0.0.{i} mail u{i}@b.cd card 4111 1111 1111 1111") for i in range(60)]
+    for field in (PLAIN, fit(docs_of(corpus))):
+        assert added(text, field) == []
+
+
+def test_repeated_tokens_take_the_kind_of_the_base_span():
+    assert added("call +14155550100 now. Again 14155550100, or 4155550100.") == [("phone", "14155550100")]
+    assert added("host 10.0.0.1 is HOST 10.0.0.1") == []
+
+
+def test_numbers_are_joined_only_as_a_base_span_has_them():
+    text = "call +1 415 555 0100. " + "x " * 5 + "14155550100 14155550100 y"
+    assert added(text) == [("phone", "14155550100"), ("phone", "14155550100")]
+
+
+def test_labels_reach_every_occurrence():
+    text = "start +14155550100 " + "and 14155550100 " * 300
+    assert len(added(text)) == 300
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_added_spans_have_evidence_and_fit_exact_marginals(seed):
+    """On small documents: every label the messages choose is the most probable one
+    by summing over all labellings, and what is added is allowed."""
+    rng = random.Random(seed)
+    numbers = ["14155550100", "+14155550100", "4111111111111111", "a@b.cd", "A@B.cd.", "10.0.0.1", "10.0.0.1:", "77"]
+    text = " x ".join(rng.choice(numbers) for _ in range(5))
+    t = tokens_of(text, base_spans(text))
+    chain, skip = _edges(t, text)
+    seen = _evidence(t, skip)
+    field = Field({}, np.random.default_rng(seed).normal(size=(16, 5)) * 0.3, np.zeros((5, 5)), 3.0)
+    may = [[y] if y else [0, *[k for k in range(1, 5) if seen[i] & _possible(t.pattern[i]) & 1 << k]] for i, y in enumerate(t.label)]
+    exact = np.zeros((len(may), 5))
+    for labels in itertools.product(*may):
+        score = sum(field.of(t.pattern[i])[y] for i, y in enumerate(labels) if not t.label[i])
+        score += sum(field.skip * (labels[i] == labels[j]) for i, j in skip) + sum(field.chain[labels[i], labels[j]] for i, j in chain)
+        for i, y in enumerate(labels):
+            exact[i, y] += np.exp(score)
+    exact /= exact.sum(axis=1, keepdims=True)
+    want = sum(1 for i in range(len(may)) if not t.label[i] and exact[i].argmax() and exact[i].max() > 0.55)
+    least = sum(1 for i in range(len(may)) if not t.label[i] and exact[i].argmax() and exact[i].max() > 0.45)
+    assert want <= len(added(text, field)) <= max(least, want)
