@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import (
     BAR_COLUMNS, TIMEFRAME_HOURS, epoch_seconds, floor_hour, floor_timeframe, hours, naive_utc, number, ts_key,
 )
-from barline.functions.scans import DEFAULT_BLOCK_ROWS, DEFAULT_CHUNK_HOURS, POSITION, over_rows, positions, running
+from barline.functions.scans import CHUNK, DEFAULT_BLOCK_ROWS, DEFAULT_CHUNK_HOURS, POSITION, add_chunk, over_rows, positions, running
 from barline.operators.targets import Stamp
 from barline.session import stack
 from barline.sources.tables import in_range
@@ -120,18 +120,31 @@ def generate_targets(bars: DataFrame, *, start: Stamp, end: Stamp | None = None,
 def obv(bars: DataFrame, keys: Sequence[str] = ("series",), chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
     """On-balance volume as ``keys, ts, obv``: start at 0, add the volume when
     the close rises, subtract it when it falls. A missing close on either side
-    changes nothing, a missing volume counts as 0."""
-    slim = bars.select(*keys, "ts", number("close").alias("_close"),
-                       F.coalesce(number("volume"), F.lit(0.0)).alias("_vol"))
-    # NaN stands for a missing close here, so that the row before counts even
-    # when its close is missing.
-    marked = F.coalesce(F.col("_close"), F.lit(float("nan")))
-    stepped = running(slim, keys, ["ts"], lasts={"_prev": marked}, include_current=False, chunk_hours=chunk_hours)
-    prev = F.when(~F.isnan("_prev"), F.col("_prev"))
-    signed = F.coalesce(F.signum(F.col("_close") - prev) * F.col("_vol"), F.lit(0.0))
-    summed = running(stepped.select(*keys, "ts", signed.alias("_signed")), keys, ["ts"],
-                     sums={"obv": F.col("_signed")}, chunk_hours=chunk_hours)
-    return summed.select(*keys, "ts", "obv")
+    changes nothing, a missing volume counts as 0.
+
+    A scan over segments: each time chunk is added up by itself, without the step
+    into it; one row per chunk (its ends and its sum) tells that step and what
+    lies before. The rows are read and shuffled once for both.
+    """
+    keys = list(keys)
+    slim = add_chunk(bars.select(*keys, "ts", number("close").alias("_close"), F.coalesce(number("volume"), F.lit(0.0)).alias("_vol")),
+                     "ts", chunk_hours)
+
+    def signed(now: Column, before: Column, volume: Column) -> Column:
+        return F.coalesce(F.signum(now - before) * volume, F.lit(0.0))
+
+    along = Window.partitionBy(*keys, CHUNK).orderBy("ts")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stepped = slim.withColumns({"_step": signed(F.col("_close"), F.lag("_close").over(along), F.col("_vol")), "_row": F.row_number().over(along)})
+    inner = stepped.select(
+        *keys, CHUNK, "ts", "_row", F.sum("_step").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("_inner"),
+        F.sum("_step").over(whole).alias("_sum"), F.first("_close").over(whole).alias("_first"), F.first("_vol").over(whole).alias("_first_vol"),
+        F.last("_close").over(whole).alias("_last"))
+    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
+    chunks = inner.where("_row = 1").withColumn("_into", signed(F.col("_first"), F.lag("_last").over(by_chunk), F.col("_first_vol")))
+    earlier = F.sum(F.col("_sum") + F.col("_into")).over(by_chunk.rowsBetween(Window.unboundedPreceding, -1))
+    carry = chunks.select(*keys, CHUNK, (F.coalesce(earlier, F.lit(0.0)) + F.col("_into")).alias("_before"))
+    return inner.select(*keys, CHUNK, "ts", "_inner").join(carry, [*keys, CHUNK]).select(*keys, "ts", (F.col("_inner") + F.col("_before")).alias("obv"))
 
 
 def reached(bars: DataFrame, targets: DataFrame, reach_hours: int, keys: Sequence[str] = ("series",)) -> DataFrame:
