@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from barline.llm.components import components, roots
 from barline.llm.ragged import chunks, mix, shingle_hashes
-from barline.llm.store import runtime_filters, staged
+from barline.llm.store import Carried, runtime_filters, staged
+from barline.session import stack
 
 WORDS, THRESHOLD = 5, 0.8
 #: 32 bands of 4 values: a pair at the threshold shares no band with probability 5e-8.
@@ -30,6 +31,8 @@ STEP = 32
 TOLERANCE = 1e-6
 #: Classes of one block. Larger buckets are split and compared block by block.
 BLOCK = 400
+#: A text with more than one in so many of the rows is hot.
+HOT_SHARE = 1000
 
 
 @lru_cache
@@ -70,6 +73,11 @@ def minhash(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarra
     return out, sizes
 
 
+def _digest(text):
+    """By this texts are equal."""
+    return F.unhex(F.sha2(text, 256))
+
+
 def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id``, ``digest`` of the text, ``size`` (shingles) and ``sig`` of each row."""
 
@@ -78,12 +86,13 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
             texts = rows["t"].tolist()
             for a, b in chunks(texts, 300_000):
                 sig, size = minhash(texts[a:b], words)
-                yield rows.iloc[a:b][["doc_id", "digest"]].assign(size=size, sig=[s.tobytes() for s in sig])
+                yield rows.iloc[a:b][[*held, "digest"]].assign(size=size, sig=[s.tobytes() for s in sig])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    carried = Carried(docs, ["doc_id"])
+    held = carried.held
     text = F.coalesce(docs["text"], F.lit(""))
-    named = docs.select(docs["doc_id"].alias("doc_id"), F.unhex(F.md5(text)).alias("digest"), text.alias("t"))
-    return named.mapInPandas(run, f"doc_id {kind}, digest binary, size long, sig binary")
+    named = docs.select(*carried.columns, _digest(text).alias("digest"), text.alias("t"))
+    return carried.back(named.mapInPandas(run, carried.ddl + ", digest binary, size long, sig binary"))
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -224,6 +233,16 @@ def compare_groups(groups: DataFrame, words: int = WORDS, threshold: float = THR
     return _each_group(groups, one, f"class_id {kind}, links long, docs long, root {kind}")
 
 
+def _with_class(rows: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """``rows`` with what is known of their text, NULL where nothing is. Copies
+    of one text would meet in one task: texts with more than a HOT_SHAREth of the ``n`` rows, of
+    which there are fewer than HOT_SHARE, are sent to the rows instead."""
+    hot = F.col("copies") > max(1, n // HOT_SHARE)
+    placed = rows.join(F.broadcast(known.where(hot)), "digest", "left")
+    rest = placed.where(F.col("class_id").isNull()).select(rows.columns)
+    return stack(placed.where(F.col("class_id").isNotNull()), rest.join(known.where(~hot), "digest", "left"))
+
+
 def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
                block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
@@ -251,16 +270,16 @@ def ngram_join(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD
         wanted = groups.groupBy("class_id").agg(F.count("*").alias("n"))
         wanted = staged(classes.select("digest", "class_id", "copies", "sig").join(wanted, "class_id"), "wanted")
         texts = docs.select(F.col("doc_id").alias("class_id"), "text").join(wanted.where("n > 0"), "class_id")
-        texts = texts.where(F.col("digest") == F.unhex(F.md5("text"))).dropDuplicates(["class_id", "digest"])
+        texts = texts.where(F.col("digest") == _digest(F.col("text"))).dropDuplicates(["class_id", "digest"])
         compared = groups.join(texts.drop("digest", "n"), "class_id")
         found = staged(compare_groups(compared, words, threshold, tolerance), "links")
     totals = found.groupBy("class_id").agg(F.sum("docs").alias("docs"))
     joined = components(found.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
-    known = (classes.select("digest", "class_id", "copies", F.col("row").alias("first_row"))
-             .join(totals, "class_id", "left").join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
-             .where("copies > 1 or component is not null"))
+    known = staged(classes.select("digest", "class_id", "copies", F.col("row").alias("first_row"))
+                   .join(totals, "class_id", "left").join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
+                   .where("copies > 1 or component is not null"), "known")
     whole = F.col("size") > 0
-    out = rows.select("doc_id", "row", "size", "digest").join(known, "digest", "left")
+    out = _with_class(rows.select("doc_id", "row", "size", "digest"), known, classes.agg(F.sum("copies")).first()[0] or 0)
     linked = F.col("class_id").isNotNull() & F.col("doc_id").isNotNull() & whole
     pick = lambda c, other: F.when(linked, c).otherwise(other)
     component = F.coalesce("component", "class_id")
@@ -281,7 +300,7 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
     again = (verdict.where(F.col("doc_id").isNotNull()).groupBy("doc_id", "digest")
              .agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("k")).where("n > 1 and k = 1").drop("n", "k"))
     again = staged(again, "repeated")
-    keyed = docs.withColumn("_digest", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    keyed = docs.withColumn("_digest", _digest(F.coalesce("text", F.lit(""))))
     left = keyed.join(gone, (keyed["doc_id"] == gone["doc_id"]) & (keyed["_digest"] == gone["digest"]), "left_anti")
     if not again.isEmpty():
         on = (left["doc_id"] == again["doc_id"]) & (left["_digest"] == again["digest"])
