@@ -76,3 +76,14 @@ def test_posterior_bounds():
     assert [n for n, _ in looks] == [32, 64, 96, 128]
     assert all(0 < m < 0.8 * n for n, m in looks)  # an expected pair is never dropped
     assert all(m2 > m1 for (_, m1), (_, m2) in zip(looks, looks[1:]))
+
+
+def test_hot_texts_large_ids_and_a_null_beside_them(spark, docs_of):
+    """Half of the rows share a text and the ids are neighbours above 2**60."""
+    far = 2**60
+    rows = [(far + i, "the same five words again and again" if i % 2 else f"text number {i} has words of its own {i * 7}") for i in range(300)] + [(None, "x y z")]
+    got = {r["doc_id"]: r for r in ngram_join(docs_of(rows).coalesce(1)).collect()}
+    assert set(got) == {i for i, _ in rows}
+    for i in range(300):
+        r = got[far + i]
+        assert (r["class_id"], r["n_links"], r["kept"]) == ((far + 1, 149, i == 1) if i % 2 else (far + i, 0, True))
