@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from barline.functions.columns import epoch_micros, hours
 from barline.functions.scans import running
 from barline.operators.targets import key_filter
-from barline.session import stack
+from barline.session import cut, stack
 
 SERIES_TS = ("series", "ts")
 
@@ -159,6 +159,7 @@ def nearest_ts(targets: DataFrame, stored: DataFrame, keys: Sequence[str] = ("se
         targets.select(*keys, ts, F.lit(True).alias("_target"), F.lit(None).cast("timestamp_ntz").alias("_s")),
         stored.select(*keys, ts, F.lit(False).alias("_target"), F.col(ts).alias("_s")),
     ).groupBy(*keys, ts).agg(F.max("_target").alias("_target"), F.max("_s").alias("_s"))
+    line = cut(line)  # cut points, chunk ends and rows are three passes over it
     both = running(line, keys, [ts], lasts={"_before": F.col("_s")}, nexts={"_after": F.col("_s")},
                    chunk_hours=chunk_hours)
     back = epoch_micros(ts) - epoch_micros("_before")

@@ -334,10 +334,18 @@ def latest_complete_hour(bars: DataFrame, keys: Sequence[str] = ("series",)) ->
     return (bars.where(F.col("ts") == floor_hour("ts")).groupBy(*keys).agg(F.max("ts").alias("latest_hour")))
 
 
-def trim_partial(bars: DataFrame, keys: Sequence[str] = ("series",)) -> DataFrame:
-    """Drop the rows after each series' last whole hour."""
-    latest = latest_complete_hour(bars, keys)
-    return bars.join(latest, list(keys)).where(F.col("ts") <= F.col("latest_hour")).drop("latest_hour")
+def trim_partial(bars: DataFrame, keys: Sequence[str] = ("series",), chunk_hours: int = DEFAULT_CHUNK_HOURS) -> DataFrame:
+    """Drop the rows after each series' last whole hour.
+
+    The last hour is told to each time chunk of its series that has rows, so rows are
+    joined by series and chunk: a series with a large share of them spreads.
+    """
+    keys = list(keys)
+    placed = add_chunk(bars, "ts", chunk_hours)
+    whole = F.max(F.when(F.col("ts") == floor_hour("ts"), F.col("ts")))
+    chunks = placed.groupBy(*keys, CHUNK).agg(whole.alias("_whole"))  # one row per chunk from here on
+    told = chunks.select(*keys, CHUNK, F.max("_whole").over(Window.partitionBy(*keys)).alias("_latest"))
+    return placed.join(told, [*keys, CHUNK]).where(F.col("ts") <= F.col("_latest")).select(*[F.col(f"`{c}`") for c in bars.columns])
 
 
 def history(bars: DataFrame, required_hours: int, keys: Sequence[str] = ("series",)) -> DataFrame:

@@ -259,6 +259,17 @@ def batch_totals(spark, sf):
     return c.batch_totals(c.compare_batch(a, b, bars(spark, sf)))
 
 
+@query("C13_batch_totals_all", "long_a long_b bars", """
+    WITH m AS (""" + _MAPS.format(a="long_a", b="long_b") + """),
+    g AS (SELECT series, ts, count(*) FILTER (status <> 'equal') AS bad, count(*) FILTER (status <> 'missing_in_a') AS ia,
+          count(*) FILTER (status <> 'missing_in_b') AS ib FROM m GROUP BY series, ts),
+    v AS (SELECT coalesce(ia, 0) = 0 OR coalesce(ib, 0) = 0 AS skipped, coalesce(bad, 0) AS bad FROM bars LEFT JOIN g USING (series, ts))
+    SELECT count(*) AS compared, count(*) FILTER (NOT skipped AND bad = 0) AS ok, count(*) FILTER (skipped OR bad > 0) AS failed FROM v""")
+def batch_totals_all(spark, sf):
+    """Totals over all features; the second feed drops the range and brings a volume."""
+    return c.batch_totals(c.compare_batch(*_longs(spark, sf), bars(spark, sf)))
+
+
 @query("C15_compare_score_sources", "predictions predictions_b", f"""
     SELECT count(*) AS n, {rq("max(abs(a.y_pred - b.y_pred))")} AS max_abs_diff
     FROM predictions a JOIN predictions_b b USING (series, ts)""")
