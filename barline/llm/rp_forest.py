@@ -14,6 +14,7 @@ vector, and edges that chain what is linked within the leaf.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -40,6 +41,7 @@ BLOCK = 4_096
 SEED = 20_240_607
 
 
+@lru_cache(maxsize=8_192)
 def _direction(dim: int, tree: int, label: int, node: int, depth: int) -> np.ndarray:
     return np.random.default_rng([SEED, tree, label & 0xFFFFFFFFFFFF, node & 0xFFFFFFFFFFFF, depth]).standard_normal(dim)
 
@@ -146,7 +148,9 @@ def leaves(points: DataFrame, trees: int = TREES, leaf: int = LEAF) -> DataFrame
                     out = rows[["id", "label", "vector", "tree", "n"]].iloc[np.concatenate(taken)]
                     yield out.rename(columns={"n": "was"}).assign(node=np.concatenate(nodes))
 
-        at = staged(moving.drop("was").join(fitted, ["label", "tree", "node"]).mapInPandas(move, schema), "nodes")
+        # in order, so that a batch has few nodes and their directions are made once
+        ready = moving.drop("was").join(fitted, ["label", "tree", "node"]).sortWithinPartitions("label", "tree", "node")
+        at = staged(ready.mapInPandas(move, schema), "nodes")
     out = finished[0]
     for more in finished[1:]:
         out = out.union(more)
