@@ -142,7 +142,7 @@ _LB = _lookback_rows("la", "bars") + ", " + _lookback_rows("lb", "bars_b") + """
     cmp AS (SELECT coalesce(la.series, lb.series) AS series, coalesce(la.timeframe, lb.timeframe) AS timeframe,
       coalesce(la.ts, lb.ts) AS ts, count(la.ts) AS n_a, count(lb.ts) AS n_b,
       count(*) FILTER (la.ts IS NOT NULL AND lb.ts IS NOT NULL) AS n_common,
-      """ + ", ".join(f"count(*) FILTER (NOT abs(la.{x} - lb.{x}) <= 1e-6) AS mism_{x}" for x in BAR_COLUMNS) + """
+      """ + ", ".join(f"count(*) FILTER (NOT abs(la.{x} - lb.{x}) <= 1e-6) AS mism_{x}, {rq(f'max(abs(la.{x} - lb.{x}))')} AS max_{x}" for x in BAR_COLUMNS) + """
       FROM la FULL OUTER JOIN lb ON la.series = lb.series AND la.timeframe = lb.timeframe AND la.ts = lb.ts
         AND la.bar_ts = lb.bar_ts GROUP BY 1, 2, 3),
     v AS (SELECT *, n_a = n_common AND n_b = n_common AS same_index,
@@ -152,7 +152,7 @@ _LB = _lookback_rows("la", "bars") + ", " + _lookback_rows("lb", "bars_b") + """
 @query("C5_compare_lookbacks", "bars bars_b", f"WITH {_LB} SELECT * FROM v")
 def compare_lookbacks(spark, sf):
     a, b, _ = _lookbacks(spark, sf)
-    return c.compare_lookbacks(a, b, tol=1e-6).drop(*[f"max_{x}" for x in BAR_COLUMNS])
+    return c.compare_lookbacks(a, b, tol=1e-6).withColumns({f"max_{x}": r6(f"max_{x}") for x in BAR_COLUMNS})
 
 
 @query("C6_frames_identical", "bars bars_b", """
@@ -278,13 +278,22 @@ def score_sources(spark, sf):
     return out.withColumn("max_abs_diff", r6("max_abs_diff"))
 
 
-@query("C16_compare_lookbacks_batch", "bars bars_b", f"""
+_BATCH = f"""
     WITH {_LB}, k AS (SELECT series, ts, (SELECT count(*) FROM bars b WHERE b.series = t.series AND b.ts <= t.ts
       AND b.ts > t.ts - interval '12' hour) = 12 AS whole FROM bars t)
     SELECT k.series, k.ts, f.timeframe, coalesce(v.n_b, 0) AS n_stored, coalesce(v.n_a, 0) AS n_generated,
       CASE WHEN NOT k.whole THEN 'skipped' WHEN coalesce(v.n_b, 0) = 0 THEN 'missing' WHEN v.ok THEN 'ok' ELSE 'diff' END AS verdict
     FROM k CROSS JOIN (VALUES ('1H'), ('4H')) AS f(timeframe)
-    LEFT JOIN v ON v.series = k.series AND v.ts = k.ts AND v.timeframe = f.timeframe""")
+    LEFT JOIN v ON v.series = k.series AND v.ts = k.ts AND v.timeframe = f.timeframe"""
+
+
+@query("C16_batch_verdict", "bars bars_b", f"""
+    SELECT count(*) AS n, count(*) FILTER (verdict = 'ok') AS n_ok, coalesce(bool_and(verdict = 'ok'), true) AS all_ok FROM ({_BATCH})""")
+def lookbacks_verdict(spark, sf):
+    return c.batch_verdict(lookbacks_batch(spark, sf))
+
+
+@query("C16_compare_lookbacks_batch", "bars bars_b", _BATCH)
 def lookbacks_batch(spark, sf):
     generated, stored, b = _lookbacks(spark, sf)
     return c.compare_lookbacks_batch(stored, generated, w.continuity(b, b, 12), tol=1e-6)
@@ -322,17 +331,17 @@ def last_row_delta(spark, sf):
     WITH {_lookback_rows("lb", "bars_b")},
     t AS (SELECT series, '1H' AS timeframe, ts FROM bars UNION ALL SELECT series, '4H', ts FROM bars),
     s AS (SELECT series, timeframe, ts, count(*) AS n_rows, min(bar_ts) AS first_bar, max(bar_ts) AS last_bar,
-      arg_max(close, bar_ts) AS last_close, arg_max(high, bar_ts) AS last_high FROM lb GROUP BY series, timeframe, ts)
+      arg_max(close, bar_ts) AS last_close, arg_max(high, bar_ts) AS last_high, arg_max(open, bar_ts) AS last_open,
+      arg_max(low, bar_ts) AS last_low, round(arg_max(volume, bar_ts), 6) + 0.0 AS last_volume FROM lb GROUP BY series, timeframe, ts)
     SELECT t.series, t.timeframe, t.ts, s.n_rows IS NOT NULL AS found, coalesce(s.n_rows, 0) AS n_rows, 5 AS n_cols,
-      s.first_bar, s.last_bar, s.last_close, s.last_high,
+      s.first_bar, s.last_bar, s.last_close, s.last_high, s.last_open, s.last_low, s.last_volume,
       coalesce(s.ts, (SELECT q.ts FROM bars_b q WHERE q.series = t.series
         ORDER BY abs(epoch(q.ts) - epoch(t.ts)), q.ts LIMIT 1)) AS nearest_ts
     FROM t LEFT JOIN s USING (series, timeframe, ts)""")
 def snapshot_summary(spark, sf):
     _, stored, b = _lookbacks(spark, sf)
     frames = F.explode(F.array(F.lit("1H"), F.lit("4H"))).alias("timeframe")
-    out = c.snapshot_summary(stored, b.select("series", "ts", frames))
-    return out.drop("last_open", "last_low", "last_volume")
+    return c.snapshot_summary(stored, b.select("series", "ts", frames)).withColumn("last_volume", r6("last_volume"))
 
 
 @query("W19_top_k_abs_diff", "bars bars_b", """

@@ -44,6 +44,23 @@ def consistency_gate(spark, sf):
     return j.consistency(_shifted(spark, sf), bars_b(spark, sf), features(spark, sf), "v1")
 
 
+@query("J3_gate", "bars bars_b features", f"""
+    WITH s AS (SELECT t.series, t.ts, b.ts IS NOT NULL AS has_bar, f.ts IS NOT NULL AS has_features FROM ({_SHIFTED}) t
+      LEFT JOIN bars_b b ON b.series = t.series AND b.ts = t.ts
+      LEFT JOIN (SELECT DISTINCT series, ts FROM features WHERE feature_key = 'v1') f ON f.series = t.series AND f.ts = t.ts)
+    SELECT series, ts, (SELECT bool_or(has_bar <> has_features) FROM s) AS refused FROM s WHERE has_bar AND has_features""")
+def gate(spark, sf):
+    """The gate lets consistent targets through, and refuses the whole set for one that lacks something."""
+    asked, b, f = _shifted(spark, sf), bars_b(spark, sf), features(spark, sf)
+    try:
+        j.consistency_gate(asked, b, f, "v1")
+        refused = False
+    except j.InconsistentData:
+        refused = True
+    good = j.consistency(asked, b, f, "v1").where("status = 'ok'").select("series", "ts")
+    return j.consistency_gate(good, b, f, "v1").withColumn("refused", F.lit(refused))
+
+
 @query("J4_skip_existing", "bars predictions", """
     SELECT b.series, b.ts, 'm1' AS model_path FROM bars b
     WHERE NOT EXISTS (SELECT 1 FROM predictions p

@@ -8,6 +8,7 @@ from barline.functions.columns import hours
 from barline.operators import scoring as sc
 from barline.operators import stats
 from barline.operators import store as st
+from barline.operators.joins import DuplicateKeys
 from barline.plans.backfill import Backfill, backfill_scores, dry_run, run_backfill
 from barline.plans.files import merge_and_score, score_frame, score_latest_rows
 from barline.session import scratch_path
@@ -381,3 +382,17 @@ def duplicate_rejected(spark, sf):
     batch = _new_rows(spark, sf)
     twice = batch.unionByName(batch.where(F.hour("ts") % 6 == 1))
     return st.append_check(predictions(spark, sf), twice, st.SCORE_KEY)
+
+
+@query("P7_append_refused", "bars predictions", """
+    SELECT series, ts, model_path, y_pred, feature_key, dataset, created_at,
+      (SELECT count(*) > 0 FROM bars b JOIN predictions p USING (series, ts) WHERE hour(b.ts) % 2 = 1) AS refused FROM predictions""")
+def append_refused(spark, sf):
+    """A batch with a stored key is refused as a whole and leaves the store as it was."""
+    stored = _store(spark, sf, predictions(spark, sf))
+    try:
+        stored.append_unique(_new_rows(spark, sf))
+        refused = False
+    except DuplicateKeys:
+        refused = True
+    return stored.read().withColumn("refused", F.lit(refused))
