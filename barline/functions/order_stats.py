@@ -18,7 +18,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barline.session import stack
+from barline.session import once, stack
 
 INF = float("inf")
 # A value is cut by ties when it fills at least this many cells.
@@ -80,11 +80,12 @@ def split_cells(df: DataFrame, value: str, tie: str | None = None, keys: Sequenc
                 n_cells: int | None = None) -> Cells:
     """Cut ``df`` into ordered cells. ``value`` must be a non-null double.
 
-    With ``tie`` (a numeric column), values holding many rows are cut again by
-    it. Runs one or two small aggregations now, to fetch at most ``n_cells``
+    An input that takes more than a scan is stored first, as all that follows
+    reads it several times. With ``tie`` (a numeric column), values holding many
+    rows are cut again by it. Runs one or two small aggregations now, to fetch at most ``n_cells``
     numbers each.
     """
-    keys = list(keys)
+    keys, df = list(keys), once(df)
     n_cells = max(2, n_cells or default_cells(df))
     found = _quantiles(df.select(value), value, n_cells)
     quantiles, heavy = found or [], []

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from barline.functions.columns import number
 from barline.functions.order_stats import rank_first, rank_ties, split_cells
-from barline.session import stack
+from barline.session import once, stack
 
 NEG_INF = float("-inf")
 
@@ -154,7 +154,7 @@ def rank_bins(df: DataFrame, value: str, tie: str, n_bins: int = 10, method: str
     with a missing value.
     """
     n_bins, keys = _check_bins(n_bins), list(keys)
-    marked = df.withColumn("_v", number(value))
+    marked = once(df).withColumn("_v", number(value))
     present, absent = marked.where("_v is not null"), marked.where("_v is null")
     if method == "first":
         ranked = rank_first(present, "_v", tie, keys, name="_rank", n_cells=n_cells)
