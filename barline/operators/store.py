@@ -470,7 +470,7 @@ def normalize_payload(df: DataFrame, keys: Sequence[str] = ("series",), on_bad:
     if on_bad == "drop":
         return named.where(~bad)
     message = F.concat(F.lit("payload lacks ts, y_pred, model_path or feature_key: "), F.to_json(F.struct("*")))
-    return named.withColumn("ts", F.when(bad, F.raise_error(message).cast("timestamp_ntz")).otherwise(F.col("ts")))
+    return named.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
 
 
 def append_check(stored: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
