@@ -147,3 +147,12 @@ def test_empty_store(spark, tmp_path):
     store.delete_dataset("d")
     assert store.read().count() == 0 and store.high_water().count() == 0 and store.clean() == 0
     assert store.read(datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(days=1)).count() == 0
+
+
+def test_a_bad_payload_fails_whatever_is_asked_of_it(spark):
+    raw = spark.createDataFrame([("s", "2025-01-01 01:00:00", 0.5, "m", "k"), ("s", "2025-01-01 02:00:00", None, "m", "k")],
+                                "series string, ts string, y_pred double, model_path string, feature_key string")
+    for ask in (lambda df: df.count(), lambda df: df.select("series").collect(), lambda df: df.collect()):
+        with pytest.raises(Exception, match="payload lacks"):
+            ask(st.normalize_payload(raw))
+    assert st.normalize_payload(raw.limit(1)).count() == 1
