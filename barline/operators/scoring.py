@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, StructField, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, StringType, StructField, StructType, VariantType
 
 from barline.functions.columns import number
 from barline.operators.features import parse_features
@@ -199,15 +199,12 @@ def _depth(tree: dict[int, Node]) -> int:
 
 
 def _matrix(inputs, width: int) -> np.ndarray:
-    """Rows of doubles from an Arrow struct of columns; NULL becomes NaN."""
-    x = np.empty((len(inputs), width))
-    for i, column in enumerate(inputs.flatten()[:width]):
-        x[:, i] = column.to_numpy(zero_copy_only=False)
-    return x
+    """Rows of doubles from an Arrow array of lists of one length; NULL becomes NaN."""
+    return inputs.flatten().to_numpy(zero_copy_only=False).reshape(len(inputs), width)
 
 
 def _batch_sums(models: Sequence[TreeModel], inputs: Column, names: Sequence[str], num_iteration: int | None) -> Column:
-    """An array with the raw sum of each model; ``inputs`` is a struct of the columns ``names`` in order, and one more."""
+    """An array with the raw sum of each model; ``inputs`` is an array of the values of ``names`` in order."""
     forest, width = Forest(models, {f: i for i, f in enumerate(names)}, num_iteration), len(names)
 
     @F.arrow_udf(ArrayType(DoubleType()))
@@ -262,7 +259,7 @@ def _score_inputs(df: DataFrame, inputs: Sequence[Column], model: TreeModel, out
         staged = df.withColumns({names[f]: c for f, c in zip(model.features, inputs)})
         raw = _averaged(F.expr(model_sql(model, names, num_iteration)), model, num_iteration)
         return staged.withColumn(out, _link(raw, model)).drop(*names.values())
-    packed = F.struct(*[c.alias(f"x{i}") for i, c in enumerate(inputs)], F.lit(0.0).alias("end"))
+    packed = F.array(*inputs).cast("array<double>")
     raw = _averaged(_batch_sums([model], packed, model.features, num_iteration)[0], model, num_iteration)
     return df.withColumn("_raw", raw).withColumn(out, _link(F.col("_raw"), model)).drop("_raw")
 
@@ -298,11 +295,30 @@ def score_many(df: DataFrame, models: Iterable[TreeModel], features: str = "feat
     return scored.select(*columns, "_s.model_path", "_s.y_pred")
 
 
+# Fixed value: where from_json tells that a field was of another type; no JSON object has it.
+_BAD = "\0bad"
+
+
 def _fields(names: Sequence[str], kind: DataType) -> StructType:
     """A JSON object's fields, and one that none has, so that the struct is never empty."""
     return StructType([StructField(n, kind) for n in (*names, "\0end")])
 
 
+def _doubles(json: Column, names: Sequence[str]) -> Column:
+    """``json`` parsed into a struct of doubles ``x0``, ``x1`` and so on, and ``bad``,
+    the text itself where it is broken or a field is of another type."""
+    # positional casts: names may differ in case only, or hold dots
+    kinds = ", ".join([*(f"x{i}: double" for i in range(len(names))), "end: double", "bad: string"])
+    fields = _fields(names, DoubleType()).add(_BAD, StringType())
+    return F.from_json(json, fields, {"columnNameOfCorruptRecord": _BAD}).cast(f"struct<{kinds}>")
+
+
+def _nulls_as_nan(json: Column) -> Column:
+    """The text with NaN for null values. Inside of strings this changes only
+    values that are no numbers and keys that hold a colon."""
+    return F.replace(F.replace(json, F.lit(":null"), F.lit(":NaN")), F.lit(": null"), F.lit(":NaN"))
+
+
 def score_json(df: DataFrame, models: Iterable[TreeModel], json: str = "features", *, strict: bool = True,
                num_iteration: int | None = None, method: str = "auto") -> DataFrame:
     """One row per input row and model: adds ``model_path`` and ``y_pred``.
@@ -311,17 +327,19 @@ def score_json(df: DataFrame, models: Iterable[TreeModel], json: str = "features
     that any of the models uses; models above MAX_EXPRESSION_NODES share one
     transfer to Python. A null or NaN value is a missing one. With ``strict`` a
     model gives no row where one of its features is absent or is no number;
-    else such a feature counts as missing. Where values are NULL the text is
-    read a second time, to tell null values from absent ones.
+    else such a feature counts as missing. Null values are read as NaN there, so
+    that only rows with such a feature are read again, to tell which it is.
     """
     models = list(models)
     names = list(dict.fromkeys(f for m in models for f in m.features))
     place = {f: f"x{i}" for i, f in enumerate(names)}
-    # positional casts: names may differ in case only, or hold dots
-    doubles = ", ".join(f"{p}: double" for p in place.values())
-    staged = df.withColumn("_d", F.from_json(json, _fields(names, DoubleType())).cast(f"struct<{doubles}{', ' * bool(names)}end: double>"))
+    if strict and not any(":" in f for f in names):
+        staged = df.withColumn("_q", _doubles(_nulls_as_nan(F.col(json)), names))
+        staged = staged.withColumn("_d", F.when(F.col("_q.bad").isNull(), F.col("_q")).otherwise(_doubles(F.col(json), names)))
+    else:
+        staged = df.withColumn("_d", _doubles(F.col(json), names))
     if strict:
-        gaps = F.exists(F.array(*[F.col(f"_d.{p}") for p in place.values()]).cast("array<double>"), lambda v: v.isNull())
+        gaps = F.greatest(F.lit(False), F.lit(False), *[F.col(f"_d.{p}").isNull() for p in place.values()])
         variants = ", ".join(f"{p}: variant" for p in place.values())
         staged = staged.withColumn("_v", F.when(F.col("_d").isNull() | gaps, F.from_json(json, _fields(names, VariantType())).cast(
             f"struct<{variants}{', ' * bool(names)}end: variant>")))
@@ -332,7 +350,8 @@ def score_json(df: DataFrame, models: Iterable[TreeModel], json: str = "features
         staged = staged.withColumn("_lacks", lacking)
     large = [m for m in models if not _small(m, num_iteration, method)]
     if large:
-        staged = staged.withColumn("_sums", _batch_sums(large, F.col("_d"), names, num_iteration))
+        staged = staged.withColumn("_sums", _batch_sums(
+            large, F.array(*[F.col(f"_d.{p}") for p in place.values()]).cast("array<double>"), names, num_iteration))
     index = {f: i for i, f in enumerate(names)}
     columns = {f: f"nanvl(_d.{p}, cast(null as double))" for f, p in place.items()}
     small = {m.path: F.expr(model_sql(m, {f: f"_{place[f]}" for f in names}, num_iteration)) for m in models if m not in large}

@@ -273,3 +273,39 @@ def test_feature_names_that_differ_in_case_or_hold_dots(spark):
     for method in ("expression", "batch"):
         got = {r.id: r.y_pred for r in sc.score_json(df, [sc.TreeModel("m", names, (tree,))], method=method).collect()}
         assert got == {1: 1.0, 2: -1.0}
+
+
+@pytest.mark.parametrize("method", ["expression", "batch"])
+def test_nulls_in_strings_keys_and_twice(spark, method):
+    """Null values are told from other ones whatever else the text holds."""
+    def model(*names):
+        split = {0: sc.Node(names[0], 0.5, True, 1, 2, None), 1: sc.Node(None, None, False, None, None, 0.0),
+                 2: sc.Node(None, None, False, None, None, 1.0)}
+        return sc.TreeModel("m", names, (split,))
+
+    texts = {"spaced": '{"a": null,"b" :\tnull}', "string": '{"a":1,"b":2,"s":"x:null,\\": null}"}', "key": '{"a":1,"b:null":3,"b": 2}',
+             "only in a key": '{"a":1,"b:null":null}', "null, then text": '{"a":null,"a":"x","b":1}', "text, then null": '{"a":"x","a":null,"b":1}',
+             "inside": '{"a":{"b":null},"b":1}', "text of null": '{"a":":null","b":1}', "cut": '{"a":null,"b":null'}
+    df = spark.createDataFrame(list(texts.items()), "id string, features string")
+    got = {r.id: r.y_pred for r in sc.score_json(df, [model("a", "b")], method=method).collect()}
+    assert got == {"spaced": 0.0, "string": 1.0, "key": 1.0, "text, then null": 0.0}
+    colon = spark.createDataFrame([(1, '{"a:NaN":1,"b":1}'), (2, '{"a:null":1,"b":1}')], "id int, features string")
+    assert [r.id for r in sc.score_json(colon, [model("a:NaN", "b")], method=method).collect()] == [1]
+
+
+def test_null_values_cost_no_second_parse(spark):
+    """Only rows that lack a feature are parsed again, into variants."""
+    df = spark.createDataFrame([(1, '{"a":null,"b": null}'), (2, '{"a":1,"b":null}')], "id int, features string")
+    plan = sc.score_json(df, [forest(spark, "m", 2, 3, 1)])._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(replace(features" in plan and "exists(" not in plan
+
+
+def test_wide_query_deals_rows_out(spark, tmp_path):
+    from suite import queries
+
+    orders = [(i, i % 7 if i % 5 else None) for i in range(64)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    made = queries()["M3_score_many_trees"](spark, str(tmp_path))
+    placed = made.select("o_orderkey", F.spark_partition_id().alias("p")).collect()
+    assert sorted(r.o_orderkey for r in placed) == [i for i, c in orders if c is not None]
+    assert len({r.p for r in placed}) > 4
