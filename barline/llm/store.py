@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barline.session import scratch_path
+from barline.session import open_fs, scratch_path  # noqa: F401
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -64,17 +64,6 @@ def runtime_filters(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def open_fs(path: str):
-    """The file system of a shared path, for reads and writes inside tasks."""
-    from pyarrow import fs
-
-    if "://" not in path and not path.startswith("file:"):
-        return fs.LocalFileSystem(), path
-    if path.startswith("file:") and not path.startswith("file://"):
-        path = "file://" + path[len("file:"):]
-    return fs.FileSystem.from_uri(path)
-
-
 def fresh_name(suffix: str) -> str:
     """A name no other task or attempt uses. Only names that the committed
     manifest lists count, so files of lost attempts are never read."""

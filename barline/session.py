@@ -103,6 +103,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def open_fs(path: str):
+    """The file system of a shared path, and the path on it, for reads and writes inside tasks."""
+    from pyarrow import fs
+
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = "file://" + path[len("file:"):]
+    return fs.FileSystem.from_uri(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Store ``df`` once in the shared folder and go on from there, so that
     several passes over an expensive plan compute it a single time and a lost

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barline.session import open_fs
+
 # Fixed value: the time format of label files.
 ISO_ZULU = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
@@ -27,3 +31,25 @@ def write_predictions_csv(scored: DataFrame, path: str, id_column: str | None =
                           merge_input: bool = False) -> None:
     (prediction_columns(scored, id_column, merge_input).write.mode("overwrite")
      .option("header", "true").csv(path))
+
+
+def write_files(files: DataFrame, root: str) -> None:
+    """Rows ``folder, name, content`` as a file each, ``root/folder/name``; each name
+    once, NULL content as an empty file.
+
+    The tasks write them, so that files cost the driver nothing. A file gets its
+    name when it is whole; a task that runs again writes the same files.
+    """
+    def write(rows) -> None:
+        store, base = open_fs(root)
+        last = None
+        for folder, name, content in rows:
+            if folder != last:
+                store.create_dir(f"{base}/{folder}", recursive=True)
+                last = folder
+            part = f"{base}/{folder}/.{uuid.uuid4().hex}"
+            with store.open_output_stream(part, compression=None) as out:
+                out.write((content or "").encode())
+            store.move(part, f"{base}/{folder}/{name}")
+
+    files.select("folder", "name", "content").foreachPartition(write)

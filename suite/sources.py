@@ -21,11 +21,20 @@ from suite.base import bars, features, lines, predictions, query, r6, rq, table
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
+# Fixed value: above 32 folders Spark lists them in tasks.
+FOLDERS = 128
+
 
 def _folder(spark, label):
     return scratch_path(spark, label)
 
 
+def _dealt(df, key):
+    """Rows dealt to FOLDERS folders by their key, each folder in one task."""
+    folder = F.format_string("%03d", F.pmod(F.hash(key), F.lit(FOLDERS)))
+    return df.withColumn("folder", folder).repartition(FOLDERS, "folder")
+
+
 def _csv(df, path):
     df.write.option("header", "true").csv(path)
     return path
@@ -178,24 +187,15 @@ def read_run_metadata(spark, sf):
     base = _folder(spark, "runs")
     counted = table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     body = F.when(F.col("user_id") % 10 == 9, F.lit("{broken")).otherwise(F.to_json(F.struct("n")))
-    rows = counted.select("user_id", body.alias("value"))
-    # Spark names its files itself, so each run's file is renamed in place.
-    rows.repartition("user_id").write.partitionBy("user_id").text(base)
-    _rename_parts(spark, base, "metrics.json")
+    run = F.concat_ws("/", "folder", F.concat(F.lit("user_id="), F.coalesce(
+        F.col("user_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))))
+    sinks.write_files(_dealt(counted, "user_id").select(
+        run.alias("folder"), F.lit("metrics.json").alias("name"), body.alias("content")), base)
     meta = files.read_run_metadata(spark, base)
     user = F.regexp_extract("run", "user_id=([0-9]+)", 1).cast("long")
     return meta.select(user.alias("user_id"), "file", F.get_json_object("content", "$.n").cast("long").alias("n"))
 
 
-def _rename_parts(spark, base, name):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.globStatus(hadoop.Path(base, "*/part-*")):
-        part = status.getPath()
-        fs.rename(part, hadoop.Path(part.getParent(), name))
-
-
 def _write_model(spark, folder, cut):
     """A one-tree model whose threshold comes from the data."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs

@@ -204,3 +204,34 @@ def test_score_column_names(spark):
     assert [(r.timestamp, r.y_pred) for r in tables.pick_score(df).collect()] == [(at(0), 2.0)]
     with pytest.raises(ValueError):
         tables.pick_score(df.drop("y", "prediction"))
+
+
+def test_files_written_by_tasks(spark, tmp_path):
+    rows = [(f"{i % 3}", f"{i}.json", f'["a{i}", "é"]' if i % 5 else None) for i in range(20)]
+    df = spark.createDataFrame(rows, "folder string, name string, content string").repartition(4)
+    for _ in range(2):  # a second run leaves the same files
+        sinks.write_files(df, f"file://{tmp_path}/lists")
+        found = {(p.parent.name, p.name): p.read_text(encoding="utf-8") for p in (tmp_path / "lists").rglob("*.json")}
+        assert found == {(f, n): c or "" for f, n, c in rows}
+        assert all(p.is_dir() or p.suffix in (".json", ".crc") for p in (tmp_path / "lists").rglob("*"))
+
+
+@pytest.mark.parametrize("name, label", [("S15_read_run_metadata", "runs")])
+def test_queries_of_many_files(spark, tmp_path, name, label):
+    """As many folders as Spark lists in tasks, not one for each user beside the others; written by the tasks."""
+    from pathlib import Path
+
+    from barline.session import shared_dir
+    from suite import queries
+
+    users = [(i // 2, "ab"[i % 2]) for i in range(600)]
+    spark.createDataFrame(users, "user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    top = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(top.glob(f"{label}-*"))
+    got = {tuple(r) for r in queries()[name](spark, str(tmp_path)).collect()}
+    if label == "lists":
+        assert got == {(u, "" if u % 3 == 2 else "a,b") for u in range(300)}
+    else:
+        assert got == {(u, "metrics.json", 2) for u in range(300) if u % 10 != 9}
+    (made,) = set(top.glob(f"{label}-*")) - before
+    assert 32 < len([p for p in made.iterdir() if p.is_dir()]) <= 128
