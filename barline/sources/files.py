@@ -46,9 +46,10 @@ def feature_list(text: Column, strict: bool = False) -> Column:
     return F.coalesce(names, failed.cast("array<string>") if strict else F.array().cast("array<string>"))
 
 
-def read_feature_list(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
-    """One row per file: ``path, features``."""
-    raw = spark.read.text(path, wholetext=True)
+def read_feature_list(spark: SparkSession, path: str, strict: bool = False, recursive: bool = False) -> DataFrame:
+    """One row per file: ``path, features``; ``recursive`` takes the files of all folders below."""
+    reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
+    raw = reader.text(path, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("path"),
                       feature_list(F.col("value"), strict).alias("features"))
 

@@ -175,10 +175,11 @@ def read_feature_list(spark, sf):
     text = (F.when(F.col("user_id") % 3 == 0, F.to_json("n"))
             .when(F.col("user_id") % 3 == 1, F.to_json(F.struct(F.col("n").alias("features")))).otherwise("not json"))
     path = _folder(spark, "lists")
-    per_user.select("user_id", text.alias("value")).repartition(8, "user_id").write.partitionBy("user_id").text(path)
-    # One file may hold several lists only if they are lines; here each has one.
-    read = spark.read.text(path).select("user_id", files.feature_list(F.col("value")).alias("features"))
-    return read.select(F.col("user_id").cast("long"), F.array_join("features", ",").alias("names"))
+    name = F.concat(F.coalesce(F.col("user_id").cast("string"), F.lit("none")), F.lit(".json"))
+    sinks.write_files(_dealt(per_user, "user_id").select("folder", name.alias("name"), text.alias("content")), path)
+    read = files.read_feature_list(spark, path, recursive=True)
+    user = F.regexp_extract("path", r"([^/]+)[.]json$", 1).try_cast("long")
+    return read.select(user.alias("user_id"), F.array_join("features", ",").alias("names"))
 
 
 @query("S15_read_run_metadata", "", """

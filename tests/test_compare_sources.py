@@ -214,9 +214,12 @@ def test_files_written_by_tasks(spark, tmp_path):
         found = {(p.parent.name, p.name): p.read_text(encoding="utf-8") for p in (tmp_path / "lists").rglob("*.json")}
         assert found == {(f, n): c or "" for f, n, c in rows}
         assert all(p.is_dir() or p.suffix in (".json", ".crc") for p in (tmp_path / "lists").rglob("*"))
+    got = {r.path.rsplit("/", 1)[1]: r.features for r in
+           files.read_feature_list(spark, f"{tmp_path}/lists", recursive=True).collect()}
+    assert {n: f for n, f in got.items() if f} == {n: [f"a{n.split('.')[0]}", "é"] for _, n, c in rows if c}
 
 
-@pytest.mark.parametrize("name, label", [("S15_read_run_metadata", "runs")])
+@pytest.mark.parametrize("name, label", [("S14_read_feature_list", "lists"), ("S15_read_run_metadata", "runs")])
 def test_queries_of_many_files(spark, tmp_path, name, label):
     """As many folders as Spark lists in tasks, not one for each user beside the others; written by the tasks."""
     from pathlib import Path
