@@ -139,7 +139,8 @@ def score_many_trees(spark, sf):
 
     wide = sc.TreeModel("wide", tuple(f"f{i}" for i in range(500)), tuple({n: node(t, n) for n in range(15)} for t in range(300)))
     value = "(o_orderkey * 31 + i * 17 + o_custkey) % 1009"
-    pairs = f"transform(sequence(0, 499), i -> concat('\"f', i, '\":', if({value} % 11 = 0, 'null', cast({value} as string))))"
+    pairs = f"""transform(transform(sequence(0, 499), i -> {value}),
+        (v, i) -> concat('"f', i, '":', if(v % 11 = 0, 'null', cast(v as string))))"""
     # A small file is one split, and every row becomes 500 features: rows are dealt out first.
     keys = table(spark, sf, "orders").select("o_orderkey", "o_custkey").repartition(4 * spark.sparkContext.defaultParallelism)
     rows = keys.select("o_orderkey", F.expr(f"concat('{{', array_join({pairs}, ','), '}}')").alias("features"))
