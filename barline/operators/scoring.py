@@ -134,18 +134,26 @@ def _link(raw: Column, model: TreeModel) -> Column:
 
 
 class Forest:
-    """The trees of several models as packed node arrays: inner nodes and leaves
-    of all trees in one run, children as absolute places, one root and depth per tree."""
+    """The trees of several models. A tree of not many more nodes than levels is
+    evaluated node by node from its leaves up, each node for all rows at once. The
+    others are packed as node arrays that the rows walk down: inner nodes and leaves
+    in one run, children as absolute places, one root and depth per tree."""
 
-    #: Rows walked together, so that their nodes and inputs stay in the cache.
-    ROWS = 4096
+    #: Rows taken together, so that their nodes and inputs stay in the cache.
+    ROWS = 8192
+    #: Nodes for each level of a tree above which walking it costs less.
+    BROAD = 8
 
     def __init__(self, models: Sequence[TreeModel], columns: dict[str, int], num_iteration: int | None = None):
         kinds = {"none": 0, "zero": 1, "nan": 2}
         feature, threshold, default_left, left, right, value, missing = ([] for _ in range(7))
-        self.trees: list[tuple[int, int, int]] = []  # model, root, depth
+        self.trees: list[tuple[int, int, int, tuple | None]] = []  # model, root, depth, or its nodes from the leaves up
         for m, model in enumerate(models):
             for tree in model.first(num_iteration):
+                depth = _depth(tree)
+                if len(tree) <= self.BROAD * max(depth, 1):
+                    self.trees.append((m, 0, depth, _upwards(tree, columns)))
+                    continue
                 at = {n: len(value) + i for i, n in enumerate(sorted(tree))}
                 for n in sorted(tree):
                     node, leaf = tree[n], tree[n].leaf_value is not None
@@ -156,7 +164,7 @@ class Forest:
                     right.append(at[n] if leaf else at[node.right])
                     value.append(node.leaf_value if leaf else 0.0)
                     missing.append(2 if leaf else kinds[node.missing_type])
-                self.trees.append((m, at[0], _depth(tree)))
+                self.trees.append((m, at[0], depth, None))
         self.models = len(models)
         self.feature, self.left, self.right = (np.array(x, np.int32) for x in (feature, left, right))
         self.threshold, self.value = np.array(threshold, float), np.array(value, float)
@@ -168,12 +176,18 @@ class Forest:
         out = np.zeros((len(x), self.models))
         for a in range(0, len(x), self.ROWS):
             part = np.ascontiguousarray(x[a:a + self.ROWS])
+            total = np.zeros((self.models, len(part)))
+            by_feature = np.ascontiguousarray(part.T) if any(nodes is not None for *_, nodes in self.trees) else None
             flat, start = part.ravel(), np.arange(len(part), dtype=np.int64) * part.shape[1]
-            for m, root, depth in self.trees:
+            for m, root, depth, nodes in self.trees:
+                if nodes is not None:
+                    total[m] += _evaluate(*nodes, by_feature)
+                    continue
                 node = np.full(len(part), root, np.int32)
                 for _ in range(depth):
                     node = self._down(node, flat[start + self.feature[node]])
-                out[a:a + self.ROWS, m] += self.value[node]
+                total[m] += self.value[node]
+            out[a:a + self.ROWS] = total.T
         return out
 
     def _down(self, node: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -188,6 +202,44 @@ class Forest:
         return np.where(go_left, self.left[node], self.right[node])
 
 
+def _upwards(tree: dict[int, Node], columns: dict[str, int]) -> tuple[list, np.ndarray]:
+    """The inner nodes that can be reached, children before parents, with the columns they
+    split; children are places of nodes, or ``~i`` for leaf ``i``. And the values of the leaves."""
+    order, stack = [], [0]
+    while stack:
+        n = stack.pop()
+        order.append(n)
+        if tree[n].leaf_value is None:
+            stack += [tree[n].left, tree[n].right]
+    leaves = [n for n in order if tree[n].leaf_value is not None]
+    inner = [n for n in reversed(order) if tree[n].leaf_value is None]
+    at = {n: i for i, n in enumerate(inner)} | {n: ~i for i, n in enumerate(leaves)}
+    nodes = [(tree[n], columns[tree[n].feature], at[tree[n].left], at[tree[n].right]) for n in inner]
+    return nodes, np.array([tree[n].leaf_value for n in leaves], float)
+
+
+def _evaluate(nodes: list, values: np.ndarray, by_feature: np.ndarray) -> np.ndarray | float:
+    """A tree's value for each row; ``by_feature`` has a line of values per feature.
+    Each node passes on the numbers of the leaves its rows come to."""
+    number_of = np.min_scalar_type(len(values)).type
+    made: list = []
+    for node, column, *children in nodes:
+        left, right = (made[c] if c >= 0 else number_of(~c) for c in children)
+        made.append(_split(node, by_feature[column]).view(np.uint8) * (left ^ right) ^ right)
+    return values[made[-1]] if made else values[0]
+
+
+def _split(node: Node, v: np.ndarray) -> np.ndarray:
+    """Which values go left. No comparison with NaN holds."""
+    if node.missing_type == "zero":
+        gone = np.isnan(v) | (np.abs(v) <= ZERO_THRESHOLD)
+        return gone | (v <= node.threshold) if node.default_left else ~gone & (v <= node.threshold)
+    left = node.default_left if node.missing_type == "nan" else 0.0 <= node.threshold
+    if left and not math.isnan(node.threshold):
+        return ~(v > node.threshold)
+    return np.isnan(v) if left else v <= node.threshold
+
+
 def _depth(tree: dict[int, Node]) -> int:
     stack, deepest = [(0, 0)], 0
     while stack:
@@ -316,7 +368,9 @@ def _doubles(json: Column, names: Sequence[str]) -> Column:
 def _nulls_as_nan(json: Column) -> Column:
     """The text with NaN for null values. Inside of strings this changes only
     values that are no numbers and keys that hold a colon."""
-    return F.replace(F.replace(json, F.lit(":null"), F.lit(":NaN")), F.lit(": null"), F.lit(":NaN"))
+    plain = F.replace(json, F.lit(":null"), F.lit(":NaN"))
+    # A search for a text costs a fraction of its replacement, and most writers put no space there.
+    return F.when(F.contains(json, F.lit(" null")), F.replace(plain, F.lit(": null"), F.lit(":NaN"))).otherwise(plain)
 
 
 def score_json(df: DataFrame, models: Iterable[TreeModel], json: str = "features", *, strict: bool = True,

@@ -138,12 +138,12 @@ def score_many_trees(spark, sf):
         return sc.Node(f"f{(t * 7 + n) % 500}", float((t * 37 + n * 101) % 997), (t + n) % 2 == 0, 2 * n + 1, 2 * n + 2, None)
 
     wide = sc.TreeModel("wide", tuple(f"f{i}" for i in range(500)), tuple({n: node(t, n) for n in range(15)} for t in range(300)))
-    value = "(o_orderkey * 31 + i * 17 + o_custkey) % 1009"
-    pairs = f"""transform(transform(sequence(0, 499), i -> {value}),
-        (v, i) -> concat('"f', i, '":', if(v % 11 = 0, 'null', cast(v as string))))"""
     # A small file is one split, and every row becomes 500 features: rows are dealt out first.
     keys = table(spark, sf, "orders").select("o_orderkey", "o_custkey").repartition(4 * spark.sparkContext.defaultParallelism)
-    rows = keys.select("o_orderkey", F.expr(f"concat('{{', array_join({pairs}, ','), '}}')").alias("features"))
+    # Values as columns, so that generated code makes them and the text; a row without a key has no value at all.
+    values = keys.select("o_orderkey", *[F.expr(f"(o_orderkey * 31 + {i} * 17 + o_custkey) % 1009").alias(f"f{i}") for i in range(500)])
+    made = F.to_json(F.struct(*[F.expr(f"if(f{i} % 11 = 0, null, f{i})").alias(f"f{i}") for i in range(500)]), {"ignoreNullFields": "false"})
+    rows = values.select("o_orderkey", F.when(F.col("f0").isNotNull(), made).otherwise("{}").alias("features"))
     return sc.score_json(rows, [wide]).select("o_orderkey", "model_path", "y_pred")
 
 

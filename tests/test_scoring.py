@@ -309,3 +309,60 @@ def test_wide_query_deals_rows_out(spark, tmp_path):
     placed = made.select("o_orderkey", F.spark_partition_id().alias("p")).collect()
     assert sorted(r.o_orderkey for r in placed) == [i for i, c in orders if c is not None]
     assert len({r.p for r in placed}) > 4
+
+
+def test_small_trees_node_by_node_sum_to_the_same_bits(spark):
+    """However a tree is evaluated, and whatever the values: nothing depends on its shape."""
+    rng = np.random.default_rng(7)
+    odd = [0.0, -0.0, 1e-36, -1e-36, 1.0, float("inf"), float("-inf"), float("nan")]
+
+    def tree(depth):
+        nodes = {}
+        for n in range(2 ** (depth + 1) - 1):
+            if n >= 2 ** depth - 1 or (n and rng.random() < 0.1):
+                nodes[n] = sc.Node(None, None, False, None, None, float(rng.normal()))
+            else:
+                nodes[n] = sc.Node(f"f{rng.integers(0, 4)}", float(rng.choice([*odd, rng.normal()])), bool(rng.integers(0, 2)),
+                                   2 * n + 1, 2 * n + 2, None, str(rng.choice(["nan", "zero", "none"])))
+        return nodes
+
+    class Walked(sc.Forest):
+        BROAD = 0
+
+    columns = {f"f{i}": i for i in range(4)}
+    models = [sc.TreeModel("m", tuple(columns), tuple(tree(d) for d in depths)) for depths in ([0, 1, 2, 3, 3, 8], [], [3, 0, 4])]
+    x = np.where(rng.random((300, 4)) < 0.5, rng.choice(odd, (300, 4)), rng.normal(size=(300, 4)))
+    mixed, walked = sc.Forest(models, columns), Walked(models, columns)
+    assert [nodes is None for *_, nodes in mixed.trees] == [False] * 5 + [True] + [False] * 3
+    assert all(nodes is None for *_, nodes in walked.trees)
+    assert (mixed.sums(x).view(np.int64) == walked.sums(x).view(np.int64)).all()
+
+
+def test_spaced_nulls_are_only_replaced_where_there_are_any(spark):
+    df = spark.createDataFrame([(1, '{"a":null,"b":1}'), (2, '{"a": null, "b":null}'), (3, None)], "id int, features string")
+    got = df.select("id", sc._nulls_as_nan(F.col("features")).alias("t"))
+    assert [r.t for r in got.orderBy("id").collect()] == ['{"a":NaN,"b":1}', '{"a":NaN, "b":NaN}', None]
+    assert "Contains" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_wide_query_scores_whole_texts_made_in_generated_code(spark, tmp_path):
+    from suite import queries
+
+    orders = [(7, 3), (150001, 14), (-12, 5), (10 ** 12, 999), (8, None), (None, 8)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(str(tmp_path / "orders.parquet"))
+
+    def score(k, c):
+        total = 0.0
+        for t in range(300):
+            n = 0
+            while n < 7:
+                v = int(np.fmod(k * 31 + (t * 7 + n) % 500 * 17 + c, 1009))
+                left = (t + n) % 2 == 0 if v % 11 == 0 else v <= (t * 37 + n * 101) % 997
+                n = 2 * n + (1 if left else 2)
+            total += ((t * 13 + n * 29) % 201 - 100) / 64
+        return total
+
+    made = queries()["M3_score_many_trees"](spark, str(tmp_path))
+    assert {r.o_orderkey: r.y_pred for r in made.collect()} == {k: score(k, c) for k, c in orders if None not in (k, c)}
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" in plan and "transform(" not in plan  # a function over an array is interpreted, a value at a time
